@@ -103,7 +103,7 @@ def _streamed(spark: SparkSession, sf_dir: str, topics: list[str], start) -> str
         lambda topic: messages.stream_messages(spark, f"{sent_to}/{topic}"),
         lambda frame, topic: start(frame, topic, output, state, None),
     )
-    ingest.wait_for(spark, queries, endless=False)
+    ingest.wait_for(queries)
     return output
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from listenlake.operators.ordering import POSITION, chunk_of, in_order
+from listenlake.operators.ordering import POSITION, chunk_of, in_order, row_in_chunk
 from listenlake.operators.scratch import materialise
 
 _CHUNK = "_chunk"
@@ -16,7 +16,6 @@ _SEGMENT = "_segment"
 _FIRST = "_first"
 _LAST = "_last"
 _RUN = "_run"
-_KEYS = "_keys"
 
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum}
 
@@ -39,31 +38,34 @@ def state_runs(
 
     The same as lag + running sum + lead over a window per key, but a key may
     hold any share of the rows: windows see one key inside one chunk of the
-    range-partitioned order, and runs that cross chunk borders are put together
-    from a table with one row per chunk.
+    range-partitioned order, and what crosses the chunk borders is settled in
+    tables with one row per chunk, which are small enough to broadcast: there
+    are never more chunks than shuffle partitions.
     """
     measures = dict(measures or {})
     keys, state = list(keys), list(state)
 
     segments = materialise(_segments(frame, keys, order, state, measures), "runs")
-    runs = _join_across_chunks(segments, keys, state, measures)
-
-    # First run that begins in each chunk (one row per chunk).
-    heads = (
-        runs.groupBy(_CHUNK)
-        .agg(F.min_by(F.struct(F.struct(*keys).alias(_KEYS), "run_start"), _RUN).alias("_head"))
-        .withColumn("_following", F.lead("_head").over(W.orderBy(_CHUNK)))
-        .select(_CHUNK, "_following")
+    borders = materialise(_borders(segments, keys, state), "borders")
+    runs = _join_across_chunks(segments, borders, keys, state, measures)
+
+    # The run that follows the last one of a chunk is the first to begin in a later chunk.
+    first_begun = (
+        segments.join(F.broadcast(borders.select(F.col("_begins").alias(_FIRST))), _FIRST)
+        .select(_CHUNK, F.struct(*keys).alias("_key"), "run_start")
+        .select(
+            _CHUNK,
+            F.lead("_key").over(W.orderBy(_CHUNK)).alias("_later_key"),
+            F.lead("run_start").over(W.orderBy(_CHUNK)).alias("_later_start"),
+        )
     )
     in_chunk = W.partitionBy(_CHUNK, *keys).orderBy(_RUN)
-    following = F.when(
-        F.col(f"_following.{_KEYS}").eqNullSafe(F.struct(*keys)), F.col("_following.run_start")
-    )
+    later = F.when(F.col("_later_key").eqNullSafe(F.struct(*keys)), F.col("_later_start"))
     return (
-        runs.withColumn("_next", F.lead("run_start").over(in_chunk))
-        .withColumn("_is_last", F.lead(F.lit(True)).over(in_chunk).isNull())
-        .join(F.broadcast(heads), _CHUNK)
-        .withColumn("next_start", F.when(F.col("_is_last"), following).otherwise(F.col("_next")))
+        runs.withColumn("_is_last", F.lead(F.lit(True)).over(in_chunk).isNull())
+        .withColumn("_next", F.lead("run_start").over(in_chunk))
+        .join(F.broadcast(first_begun), _CHUNK)
+        .withColumn("next_start", F.when(F.col("_is_last"), later).otherwise(F.col("_next")))
         .select(*keys, *state, "run_start", "next_start", *measures)
     )
 
@@ -94,39 +96,53 @@ def _segments(
     )
 
 
-def _join_across_chunks(
-    segments: DataFrame, keys: list[str], state: list[str], measures: dict[str, tuple[str, str]]
-) -> DataFrame:
-    """Whole runs, each with the chunk (``_chunk``) and position (``_run``) where it begins."""
+def _borders(segments: DataFrame, keys: list[str], state: list[str]) -> DataFrame:
+    """One row per chunk: how its first segment relates to the chunk before.
+
+    ``_carried`` is the position where the run began that reaches into the chunk
+    from before (NULL if none does), ``_begins`` that of the first segment in the
+    chunk that begins a run.
+    """
     identity = F.struct(*keys, *state)
     by_chunk = W.orderBy(_CHUNK)
-    # One row per chunk. The run that is open at the end of a chunk begins at the
-    # chunk's last segment, unless that is its only one and continues the chunk before.
-    edges = (
-        segments.groupBy(_CHUNK)
-        .agg(
-            F.min(_FIRST).alias("_opening"),
-            F.min_by(identity, _FIRST).alias("_head"),
-            F.max_by(identity, _LAST).alias("_tail"),
-            F.max(_FIRST).alias("_closing"),
-        )
-        .withColumn("_continues", F.col("_head").eqNullSafe(F.lag("_tail").over(by_chunk)))
-        .withColumn(
-            "_begun",
-            F.when(~F.col("_continues") | (F.col("_closing") > F.col("_opening")), F.col("_closing")),
+    opening = segments.filter(row_in_chunk(F.col(_FIRST)) == 0).select(
+        _CHUNK, identity.alias("_head"), F.col(_FIRST).alias("_opening"), (F.col(_LAST) + 1).alias("_second")
+    )
+    last = segments.groupBy(_CHUNK).agg(F.max(_FIRST).alias("_closing"))
+    closing = segments.join(F.broadcast(last.select("_closing")), F.col(_FIRST) == F.col("_closing")).select(
+        _CHUNK, identity.alias("_tail"), "_closing"
+    )
+    # The run open at the end of a chunk began at the chunk's last segment, unless
+    # that is its only one and continues the chunk before.
+    continues = F.col("_head").eqNullSafe(F.lag("_tail").over(by_chunk))
+    begun = F.when(~F.col("_continues") | (F.col("_closing") > F.col("_opening")), F.col("_closing"))
+    return (
+        opening.join(closing, _CHUNK)
+        .withColumn("_continues", continues)
+        .withColumn("_begun", begun)
+        .withColumn("_open_run", F.last("_begun", True).over(by_chunk.rowsBetween(W.unboundedPreceding, 0)))
+        .select(
+            _CHUNK,
+            F.col("_opening"),
+            F.when(F.col("_continues"), F.lag("_open_run").over(by_chunk)).alias("_carried"),
+            F.when(F.col("_continues"), F.col("_second")).otherwise(F.col("_opening")).alias("_begins"),
         )
-        .withColumn("_origin", F.last("_begun", True).over(by_chunk.rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("_carried", F.when(F.col("_continues"), F.lag("_origin").over(by_chunk)))
-        .select(_CHUNK, "_opening", "_carried")
     )
-    run: Column = F.when(
-        F.col(_FIRST) == F.col("_opening"), F.coalesce("_carried", _FIRST)
-    ).otherwise(F.col(_FIRST))
+
+
+def _join_across_chunks(
+    segments: DataFrame,
+    borders: DataFrame,
+    keys: list[str],
+    state: list[str],
+    measures: dict[str, tuple[str, str]],
+) -> DataFrame:
+    """Whole runs, each with the chunk (``_chunk``) and position (``_run``) where it begins."""
     # A run has at most one segment per chunk, so nothing is gained by a partial
     # aggregation, and one exchange serves the aggregation and the caller's window.
     return (
-        segments.join(F.broadcast(edges), _CHUNK)
-        .withColumn(_RUN, run)
+        segments.join(F.broadcast(borders.select(F.col("_opening").alias(_FIRST), "_carried")), _FIRST, "left")
+        .withColumn(_RUN, F.coalesce("_carried", _FIRST))
         .withColumn(_CHUNK, chunk_of(F.col(_RUN)))
         .repartition(_CHUNK, *keys)
         .groupBy(_CHUNK, *keys, _RUN, *state)

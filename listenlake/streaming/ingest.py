@@ -24,9 +24,8 @@ GOOD, BAD = "good", "bad"
 REASON = "bad_reason"
 RAW = "raw_value"
 
-# Quotes inside a text are doubled. By default a NULL is written as nothing and an
-# empty text as "", so the two stay apart.
-CSV_OPTIONS = {"header": "true", "escape": '"'}
+# Quotes inside a text are doubled; a NULL is written as \N, so that an empty text stays one.
+CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "\\N"}
 
 _CORRUPT = "_corrupt"
 
@@ -157,13 +156,12 @@ def run_topics(
     return [start(source(topic), topic) for topic in topics]
 
 
-def wait_for(spark: SparkSession, queries: list[StreamingQuery], endless: bool) -> None:
-    """Wait for the queries; the first failure is raised, and the others are stopped."""
+def wait_for(queries: list[StreamingQuery]) -> None:
+    """Wait until all queries have ended; the first failure is raised, and the others are stopped."""
+    running = list(queries)
     try:
-        if endless:
-            spark.streams.awaitAnyTermination()
-        for query in queries:
-            query.awaitTermination()
+        while running:
+            running = [query for query in running if not query.awaitTermination(1)]
     except Exception:
         for query in queries:
             query.stop()

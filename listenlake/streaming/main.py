@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> None:
         return ingest_topic(messages, topic, args.lake, args.checkpoints, args.interval or None, args.strict)
 
     queries = run_topics(topics, lambda topic: stream_topics(spark, args.brokers, [topic]), start)
-    wait_for(spark, queries, endless=bool(args.interval))
+    wait_for(queries)
 
 
 if __name__ == "__main__":
