@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from listenlake.functions.times import hour_key, utc_date, utc_hour
+from listenlake.functions.times import epoch_millis, hour_key, utc_date, utc_hour
 from listenlake.operators.lookup import attach_key
 from listenlake.operators.ordering import dense_keys
 from listenlake.operators.runs import state_runs
@@ -31,18 +31,28 @@ from listenlake.streaming import ingest
 FIRST_LOAD = date(2024, 1, 16)
 NEXT_LOAD = date(2024, 2, 1)
 
+# Per application and folder: the visits derived from its tables, and the warehouse built on them.
+_visits_of: dict[tuple[str, str], DataFrame] = {}
 _warehouses: dict[tuple[str, str], Warehouse] = {}
 
 
+def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All visits of ``sf_dir``, derived from its tables and stored when first used."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _visits_of:
+        _visits_of[at] = materialise(playlog.numbered_visits(spark, sf_dir), "visits")
+    return _visits_of[at]
+
+
 def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The stored tables of ``sf_dir`` in this application, filled from its tables when first used."""
+    """The stored tables of ``sf_dir``; each is built when first used."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _warehouses:
 
         def plays() -> DataFrame:
-            visits = playlog.numbered_visits(spark, sf_dir)
-            return ingest.enrich(playlog.topic_events(visits, "listen_events"))
+            return ingest.enrich(playlog.topic_events(_visits(spark, sf_dir), "listen_events"))
 
         _warehouses[at] = Warehouse(spark, scratch_path(spark, "warehouse"), plays, FIRST_LOAD)
     return _warehouses[at]
@@ -62,15 +72,14 @@ def _without_zone(frame: DataFrame) -> DataFrame:
 
 
 def _topic(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
-    """Rows of a topic, straight from the given tables."""
-    _warehouse(spark, sf_dir)
-    return playlog.topic_events(playlog.numbered_visits(spark, sf_dir), topic)
+    return playlog.topic_events(_visits(spark, sf_dir), topic)
 
 
 def _parse(topic: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         sent = messages.as_messages(_topic(spark, sf_dir, topic).drop("event_id"), topic)
-        return ingest.good_rows(ingest.parse_topic(sent, topic, TOPIC_SCHEMAS[topic]))
+        # Stored before the split, as the lake does: a filter on the fresh parse would parse twice.
+        return ingest.good_rows(materialise(ingest.parse_topic(sent, topic, TOPIC_SCHEMAS[topic]), topic))
 
     return query
 
@@ -92,11 +101,9 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _streamed(spark: SparkSession, sf_dir: str, topics: list[str], start) -> str:
     """Send the topics through a message folder and a caught-up stream; returns the output folder."""
-    _warehouse(spark, sf_dir)
     sent_to, output, state = (scratch_path(spark, label) for label in ("messages", "lake", "checkpoints"))
-    visits = playlog.numbered_visits(spark, sf_dir)
     for topic in topics:
-        rows = playlog.topic_events(visits, topic).drop("event_id")
+        rows = _topic(spark, sf_dir, topic).drop("event_id")
         messages.as_messages(rows, topic).write.parquet(f"{sent_to}/{topic}")
     queries = ingest.run_topics(
         topics,
@@ -132,16 +139,13 @@ def archive_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _warehouse(spark, sf_dir)
-    rows = playlog.visits(spark, sf_dir)
-    return rows.select(
-        "event_id", utc_date(F.col("ts")).alias("event_date"), utc_hour(F.col("ts")).alias("event_hour")
-    )
+    ts = epoch_millis("ts")
+    events = playlog.table(spark, sf_dir, "events")
+    return events.select("event_id", utc_date(ts).alias("event_date"), utc_hour(ts).alias("event_hour"))
 
 
 def ingest_masked_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _warehouse(spark, sf_dir)
-    rows = ingest.enrich(playlog.visits(spark, sf_dir))
+    rows = ingest.enrich(_visits(spark, sf_dir))
     return rows.select("event_id", "userId", "registration", "registration_date")
 
 
