@@ -46,20 +46,17 @@ def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The stored tables of ``sf_dir``; each is built when first used."""
+    """The stored tables of ``sf_dir``: plays at once, each dimension when first used."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _warehouses:
-
-        def plays() -> DataFrame:
-            return ingest.enrich(playlog.topic_events(_visits(spark, sf_dir), "listen_events"))
-
+        plays = materialise(ingest.enrich(playlog.topic_events(_visits(spark, sf_dir), "listen_events")), "plays")
         _warehouses[at] = Warehouse(spark, scratch_path(spark, "warehouse"), plays, FIRST_LOAD)
     return _warehouses[at]
 
 
 def _plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _warehouse(spark, sf_dir).plays()
+    return _warehouse(spark, sf_dir).plays
 
 
 def _without_zone(frame: DataFrame) -> DataFrame:
@@ -222,17 +219,17 @@ def dim_artist_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_plays_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _warehouse(spark, sf_dir)
-    return facts.fact_by_day(store.plays(), store.star(by_hour=False))
+    return facts.fact_by_day(store.plays, store.star(by_hour=False))
 
 
 def fact_plays_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _warehouse(spark, sf_dir)
-    return facts.fact_by_hour(store.plays(), store.star(by_hour=True))
+    return facts.fact_by_hour(store.plays, store.star(by_hour=True))
 
 
 def fact_plays_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _warehouse(spark, sf_dir)
-    return facts.fact_by_hour(store.plays(), store.star(by_hour=True, with_device=True))
+    return facts.fact_by_hour(store.plays, store.star(by_hour=True, with_device=True))
 
 
 def check_fact_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,29 +241,30 @@ def check_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_hours_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates on which some hour of the calendar had no play."""
+    """Dates on which some hour of the calendar had no paid play."""
     store = _warehouse(spark, sf_dir)
     ts = F.col("ts")
-    heard = store.plays().select(hour_key(utc_date(ts), utc_hour(ts)).alias("DateSK")).distinct()
-    return checks.incomplete_dates(store.hours().join(heard, "DateSK", "left_semi"))
+    paid = store.plays.filter("level = 'paid'")
+    heard = paid.select(hour_key(utc_date(ts), utc_hour(ts)).alias("DateSK")).distinct()
+    return checks.incomplete_dates(store.table("dim_date_hour").join(heard, "DateSK", "left_semi"))
 
 
 def check_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.date_span(_warehouse(spark, sf_dir).hours())
+    return checks.date_span(_warehouse(spark, sf_dir).table("dim_date_hour"))
 
 
 def check_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _warehouse(spark, sf_dir)
     return checks.key_uniqueness(
         {
-            "dim_song": (store.song(), dimensions.SONG_KEY),
-            "dim_artist": (store.artist().filter("is_active"), dimensions.ARTIST_KEY),
-            "dim_city": (store.city(), dimensions.CITY_KEY),
-            "dim_device": (store.device(), ["userAgent"]),
-            "dim_date": (store.days(), ["DateSK"]),
-            "dim_date_hour": (store.hours(), ["DateSK"]),
-            "dim_user": (store.user(), ["userKey"]),
-            "dim_session": (store.session().filter("is_active"), ["sessionId"]),
+            "dim_song": (store.table("dim_song"), dimensions.SONG_KEY),
+            "dim_artist": (store.table("dim_artist").filter("is_active"), dimensions.ARTIST_KEY),
+            "dim_city": (store.table("dim_city"), dimensions.CITY_KEY),
+            "dim_device": (store.table("dim_device"), ["userAgent"]),
+            "dim_date": (store.table("dim_date"), ["DateSK"]),
+            "dim_date_hour": (store.table("dim_date_hour"), ["DateSK"]),
+            "dim_user": (store.table("dim_user"), ["userKey"]),
+            "dim_session": (store.table("dim_session").filter("is_active"), ["sessionId"]),
         }
     )
 
@@ -284,7 +282,7 @@ def duration_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _warehouse(spark, sf_dir)
-    return marts.top_songs(fact_plays_hour(spark, sf_dir), store.song(), 20)
+    return marts.top_songs(fact_plays_hour(spark, sf_dir), store.table("dim_song"), 20)
 
 
 def mart_active_users_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,7 +294,7 @@ def mart_active_users_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.demographics(_warehouse(spark, sf_dir).user())
+    return marts.demographics(_warehouse(spark, sf_dir).table("dim_user"))
 
 
 # --- the same operators on the commerce tables ----------------------------------------

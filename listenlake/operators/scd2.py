@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.operators.ordering import dense_keys, highest_key
 from listenlake.operators.scratch import materialise
 
-VERSION_COLUMNS = ["start_date", "end_date", "is_active"]
+
+def _all_equal(pairs: Iterable[tuple[Column, Column]]) -> Column:
+    return reduce(lambda a, b: a & b, [left.eqNullSafe(right) for left, right in pairs])
 
 
 def as_first_version(frame: DataFrame, effective: date) -> DataFrame:
@@ -28,11 +30,12 @@ def as_first_version(frame: DataFrame, effective: date) -> DataFrame:
 def append_members(existing: DataFrame, incoming: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
     """Existing rows as they are, plus the incoming ones with an unknown natural key.
 
-    New surrogate keys continue after the highest one in use. Appending the
-    same members twice changes nothing.
+    Keys are compared NULL-safe. New surrogate keys continue after the highest
+    one in use. Appending the same members twice changes nothing.
     """
-    known = existing.select(*natural)
-    new = incoming.join(known, on=list(natural), how="left_anti")
+    known = existing.select(*[F.col(c).alias(f"_known_{c}") for c in natural])
+    same_member = _all_equal((F.col(c), F.col(f"_known_{c}")) for c in natural)
+    new = incoming.join(known, same_member, "left_anti")
     added = dense_keys(new, natural, key, start=highest_key(existing, key))
     return existing.unionByName(added.select(*existing.columns))
 
@@ -63,14 +66,8 @@ def merge_versions(
 
     old = active.select(F.struct(*columns).alias("old"))
     new = incoming.select(F.struct(*natural, *tracked).alias("new"))
-    same_member = reduce(
-        lambda a, b: a & b, [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in natural]
-    )
-    unchanged = reduce(
-        lambda a, b: a & b,
-        [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in tracked],
-        F.lit(True),
-    )
+    same_member = _all_equal((F.col(f"old.{c}"), F.col(f"new.{c}")) for c in natural)
+    unchanged = _all_equal((F.col(f"old.{c}"), F.col(f"new.{c}")) for c in tracked)
     # One full join decides the fate of every row; both outcomes read it back.
     fates = materialise(
         old.join(new, same_member, "full_outer").select(

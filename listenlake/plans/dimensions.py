@@ -27,8 +27,15 @@ def song_members(plays: DataFrame) -> DataFrame:
     )
 
 
-def song_dimension(plays: DataFrame) -> DataFrame:
-    return dense_keys(song_members(plays), SONG_KEY, "song_id")
+def _first_or_grown(members: DataFrame, existing: DataFrame | None, natural: list[str], key: str) -> DataFrame:
+    """Number all members, or keep the keys of ``existing`` and number the new ones after them."""
+    if existing is None:
+        return dense_keys(members, natural, key)
+    return append_members(existing, members, natural, key)
+
+
+def song_dimension(plays: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return _first_or_grown(song_members(plays), existing, SONG_KEY, "song_id")
 
 
 def artist_members(plays: DataFrame) -> DataFrame:
@@ -47,9 +54,7 @@ def artist_members(plays: DataFrame) -> DataFrame:
 def artist_dimension(plays: DataFrame, effective: date, existing: DataFrame | None = None) -> DataFrame:
     """First build, or ``existing`` plus the artist places it does not know yet."""
     members = as_first_version(artist_members(plays), effective)
-    if existing is None:
-        return dense_keys(members, ARTIST_KEY, "artist_id")
-    return append_members(existing, members, ARTIST_KEY, "artist_id")
+    return _first_or_grown(members, existing, ARTIST_KEY, "artist_id")
 
 
 def city_members(plays: DataFrame) -> DataFrame:
@@ -63,15 +68,15 @@ def city_members(plays: DataFrame) -> DataFrame:
     ).dropDuplicates()
 
 
-def city_dimension(plays: DataFrame) -> DataFrame:
-    return dense_keys(city_members(plays), CITY_KEY, "city_id")
+def city_dimension(plays: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    return _first_or_grown(city_members(plays), existing, CITY_KEY, "city_id")
 
 
-def device_dimension(plays: DataFrame) -> DataFrame:
+def device_dimension(plays: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One row per agent text, a missing one included; parsed after the distinct."""
     agents = plays.select("userAgent").distinct()
     parsed = agents.withColumns(device_columns(F.col("userAgent")))
-    return dense_keys(parsed, ["userAgent"], "device_id").select(
+    return _first_or_grown(parsed, existing, ["userAgent"], "device_id").select(
         "device_id", "userAgent", "device_type", "operating_system", "browser"
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listenlake.functions.times import utc_second
 from listenlake.operators.ordering import dense_keys
 from listenlake.operators.runs import state_runs
+from listenlake.operators.scd2 import append_members
 
 PERSON = ["userId", "firstName", "lastName", "gender"]
 OPEN_END = "9999-12-31 00:00:00"
@@ -46,11 +47,12 @@ def user_history(plays: DataFrame) -> DataFrame:
     )
 
 
-def user_dimension(history: DataFrame) -> DataFrame:
+def user_dimension(history: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The latest current row of each user, with a dense ``userKey``.
 
     A user seen under several names has a current row per name; the one
-    activated last wins, then the greatest name.
+    activated last wins, then the greatest name. Users of ``existing`` keep
+    their key.
     """
     rank = F.struct("rowActivationDate", "firstName", "lastName", "gender")
     latest = (
@@ -59,4 +61,7 @@ def user_dimension(history: DataFrame) -> DataFrame:
         .agg(F.max(F.struct(rank.alias("rank"), F.struct(*history.columns).alias("row"))).alias("latest"))
         .select("latest.row.*")
     )
-    return dense_keys(latest, ["userId"], "userKey").select("userKey", *history.columns)
+    if existing is None:
+        return dense_keys(latest, ["userId"], "userKey").select("userKey", *history.columns)
+    keys = append_members(existing.select("userKey", "userId"), latest.select("userId"), ["userId"], "userKey")
+    return latest.join(keys, "userId").select("userKey", *history.columns)

@@ -2,92 +2,94 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from listenlake.functions.times import utc_date
 from listenlake.plans import calendars, dimensions, users
-from listenlake.plans.facts import Star
-from listenlake.sources.tables import read_version, versions, write_version
+from listenlake.plans.facts import Star, fact_by_day, fact_by_hour
+from listenlake.sources.tables import between_dates, read_version, replace_partitions, versions, write_version
+
+# How each dimension follows from the plays, the date of new versions and its stored
+# rows (None at first). Order matters: the user dimension is read off its history.
+_FROM_PLAYS: dict[str, Callable[[DataFrame, date, DataFrame | None], DataFrame]] = {
+    "dim_song": lambda plays, effective, stored: dimensions.song_dimension(plays, stored),
+    "dim_artist": lambda plays, effective, stored: dimensions.artist_dimension(plays, effective, stored),
+    "dim_city": lambda plays, effective, stored: dimensions.city_dimension(plays, stored),
+    "dim_device": lambda plays, effective, stored: dimensions.device_dimension(plays, stored),
+    "dim_session": lambda plays, effective, stored: dimensions.session_dimension(plays, effective, stored),
+    "dim_user_history": lambda plays, effective, stored: users.user_history(plays),
+    "dim_date": lambda plays, effective, stored: calendars.day_calendar(calendars.range_of_plays(plays)),
+    "dim_date_hour": lambda plays, effective, stored: calendars.hour_calendar(calendars.range_of_plays(plays)),
+}
 
 
 class Warehouse:
-    """Tables under ``root``; each is built from ``plays`` when first asked for.
+    """Tables under ``root``, built from ``plays``, the good rows of the listen_events lake.
 
-    ``plays`` gives the good rows of the listen_events lake. ``refresh`` builds a
-    table anew (a new version), the growing ones from their stored rows.
+    ``table`` reads a dimension, and builds and stores it first if it never was.
+    ``refresh`` stores a new version that knows the current plays too; keys given
+    before stay as they are. ``load_facts`` replaces the facts of a range of dates.
     """
 
-    def __init__(
-        self, spark: SparkSession, root: str, plays: Callable[[], DataFrame], effective: date
-    ) -> None:
+    def __init__(self, spark: SparkSession, root: str, plays: DataFrame, effective: date) -> None:
         self.spark = spark
         self.root = root
+        self.plays = plays
         self.effective = effective
-        self._build_plays = plays
-        self._schemas: dict[str, object] = {}
-
-    def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        path = f"{self.root}/{name}"
-        if name not in self._schemas or not versions(self.spark, path):
-            frame = build()
-            write_version(frame, path)
-            self._schemas[name] = frame.schema
-        return read_version(self.spark, path, self._schemas[name])
-
-    def _refresh(self, name: str, frame: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        write_version(frame, f"{self.root}/{name}", partition_by)
+        self._schemas: dict[str, StructType] = {}
+
+    def table(self, name: str) -> DataFrame:
+        return self._stored(name) or self.refresh(name)
+
+    def refresh(self, name: str) -> DataFrame:
+        """Store a new version of ``name`` from all plays.
+
+        Songs, artists, cities and devices are appended to, sessions merged as
+        versions, users keep their key; the rest is derived anew.
+        """
+        stored = self._stored(name)
+        if name == "dim_user":
+            frame = users.user_dimension(self.table("dim_user_history"), stored)
+        else:
+            frame = _FROM_PLAYS[name](self.plays, self.effective, stored)
+        write_version(frame, f"{self.root}/{name}")
         self._schemas[name] = frame.schema
-        return read_version(self.spark, f"{self.root}/{name}", frame.schema)
-
-    def plays(self) -> DataFrame:
-        return self._table("plays", self._build_plays)
-
-    def song(self) -> DataFrame:
-        return self._table("dim_song", lambda: dimensions.song_dimension(self.plays()))
-
-    def artist(self) -> DataFrame:
-        return self._table("dim_artist", lambda: dimensions.artist_dimension(self.plays(), self.effective))
-
-    def city(self) -> DataFrame:
-        return self._table("dim_city", lambda: dimensions.city_dimension(self.plays()))
-
-    def device(self) -> DataFrame:
-        return self._table("dim_device", lambda: dimensions.device_dimension(self.plays()))
+        return self._stored(name)
 
-    def user_history(self) -> DataFrame:
-        return self._table("dim_user_history", lambda: users.user_history(self.plays()))
+    def refresh_all(self) -> None:
+        for name in [*_FROM_PLAYS, "dim_user"]:
+            self.refresh(name)
 
-    def user(self) -> DataFrame:
-        return self._table("dim_user", lambda: users.user_dimension(self.user_history()))
-
-    def session(self) -> DataFrame:
-        return self._table("dim_session", lambda: dimensions.session_dimension(self.plays(), self.effective))
-
-    def days(self) -> DataFrame:
-        return self._table("dim_date", lambda: calendars.day_calendar(calendars.range_of_plays(self.plays())))
-
-    def hours(self) -> DataFrame:
-        return self._table(
-            "dim_date_hour", lambda: calendars.hour_calendar(calendars.range_of_plays(self.plays()))
-        )
+    def _stored(self, name: str) -> DataFrame | None:
+        path = f"{self.root}/{name}"
+        if not versions(self.spark, path):
+            return None
+        return read_version(self.spark, path, self._schemas.get(name))
 
     def star(self, by_hour: bool, with_device: bool = False) -> Star:
         return Star(
-            song=self.song(),
-            artist=self.artist(),
-            city=self.city(),
-            calendar=self.hours() if by_hour else self.days(),
-            user=self.user(),
-            session=self.session(),
-            device=self.device() if with_device else None,
+            song=self.table("dim_song"),
+            artist=self.table("dim_artist"),
+            city=self.table("dim_city"),
+            calendar=self.table("dim_date_hour" if by_hour else "dim_date"),
+            user=self.table("dim_user"),
+            session=self.table("dim_session"),
+            device=self.table("dim_device") if with_device else None,
         )
 
-    def refresh_artists(self, plays: DataFrame, effective: date) -> DataFrame:
-        """Store the artist dimension with the new artist places of ``plays`` appended."""
-        return self._refresh("dim_artist", dimensions.artist_dimension(plays, effective, self.artist()))
-
-    def refresh_sessions(self, plays: DataFrame, effective: date) -> DataFrame:
-        """Store the session dimension with the session bounds of ``plays`` merged in."""
-        return self._refresh("dim_session", dimensions.session_dimension(plays, effective, self.session()))
+    def load_facts(self, first: date, last: date, by_hour: bool) -> DataFrame:
+        """Replace the facts of the dates ``first..last``; doing so twice changes nothing.
+
+        The plays are read for these dates only: their ``event_date`` prunes folders.
+        """
+        build = fact_by_hour if by_hour else fact_by_day
+        rows = build(between_dates(self.plays, first, last), self.star(by_hour))
+        dated = rows.withColumn("event_date", utc_date(F.col("ts")))
+        path = f"{self.root}/{'fact_by_hour' if by_hour else 'fact_by_day'}"
+        replace_partitions(dated, path, ["event_date"])
+        return self.spark.read.schema(dated.schema).parquet(path)

@@ -54,21 +54,23 @@ def commit_version(spark: SparkSession, path: str, number: int) -> None:
 
 
 def read_version(
-    spark: SparkSession, path: str, schema: StructType | str, number: int | None = None
+    spark: SparkSession, path: str, schema: StructType | str | None = None, number: int | None = None
 ) -> DataFrame:
-    """The rows of one version (default: the newest); no rows if nothing was ever committed.
+    """The rows of one version (default: the newest).
 
-    Only a table without commits counts as empty. A version whose files cannot be
-    read raises.
+    A table without commits has no rows, given a schema. Without one, the schema
+    is that of the files, and the table must exist. A version whose files cannot
+    be read raises.
     """
     known = versions(spark, path)
-    if number is None:
-        if not known:
-            return spark.createDataFrame([], schema)
-        number = known[-1]
-    elif number not in known:
+    if number is None and not known:
+        if schema is None:
+            raise ValueError(f"no version of {path} was committed")
+        return spark.createDataFrame([], schema)
+    if number is not None and number not in known:
         raise ValueError(f"version {number} of {path} was not committed")
-    return spark.read.schema(schema).parquet(f"{path}/v={number}")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{path}/v={known[-1] if number is None else number}")
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:

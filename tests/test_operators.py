@@ -108,7 +108,10 @@ def test_lookup_keeps_every_row_also_with_a_hot_key(spark, broadcast):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
     }
     with settings(spark, skew):
-        got = attach_key(facts, songs, {"song": "song"}, "song_id", "fk").collect()
+        joined = attach_key(facts.repartition(8), songs, {"song": "song"}, "song_id", "fk")
+        got = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert ("skew=true" in plan) == (broadcast == "-1")
     assert len(got) == 3000
     expected = {"hit": 1, "k2": 2}
     assert all(row["fk"] == expected.get(row["song"]) for row in got)

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from conftest import settings
 from listenlake.plans import calendars, checks, dimensions, facts, marts, users
+from listenlake.plans.main import main
 from listenlake.plans.warehouse import Warehouse
 from listenlake.schemas import LISTEN_EVENTS
+from listenlake.sources.tables import replace_partitions, versions
 from listenlake.streaming.ingest import enrich
 
 HOUR = 3_600_000
@@ -219,22 +221,57 @@ def test_marts(plays):
     assert rows(marts.demographics(star.user)) == [("F", "free", 1), ("F", "paid", 1)]
 
 
-def test_warehouse_builds_once_and_refreshes(spark, plays, tmp_path):
-    builds = []
-
-    def build():
-        builds.append(1)
-        return plays
-
-    store = Warehouse(spark, str(tmp_path / "w"), build, date(2024, 1, 3))
-    assert facts.fact_by_hour(store.plays(), store.star(by_hour=True)).count() == 6
-    store.session(), store.plays()
-    assert len(builds) == 1
-    more = plays.unionByName(plays_of(spark, play(START + 30 * HOUR, session=2), play(START, session=9, artist="z")))
-    sessions = store.refresh_sessions(more, date(2024, 1, 4))
-    assert rows(sessions.filter("sessionId IN (2, 9)").select("sessionId", "is_active", "session_id")) == [
+def test_warehouse_grows_with_stable_keys(spark, plays, tmp_path):
+    root = str(tmp_path / "w")
+    store = Warehouse(spark, root, plays, date(2024, 1, 3))
+    before = {name: rows(store.table(name)) for name in ("dim_song", "dim_city", "dim_device", "dim_user")}
+    assert rows(store.table("dim_song")) == before["dim_song"]  # read, not built again
+    assert versions(spark, f"{root}/dim_song") == [1]
+    store.table("dim_session"), store.table("dim_artist")
+
+    more = plays.unionByName(
+        plays_of(
+            spark,
+            play(START + 30 * HOUR, session=2),
+            play(START, user=0, session=9, artist="z", song="a", city=None, agent=None, level="paid"),
+        )
+    )
+    grown = Warehouse(spark, root, more, date(2024, 1, 4))  # as another application would
+    grown.refresh_all()
+    assert rows(grown.table("dim_song").filter("song_id <= 2")) == before["dim_song"]
+    assert rows(grown.table("dim_song").filter("song_id > 2")) == [("a", 1.5, 3)]
+    assert rows(grown.table("dim_device")) == before["dim_device"]
+    assert rows(grown.table("dim_city")) == before["dim_city"]  # a NULL city is known, too
+    assert rows(grown.table("dim_user").select("userKey", "userId")) == [(1, 1), (2, 2), (3, 0)]
+    assert rows(grown.table("dim_session").filter("sessionId IN (2, 9)").select("sessionId", "is_active", "session_id")) == [
         (2, False, 4), (2, True, 6), (9, True, 5),
     ]
-    assert rows(store.session()) == rows(sessions)
-    assert store.refresh_artists(more, date(2024, 1, 4)).count() == 2
-    assert rows(store.refresh_artists(more, date(2024, 1, 5))) == rows(store.artist())
+    assert grown.table("dim_artist").count() == 2
+    everything = {name: rows(grown.table(name)) for name in before}
+    grown.refresh_all()
+    assert {name: rows(grown.table(name)) for name in before} == everything
+
+
+def test_facts_of_a_date_range_are_replaced(spark, plays, tmp_path):
+    store = Warehouse(spark, str(tmp_path / "w"), plays, date(2024, 1, 3))
+    first, second = date(2024, 1, 1), date(2024, 1, 2)
+    assert store.load_facts(first, first, by_hour=True).count() == 5
+    assert store.load_facts(second, second, by_hour=True).count() == 6
+    both = rows(store.load_facts(first, second, by_hour=True))
+    assert len(both) == 6
+    assert rows(store.load_facts(first, second, by_hour=True)) == both
+    assert store.load_facts(first, second, by_hour=False).count() == 6
+
+
+def test_batch_job_from_lake_to_facts(spark, plays, tmp_path):
+    lake = plays.withColumns(
+        {"bad_reason": F.lit(None).cast("string"), "raw_value": F.lit(None).cast("string"), "quality": F.lit("good")}
+    )
+    replace_partitions(lake, str(tmp_path / "lake" / "listen_events"), ["quality", "event_date"])
+    command = ["--lake", str(tmp_path / "lake"), "--warehouse", str(tmp_path / "w"), "--first", "2024-01-01"]
+    main([*command, "--last", "2024-01-01"])
+    main([*command, "--last", "2024-01-02", "--grain", "both"])
+    main([*command, "--last", "2024-01-02", "--grain", "both"])
+    facts_read = spark.read.parquet(str(tmp_path / "w" / "fact_by_hour"))
+    assert rows(facts_read.groupBy("event_date").count()) == [(date(2024, 1, 1), 5), (date(2024, 1, 2), 1)]
+    assert spark.read.parquet(str(tmp_path / "w" / "fact_by_day")).count() == 6
