@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.functions.agents import device_columns
+from listenlake.functions.nulls import all_known
 from listenlake.functions.times import utc_second
 from listenlake.operators.ordering import dense_keys
 from listenlake.operators.scd2 import append_members, as_first_version, merge_versions
@@ -22,7 +23,7 @@ SESSION_ORDER = ["StartTime", "sessionId"]
 def song_members(plays: DataFrame) -> DataFrame:
     return (
         plays.select(F.col("song").alias("song_name"), F.col("duration").alias("song_duration"))
-        .dropna(subset=SONG_KEY)
+        .filter(all_known(SONG_KEY))
         .dropDuplicates()
     )
 
@@ -46,7 +47,7 @@ def artist_members(plays: DataFrame) -> DataFrame:
             F.col("lat").alias("latitude"),
             F.col("lon").alias("longitude"),
         )
-        .dropna(subset=ARTIST_KEY)
+        .filter(all_known(ARTIST_KEY))
         .dropDuplicates()
     )
 

@@ -12,7 +12,7 @@ def top_songs(facts: DataFrame, songs: DataFrame, k: int) -> DataFrame:
     The counts are joined to the names after the cut, when ``k`` rows are left.
     """
     leaders = (
-        facts.dropna(subset=["song_id"])
+        facts.filter(F.col("song_id").isNotNull())
         .groupBy("song_id")
         .agg(F.sum("plays_count").alias("plays"))
         .orderBy(F.desc("plays"), "song_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from listenlake.functions.nulls import all_known
 from listenlake.functions.times import utc_second
 from listenlake.operators.ordering import dense_keys
 from listenlake.operators.runs import state_runs
@@ -21,7 +22,7 @@ def one_play_per_instant(plays: DataFrame) -> DataFrame:
     """
     rest = ["sessionId", "itemInSession", "firstName", "lastName", "gender", "registration_date"]
     return (
-        plays.dropna(subset=["userId", "level", "ts"])
+        plays.filter(all_known(["userId", "level", "ts"]))
         .groupBy("userId", "ts", "level")
         .agg(F.min(F.struct(*rest)).alias("first"))
         .select("userId", "ts", "level", "first.*")
@@ -36,6 +37,7 @@ def user_history(plays: DataFrame) -> DataFrame:
         order=["ts", "sessionId", "itemInSession", "level"],
         state=["level"],
         measures={"registration_date": ("min", "registration_date")},
+        counted=plays,
     )
     return runs.select(
         *PERSON,
