@@ -1,4 +1,4 @@
-"""Named calendar expressions of a date or timestamp column.
+"""Named calendar expressions of a date or of a timestamp without time zone.
 
 The names and the printed formats are fixed values of the calendar tables.
 Week numbers are ISO weeks; ``DayOfWeek`` counts from Sunday = 1.
@@ -9,39 +9,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from listenlake.functions.times import date_key, hour_key
+
 
 def calendar_parts(moment: Column, with_hour: bool) -> list[Column]:
     """The derived columns, ``DateSK`` first, ready for a single ``select``."""
-    week = F.lpad(F.weekofyear(moment).cast("string"), 2, "0")
-    if with_hour:
-        key = F.date_format(moment, "yyyyMMddHH").cast("bigint")
-        hour = {"Hour": F.hour(moment)}
-    else:
-        key = F.date_format(moment, "yyyyMMdd").cast("int")
-        hour = {}
+    day = moment.cast("date")
+    week = F.lpad(F.weekofyear(day).cast("string"), 2, "0")
+    key = hour_key(day, F.hour(moment)) if with_hour else date_key(day)
+    hour = {"Hour": F.hour(moment)} if with_hour else {}
     parts = {
         "DateSK": key,
-        "Year": F.year(moment),
-        "Quarter": F.quarter(moment),
-        "Month": F.month(moment),
-        "Day": F.day(moment),
+        "Year": F.year(day),
+        "Quarter": F.quarter(day),
+        "Month": F.month(day),
+        "Day": F.day(day),
         **hour,
-        "Week": F.weekofyear(moment),
-        "QuarterNameLong": F.date_format(moment, "QQQQ"),
-        "QuarterNameShort": F.date_format(moment, "QQQ"),
-        "QuarterNumberString": F.date_format(moment, "QQ"),
-        "MonthNameLong": F.date_format(moment, "MMMM"),
-        "MonthNameShort": F.date_format(moment, "MMM"),
-        "MonthNumberString": F.date_format(moment, "MM"),
-        "DayNumberString": F.date_format(moment, "dd"),
+        "Week": F.weekofyear(day),
+        "QuarterNameLong": F.date_format(day, "QQQQ"),
+        "QuarterNameShort": F.date_format(day, "QQQ"),
+        "QuarterNumberString": F.date_format(day, "QQ"),
+        "MonthNameLong": F.date_format(day, "MMMM"),
+        "MonthNameShort": F.date_format(day, "MMM"),
+        "MonthNumberString": F.date_format(day, "MM"),
+        "DayNumberString": F.date_format(day, "dd"),
         "WeekNameLong": F.concat(F.lit("week"), week),
         "WeekNameShort": F.concat(F.lit("w"), week),
         "WeekNumberString": week,
-        "DayOfWeek": F.dayofweek(moment),
-        "YearMonthString": F.date_format(moment, "yyyy/MM"),
-        "DayOfWeekNameLong": F.date_format(moment, "EEEE"),
-        "DayOfWeekNameShort": F.date_format(moment, "EEE"),
-        "DayOfMonth": F.dayofmonth(moment),
-        "DayOfYear": F.dayofyear(moment),
+        "DayOfWeek": F.dayofweek(day),
+        "YearMonthString": F.date_format(day, "yyyy/MM"),
+        "DayOfWeekNameLong": F.date_format(day, "EEEE"),
+        "DayOfWeekNameShort": F.date_format(day, "EEE"),
+        "DayOfMonth": F.dayofmonth(day),
+        "DayOfYear": F.dayofyear(day),
     }
     return [expression.alias(name) for name, expression in parts.items()]

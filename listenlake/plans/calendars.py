@@ -32,9 +32,13 @@ def day_calendar(bounds: DataFrame) -> DataFrame:
 def hour_calendar(bounds: DataFrame) -> DataFrame:
     """One row per hour, from the first hour of ``first`` to the last of ``last``.
 
-    Hours are counted in the session time zone, which the package pins to UTC.
+    Counted without a time zone, so that every date has 24 hours wherever the
+    session runs; ``date`` itself is a TIMESTAMP.
     """
-    start = F.col("first").cast("timestamp")
-    stop = F.date_add("last", 1).cast("timestamp") - F.expr("INTERVAL 1 HOUR")
-    hours = bounds.select(F.explode(F.sequence(start, stop, F.expr("INTERVAL 1 HOUR"))).alias("date"))
-    return hours.select("date", *calendar_parts(F.col("date"), with_hour=True))
+    an_hour = F.make_dt_interval(hours=F.lit(1))
+    start = F.col("first").cast("timestamp_ntz")
+    stop = F.date_add("last", 1).cast("timestamp_ntz") - an_hour
+    hours = bounds.select(F.explode(F.sequence(start, stop, an_hour)).alias("moment"))
+    return hours.select(
+        F.col("moment").cast("timestamp").alias("date"), *calendar_parts(F.col("moment"), with_hour=True)
+    )

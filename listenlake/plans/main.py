@@ -1,6 +1,6 @@
 """Batch jobs: refresh the dimensions and load facts from the lake.
 
-    spark-submit listenlake/plans/main.py --lake gs://bucket/output \\
+    spark-submit --py-files listenlake.zip listenlake/plans/main.py --lake gs://bucket/output \\
         --warehouse gs://bucket/warehouse --first 2024-01-01 --last 2024-01-31
 
 Everything is safe to run again: dimensions keep the keys they gave, and the facts
@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
+from listenlake.operators.scratch import clear_scratch
 from listenlake.plans.checks import sums_preserved
 from listenlake.plans.warehouse import Warehouse
 from listenlake.session import build_session
@@ -39,14 +40,17 @@ def main(argv: list[str] | None = None) -> None:
     loaded = between_dates(plays, args.first, args.last)
 
     store = Warehouse(spark, args.warehouse, plays, args.effective or args.last)
-    store.refresh_all()
-    for grain, by_hour in GRAINS.items():
-        if args.grain in (grain, "both"):
-            facts = store.load_facts(args.first, args.last, by_hour)
-            if by_hour:
-                report = sums_preserved(loaded, between_dates(facts, args.first, args.last)).first()
-                if not report["preserved"]:
-                    raise RuntimeError(f"facts differ from plays: {report.asDict()}")
+    try:
+        store.refresh_all()
+        for grain, by_hour in GRAINS.items():
+            if args.grain in (grain, "both"):
+                facts = store.load_facts(args.first, args.last, by_hour)
+                if by_hour:
+                    report = sums_preserved(loaded, between_dates(facts, args.first, args.last)).first()
+                    if not report["preserved"]:
+                        raise RuntimeError(f"facts differ from plays: {report.asDict()}")
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

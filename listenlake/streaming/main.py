@@ -1,7 +1,7 @@
 """Stream the event topics from Kafka to the lake.
 
     spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:<version> \\
-        listenlake/streaming/main.py --brokers host:9092 --lake gs://bucket/output \\
+        --py-files listenlake.zip listenlake/streaming/main.py --brokers host:9092 --lake gs://bucket/output \\
         --checkpoints gs://bucket/checkpoints --interval "2 minutes"
 
 Paths may lie on any file system Spark knows; credentials come from its configuration.

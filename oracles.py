@@ -389,7 +389,7 @@ def oracle_sql() -> dict[str, str]:
         "check_hours_per_date": _over(
             [],
             """SELECT event_date AS "Date", count(DISTINCT hour(second)) AS hour_count FROM listen
-               WHERE level = 'paid' GROUP BY event_date HAVING count(DISTINCT hour(second)) < 24""",
+               WHERE artist IS NULL GROUP BY event_date HAVING count(DISTINCT hour(second)) < 24""",
         ),
         "check_date_range": _over([], "SELECT min(event_date) AS first_date, max(event_date) AS last_date FROM listen"),
         "check_unique_keys": _over(

@@ -23,4 +23,4 @@ def test_flagship(spark):
 
 @pytest.mark.parametrize("name", entry.QUERIES)
 def test_query_equals_its_sql(spark, duckdb_tables, name):
-    assert spark_rows(entry.QUERIES[name](spark, SF_DIR)) == duck_rows(duckdb_tables, entry.oracle_sql()[name])
+    assert spark_rows(entry.queries()[name](spark, SF_DIR)) == duck_rows(duckdb_tables, entry.oracle_sql()[name])

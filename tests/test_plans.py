@@ -123,7 +123,11 @@ def test_calendars(spark):
     assert (first["Week"], first["WeekNameLong"], first["DayOfWeek"], first["QuarterNameLong"]) == (
         53, "week53", 6, "1st quarter",
     )
-    with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_every_date_has_24_hours_in_any_zone(spark, zone):
+    with settings(spark, {"spark.sql.session.timeZone": zone}):
         hours = calendars.hour_calendar(calendars.date_range(spark, date(2021, 1, 1), date(2021, 12, 31)))
         assert hours.count() == hours.select("DateSK").distinct().count() == 8760
         assert len(hours.columns) == 24
