@@ -199,7 +199,7 @@ def scd2_session_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions known so far (cut short for even users), then a load that lacks user 7."""
     plays = _plays(spark, sf_dir)
     early = _early(plays)
-    ends = early.groupBy("sessionId").agg(F.max("ts").alias("last_ts"))
+    ends = materialise(early.groupBy("sessionId").agg(F.max("ts").alias("last_ts")), "ends")
     known = early.join(ends, "sessionId").filter("userId % 2 = 1 OR ts < last_ts")
     existing = materialise(dimensions.session_dimension(known, FIRST_LOAD), "sessions")
     return _without_zone(

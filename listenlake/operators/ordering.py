@@ -65,11 +65,14 @@ def number_within(frame: DataFrame, group: Sequence[str], order: Sequence[str],
     """Add ``column`` = 0, 1, 2, ... along ``order`` inside each ``group``.
 
     Ranks all rows by (group, order) and subtracts the first rank of the
-    group, so a group is never gathered in one task.
+    group, so a group is never gathered in one task. The first ranks are stored
+    before they are joined: Spark then knows their size, and can split a large
+    group, which it cannot while the join shares the shuffle of the aggregation.
     """
     rank, first = "_rank", "_first"
     ranked = dense_keys(frame, [*group, *order], rank)
-    firsts = ranked.groupBy(*[F.col(g).alias(f"_{g}") for g in group]).agg(F.min(rank).alias(first))
+    per_group = ranked.groupBy(*[F.col(g).alias(f"_{g}") for g in group]).agg(F.min(rank).alias(first))
+    firsts = materialise(per_group, "firsts")
     same = [ranked[g].eqNullSafe(firsts[f"_{g}"]) for g in group]
     return (
         ranked.join(firsts, same, "left")

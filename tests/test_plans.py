@@ -59,6 +59,17 @@ def test_dimensions_leave_out_what_has_no_key(plays):
     ]
 
 
+def test_scans_read_and_filter_only_what_is_needed(spark, plays, tmp_path):
+    plays.write.parquet(str(tmp_path / "plays"))
+    stored = spark.read.schema(plays.schema).parquet(str(tmp_path / "plays"))
+    plan = dimensions.song_members(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<song:string,duration:double>" in plan
+    assert "PushedFilters: [IsNotNull(song), IsNotNull(duration)]" in plan
+    plan = dimensions.session_bounds(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ts:bigint,sessionId:int>" in plan
+    assert plan.count("Exchange") == 1 and "partial_min" in plan
+
+
 def test_sessions_run_from_first_to_last_play(plays):
     day = date(2024, 5, 1)
     got = dimensions.with_start_month(dimensions.session_dimension(plays, day)).filter("sessionId = 1")
