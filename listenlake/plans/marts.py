@@ -18,7 +18,7 @@ def top_songs(facts: DataFrame, songs: DataFrame, k: int) -> DataFrame:
         .orderBy(F.desc("plays"), "song_id")
         .limit(k)
     )
-    return songs.join(F.broadcast(leaders), "song_id").select("song_id", "song_name", "song_duration", "plays")
+    return songs.join(leaders, "song_id").select("song_id", "song_name", "song_duration", "plays")
 
 
 def active_users(facts: DataFrame, user: str) -> DataFrame:

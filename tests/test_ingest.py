@@ -10,7 +10,7 @@ from listenlake.session import kafka_package
 from listenlake.sources.kafka import kafka_options
 from listenlake.sources.messages import MESSAGE_SCHEMA, as_messages, read_messages, stream_messages
 from listenlake.streaming import ingest
-from listenlake.streaming.main import arguments
+from listenlake.streaming import main as driver
 
 TOPIC = "listen_events"
 
@@ -172,6 +172,23 @@ def test_kafka_options():
     assert kafka_package("4.1.2") == "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
 
 
+@pytest.mark.parametrize("file_format", ["parquet", "csv"])
+def test_driver_streams_known_topics_and_skips_others(spark, tmp_path, monkeypatch, caplog, file_format):
+    inbox = str(tmp_path / "in")
+    both = sent(spark, event(1), "broken").unionByName(sent(spark, event(2), topic="auth_events"))
+    both.write.parquet(inbox)
+    monkeypatch.setattr(driver, "stream_topics", lambda spark, brokers, topics: stream_messages(spark, inbox))
+    driver.main(
+        ["--lake", str(tmp_path / "lake"), "--checkpoints", str(tmp_path / "state"), "--interval", "",
+         "--topics", "listen_events,auth_events,other", "--format", file_format]
+    )
+    read = ingest.read_lake if file_format == "parquet" else ingest.read_archive
+    for topic, user in ((TOPIC, 1), ("auth_events", 2)):
+        assert [r["userId"] for r in read(spark, f"{tmp_path}/lake/{topic}", topic).collect()] == [user]
+    assert "no schema for topic other" in caplog.text
+    assert not (tmp_path / "lake" / "other").exists()
+
+
 def test_driver_arguments():
-    args = arguments(["--lake", "gs://b/out", "--checkpoints", "gs://b/state", "--interval", "1 minute"])
+    args = driver.arguments(["--lake", "gs://b/out", "--checkpoints", "gs://b/state", "--interval", "1 minute"])
     assert (args.interval, args.topics.split(",")) == ("1 minute", list(TOPIC_SCHEMAS))

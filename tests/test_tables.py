@@ -97,6 +97,17 @@ def test_partitions_are_replaced_not_doubled(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in ranged._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_partitioned_version_reads_back_with_its_types(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = days(spark, 6).withColumns({"is_active": F.col("id") % 2 == 0, "month": F.month("day")})
+    write_version(frame, path, ["is_active", "month"])
+    got = read_version(spark, path, frame.schema)
+    assert dict(got.dtypes) == dict(frame.dtypes)  # the boolean folder is no text
+    active = got.filter("is_active AND month = 1")
+    assert sorted(r["id"] for r in active.collect()) == [0, 2, 4]
+    assert "PartitionFilters: [isnotnull(is_active" in active._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     root = scratch_root(spark)
