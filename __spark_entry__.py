@@ -381,6 +381,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The corpus operators are a package of their own, which the rest works without.
+try:
+    from listenlake.llm import queries as llm
+except ImportError as error:
+    if not (error.name or "").startswith("listenlake.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES, LLM_SQL = llm.QUERIES, llm.oracle_sql()
+
+
 def _in_utc(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query in a session whose printed times are UTC, like those of the oracle."""
 
@@ -398,8 +409,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _in_utc(query) for name, query in QUERIES.items()}
+    return {name: _in_utc(query) for name, query in {**QUERIES, **LLM_QUERIES}.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return {**oracles.oracle_sql(), **LLM_SQL}

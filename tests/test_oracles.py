@@ -14,7 +14,7 @@ def duckdb_tables():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.QUERIES.keys() <= entry.oracle_sql().keys()
 
 
 def test_flagship(spark):
