@@ -18,6 +18,8 @@ SIMILARITY_PERCENT = 75
 BANDS = 32
 BAND_ROWS = 4
 REGISTERS = BANDS * BAND_ROWS
+# Longs of a parity sketch, 64 bits each.
+SKETCH_LONGS = 32
 # Ids of documents to verify up to this number (16 MB) are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 # Texts are hashed in stretches of about so many bytes, which bounds a worker's memory.
@@ -175,12 +177,26 @@ def _blobs(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
-_SIGNED = "doc_id long, n_shingles long, set_low long, set_high long, bands array<long>"
+def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Of each set, whether an odd or even number of its elements falls on each of some thousand bits.
+
+    Every element that only one of two sets has turns one bit over. So the sketches of two sets
+    never differ in more bits than the sets differ in elements.
+    """
+    bits = 64 * SKETCH_LONGS
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    element = np.concatenate(sets) if len(sets) else np.zeros(0, dtype=np.uint64)
+    cell = row * bits + (_mix(element + _GOLD) % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=len(sets) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(sets), bits), axis=1).view(np.int64)
+
+
+_SIGNED = "doc_id long, n_shingles long, set_low long, set_high long, bands array<long>, sketch array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text: size of its set, two numbers that tell sets apart, and its bands."""
-    names = ["doc_id", "n_shingles", "set_low", "set_high", "bands"]
+    names = ["doc_id", "n_shingles", "set_low", "set_high", "bands", "sketch"]
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
@@ -196,6 +212,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(low.view(np.int64)),
                 pa.array(high.view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands[sizes > 0].ravel())),
+                pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SKETCH_LONGS),
+                    pa.array(parity_sketches(sets).ravel()),
+                ),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -240,9 +260,10 @@ def near_duplicates(
        its smallest id, and go on as one row.
     2. Classes that share a band are compared with the band's smallest class: one pair per
        member and band, however many members there are.
-    3. What remains after the groups of these links are known: members of a band outside its
-       largest group, against members of other groups. Pairs that a group already joins are
-       never made, all others are.
+    3. When the groups of these links are known, members of a band outside its largest group are
+       held against members of other groups. Of these pairs only those leave the join whose
+       parity sketches allow the similarity: a sketch never shows two sets more different than
+       they are, so no link is lost, and dissimilar members of a large band make no rows.
     4. Each pair is verified on full sets.
 
     Ids name documents: rows without id are linked with nothing (component_id null, kept true),
@@ -255,7 +276,7 @@ def near_duplicates(
     key = ["set_low", "set_high", "n_shingles"]
     classes = stored(real.groupBy(*key).agg(F.min("doc_id").alias("class_id")), "classes")
 
-    members = signed.join(classes, key).filter("doc_id = class_id").dropDuplicates(["doc_id", *key])
+    members = signed.drop("sketch").join(classes, key).filter("doc_id = class_id").dropDuplicates(["doc_id", *key])
     banded = members.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "value"))
     shared = banded.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).filter("n > 1")
     in_band = stored(
@@ -279,20 +300,37 @@ def near_duplicates(
     placed = stored(placed, "placed")
     counts = placed.groupBy("band", "value", "component").agg(F.count("*").alias("n"))
     largest = counts.groupBy("band", "value").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("groups")
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.count("*").alias("groups"),
+        F.sum("n").alias("members"),
     )
     # The band's smallest class has been compared with all others already.
-    open_ = placed.filter("doc_id <> hub").join(largest.filter("groups > 1"), ["band", "value"])
-    left = open_.filter("component <> main").select(
-        "band", "value", F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("component").alias("ca")
-    )
-    others = open_.select(
-        "band", "value", F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("component").alias("cb"), "main"
-    )
+    several = largest.filter("groups > 1 AND members > 2").select("band", "value", "main")
+    open_ = stored(placed.filter("doc_id <> hub").join(several, ["band", "value"]), "open")
+    wanted = open_.select(F.col("doc_id").alias("id")).distinct()
+    sketches = signed.select(F.col("doc_id").alias("id"), "n_shingles", "sketch").join(wanted, "id", "left_semi")
+    sketches = stored(sketches.dropDuplicates(["id", "n_shingles"]), "sketches")
+    sketched = open_.join(sketches, (F.col("doc_id") == F.col("id")) & open_["n_shingles"].eqNullSafe(sketches["n_shingles"]))
+
+    def side(name: str) -> DataFrame:
+        return sketched.select(
+            "band",
+            "value",
+            F.col("doc_id").alias(name),
+            open_["n_shingles"].alias(f"n{name}"),
+            F.col("component").alias(f"c{name}"),
+            F.col("main").alias(f"main_{name}"),
+            *[F.get("sketch", F.lit(i)).alias(f"{name}{i}") for i in range(SKETCH_LONGS)],
+        )
+
+    differ = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
+    # Sets that overlap by p percent of their union differ by (100 - p) / (100 + p) of their sizes.
+    may_link = differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
     rest = (
-        left.join(others, ["band", "value"])
-        .filter("ca <> cb AND (cb = main OR a < b)")
-        .filter(_near_in_size(percent))
+        side("a")
+        .filter("ca <> main_a")
+        .join(side("b"), ["band", "value"])
+        .filter(F.expr("ca <> cb AND (cb = main_b OR a < b)") & _near_in_size(percent) & may_link)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
