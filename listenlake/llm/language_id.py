@@ -252,7 +252,7 @@ class _WordScores:
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
         self.scores[at : at + len(new)] = self.model.word_scores(new)
         self.rows.update(zip(new, range(at, at + len(new)), strict=True))
-        sizes = np.array([len(words) for words in texts])
+        sizes = np.array([len(words) for words in texts], dtype=np.int64)
         rows = np.fromiter(map(self.rows.__getitem__, chain.from_iterable(texts)), np.int64, sizes.sum())
         totals = np.zeros((len(texts), len(self.model.languages)))
         some = np.flatnonzero(sizes)
@@ -283,7 +283,8 @@ def _in_chunks(texts: pa.Array, flags: list[bool], words_at_once: int = 200_000)
         if n >= words_at_once:
             yield chunk
             chunk, n = [], 0
-    yield chunk
+    if chunk:
+        yield chunk
 
 
 def _predict(model: LanguageModel, text_index: int):
