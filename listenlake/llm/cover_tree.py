@@ -28,6 +28,7 @@ class Node:
     points: np.ndarray
     children: list[Node] = field(default_factory=list)
     norm: float = 0.0
+    summary: tuple[np.ndarray, ...] | None = None  # centers, radii and norms of the children, and which are leaves
 
 
 def cover_tree(vectors: np.ndarray, leaf: int = LEAF) -> Node:
@@ -65,6 +66,17 @@ def _inner(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (whole(q) @ whole(x).T).astype(np.int64)  # an overflow of 64 bits is an error
 
 
+def _bounds(center: np.ndarray, node: Node, vectors: np.ndarray, parent: Node) -> tuple[np.ndarray, np.ndarray]:
+    """For each child of ``parent``, what no product of its points with those of ``node`` exceeds; and which are leaves."""
+    if parent.summary is None:
+        found = [(c.center, c.radius, c.norm, not c.children) for c in parent.children]
+        parent.summary = tuple(map(np.array, zip(*found, strict=True)))
+    centers, radius, norm, flat = parent.summary
+    product = vectors[centers] @ center
+    bound = product + node.radius * norm + radius * node.norm + radius * node.radius
+    return bound + 1e-9 * (np.abs(bound) + node.norm * norm) + 1e-6, flat
+
+
 class DualTreeSearch:
     """The best ``k`` candidates of each query so far; candidates come a tree at a time."""
 
@@ -74,30 +86,42 @@ class DualTreeSearch:
         self.scores = np.full((len(ids), k), np.iinfo(np.int64).min, dtype=np.int64)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max, dtype=np.int64)
 
-    def _bound(self, q: Node, x: Node, center_product: float) -> float:
-        """No point of ``x`` has a larger product with a query of ``q``."""
-        bound = center_product + q.radius * x.norm + x.radius * q.norm + q.radius * x.radius
-        return bound + 1e-9 * (abs(bound) + q.norm * x.norm) + 1e-6
-
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        """Search both trees together; a pair of nodes is dropped when even its bound is below every kth score of the queries."""
+        """Search both trees together; a pair of nodes is dropped when even its bound is below every kth score of the queries.
+
+        A product is at most that of the centers, and what the radii allow on top. The bounds of
+        all children of a node are taken at once; of the points in those that remain, the most
+        promising come first and raise the kth scores for the others.
+        """
         width = max(vectors.shape[1], self.vectors.shape[1])
         queries, points = (np.pad(a, ((0, 0), (0, width - a.shape[1]))) for a in (self.vectors, vectors))
-        root = cover_tree(points)
-        stack = [(np.inf, self.tree, root)]
+        stack = [(np.inf, self.tree, cover_tree(points))]
         while stack:
             bound, q, x = stack.pop()
             if bound < self.scores[q.points, -1].min():
                 continue
-            if not q.children and not x.children:
+            if q.children and (not x.children or x.radius <= 4 * q.radius):
+                bounds, _ = _bounds(points[x.center], x, queries, q)
+                stack.extend((bounds[i], q.children[i], x) for i in np.argsort(bounds))
+            elif not x.children:
                 self._compare(q.points, ids[x.points], queries, points[x.points])
-                continue
-            split_x = bool(x.children) and (not q.children or x.radius >= q.radius)
-            pairs = [(q, child) for child in x.children] if split_x else [(child, x) for child in q.children]
-            products = queries[[a.center for a, _ in pairs]], points[[b.center for _, b in pairs]]
-            bounds = np.einsum("ij,ij->i", *products)
-            opened = [(self._bound(a, b, float(p)), i) for i, ((a, b), p) in enumerate(zip(pairs, bounds, strict=True))]
-            stack.extend((b, *pairs[i]) for b, i in sorted(opened))  # the most promising pair is on top
+            else:
+                bounds, leaves = _bounds(queries[q.center], q, points, x)
+                order = np.flatnonzero(bounds >= self.scores[q.points, -1].min())
+                order = order[np.argsort(-bounds[order])]
+                flat = leaves[order]
+                stack.extend((bounds[i], q, x.children[i]) for i in order[~flat][::-1])
+                order = order[flat]
+                if q.children:
+                    stack.extend((bounds[i], q, x.children[i]) for i in order[::-1])
+                    continue
+                for at in range(0, len(order), LEAF):
+                    part = order[at : at + LEAF]
+                    part = part[bounds[part] >= self.scores[q.points, -1].min()]
+                    if not len(part):
+                        break
+                    rows = np.concatenate([x.children[i].points for i in part])
+                    self._compare(q.points, ids[rows], queries, points[rows])
 
     def _compare(self, at: np.ndarray, ids: np.ndarray, queries: np.ndarray, points: np.ndarray) -> None:
         scores = _inner(queries[at], points)
