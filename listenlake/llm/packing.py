@@ -21,6 +21,8 @@ SEQUENCE_TOKENS = 2048
 SEARCH_NODES = 3_000
 # Fillings that are compared at one node before the search goes deeper.
 FILLINGS_AT_NODE = 8
+# Steps in which they are enumerated.
+FILLING_STEPS = 1_000
 # Distinct words whose ids a Python worker remembers (some 200 bytes each); it then starts anew.
 REMEMBERED_WORDS = 1_000_000
 
@@ -74,8 +76,10 @@ def fillings(lengths: list[int], left: dict[int, int], room: int) -> Iterator[tu
     """Undominated ways to fill ``room``, longest pieces first, each with the room it wastes.
 
     A filling is dominated if it has room for one more piece, or for a longer piece in place of
-    one of its own: what then stands there can take the place of what stood there before.
+    one of its own: what then stands there can take the place of what stood there before. The
+    enumeration ends after ``FILLING_STEPS`` steps.
     """
+    steps = iter(range(FILLING_STEPS))
     if left.get(room):  # one piece that fills the room exactly dominates all else
         yield {room: 1}, 0
         return
@@ -91,6 +95,8 @@ def fillings(lengths: list[int], left: dict[int, int], room: int) -> Iterator[tu
         return True
 
     def extend(at: int, chosen: dict[int, int], free: int) -> Iterator[tuple[dict[int, int], int]]:
+        if next(steps, None) is None:
+            return
         while at < len(lengths) and (lengths[at] > free or not left[lengths[at]]):
             at += 1
         if at == len(lengths):
