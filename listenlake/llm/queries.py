@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlake.llm import cover_tree, exact_dedup, html_text, language_id, mixing, near_dedup, packing, secret_scan, sharding
+from listenlake.llm import cover_tree, exact_dedup, html_text, language_id, line_dedup, mixing, near_dedup, packing, secret_scan, sharding
 from listenlake.llm.common import table
 from listenlake.llm.oracles import ORACLES
 
@@ -33,6 +33,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_report(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.learned_model(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_mixing,
         op2_near_dedup,
         op3_secrets,
+        op4_line_dedup,
         op5_language,
         op6_exact_dedup,
         op7_top_products,

@@ -20,6 +20,7 @@ from listenlake.llm import (
     exact_dedup,
     html_text,
     language_id,
+    line_dedup,
     mixing,
     near_dedup,
     packing,
@@ -235,6 +236,39 @@ def test_window_entropy_equals_brute_force(spark):
         assert row.h == pytest.approx(brute_entropy(row.t), abs=1e-9)
 
 
+# --- 4 line dedup ---------------------------------------------------------------------
+
+
+def test_repeated_lines_equal_brute_force(spark):
+    rng = random.Random(11)
+    pool = [" ".join(f"w{rng.randint(0, 99)}" for _ in range(rng.choice([1, 3, 8, 12]))) for _ in range(12)]
+    texts = {i: [rng.choice(pool) for _ in range(rng.randint(0, 9))] for i in range(60)}
+    first: dict[tuple, tuple[int, int]] = {}
+    gone = defaultdict(set)
+    for d, lines in texts.items():
+        for s in range(len(lines)):
+            e = next((e for e in range(s + 1, len(lines) + 1) if sum(len(x.split()) for x in lines[s:e]) >= 20), None)
+            if e is None:
+                continue
+            d0, s0 = first.setdefault(tuple(lines[s:e]), (d, s))
+            if (d0, s0) == (d, s):
+                continue
+            other = texts[d0]
+            a, b = s, e
+            while a > 0 and s0 - (s - a) > 0 and lines[a - 1] == other[s0 - (s - a) - 1]:
+                a -= 1
+            while b < len(lines) and s0 + (b - s) < len(other) and lines[b] == other[s0 + (b - s)]:
+                b += 1
+            gone[d] |= set(range(a, b))
+    docs = spark.createDataFrame([(i, "\n".join(t), None, None, None) for i, t in texts.items()], DOCS)
+    found = line_dedup.drop_repeated_lines(docs, 20).collect()
+    assert any(gone.values()) and len(found) == 60
+    for r in found:
+        lines = texts[r.doc_id] or [""]
+        assert r.text == "\n".join(x for i, x in enumerate(lines) if i not in gone[r.doc_id]), r.doc_id
+        assert (r.n_lines, r.n_deleted) == (len(lines), len(gone[r.doc_id]))
+
+
 # --- 5 language ID --------------------------------------------------------------------
 
 
@@ -504,13 +538,14 @@ OPERATORS = {
     "near": lambda d: near_dedup.near_duplicates(d),
     "drop near": lambda d: near_dedup.drop_near_duplicates(d),
     "secrets": lambda d: secret_scan.scan_report(d),
+    "lines": lambda d: line_dedup.drop_repeated_lines(d),
     "language": lambda d: language_id.with_language(d, language_id.learned_model(d, tokenizer_file("piece_bpe_32k.model"))),
     "exact": lambda d: exact_dedup.exact_duplicates(d),
     "drop exact": lambda d: exact_dedup.drop_exact_duplicates(d),
     "packing": lambda d: packing.pack_documents(d, tokenizer_file("word_bpe_49k.json")),
     "sharding": lambda d: sharding.shard_documents(d),
 }
-ROWS = {"mixing": 14, "near": 14, "drop near": 10, "secrets": 14, "language": 14, "exact": 14, "drop exact": 9, "sharding": 14}
+ROWS = {"mixing": 14, "near": 14, "drop near": 10, "secrets": 14, "lines": 14, "language": 14, "exact": 14, "drop exact": 9, "sharding": 14}
 
 
 @pytest.mark.parametrize("name", OPERATORS)
