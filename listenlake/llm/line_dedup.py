@@ -13,6 +13,8 @@ from listenlake.llm.common import map_arrow, stored
 
 # A repeated run has so many words at least.
 RUN_WORDS = 50
+# The runs of up to so many documents (some 40 MB) are broadcast to the texts; else both are joined by shuffle.
+BROADCAST_DOCS = 200_000
 
 _LINES = "doc_id long, line int, hash long, words long, window long, least int"
 
@@ -105,7 +107,10 @@ def drop_repeated_lines(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFr
     runs = repeated_runs(docs, least_words).groupBy("doc_id").agg(
         F.array_sort(F.collect_set(F.struct("first_line", "last_line"))).alias("runs")
     )
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(stored(runs, "runs"), "doc_id", "left")
+    runs = stored(runs, "runs")
+    if runs.count() <= BROADCAST_DOCS:
+        runs = F.broadcast(runs)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(runs, "doc_id", "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.exists("runs", lambda r: (r["first_line"] <= i) & (i <= r["last_line"])))
     kept = F.when(F.col("runs").isNull(), lines).otherwise(kept)
