@@ -350,7 +350,10 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, that of the smallest id, whole and unchanged."""
+    """``docs`` with one document of each group of near duplicates, that of the smallest id, whole and unchanged.
+
+    Rows without id, and all rows of an id that stays, are kept.
+    """
     gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_near_id")).distinct()
     gone = stored(gone, "near-gone")
     if gone.count() <= BROADCAST_IDS:
