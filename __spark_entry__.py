@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
-from listenlake.functions.times import epoch_millis, hour_key, utc_date, utc_hour
+from listenlake.functions.times import epoch_millis, utc_date, utc_hour
 from listenlake.operators.lookup import attach_key
 from listenlake.operators.ordering import dense_keys
 from listenlake.operators.runs import state_runs
@@ -35,6 +35,7 @@ NEXT_LOAD = date(2024, 2, 1)
 # Per application and folder: the visits derived from its tables, and the warehouse built on them.
 _visits_of: dict[tuple[str, str], DataFrame] = {}
 _warehouses: dict[tuple[str, str], Warehouse] = {}
+_facts: dict[tuple[str, str, bool], DataFrame] = {}
 
 
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +59,16 @@ def _plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _warehouse(spark, sf_dir).plays
 
 
+def _stored_fact(spark: SparkSession, sf_dir: str, by_hour: bool) -> DataFrame:
+    """The facts of all dates, loaded when first used."""
+    at = (spark.sparkContext.applicationId, sf_dir, by_hour)
+    if at not in _facts:
+        store = _warehouse(spark, sf_dir)
+        dates = store.plays.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+        _facts[at] = store.load_facts(dates["first"], dates["last"], by_hour)
+    return _facts[at]
+
+
 def _without_zone(frame: DataFrame) -> DataFrame:
     """TIMESTAMP columns as TIMESTAMP_NTZ in UTC, the form the oracle has."""
     zoned = [name for name, kind in frame.dtypes if kind == "timestamp"]
@@ -95,6 +106,29 @@ def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_bad_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake rows by outcome when four in ten messages have an impossible time and one an unreadable place."""
+    topic = "listen_events"
+    kind = F.get_json_object("text", "$.event_id") % 10
+    spoilt = (
+        F.when(kind == 0, F.regexp_replace("text", r'"ts":\d+', '"ts":9223372036854775807'))
+        .when(kind == 1, F.regexp_replace("text", r'"ts":(\d+)', '"ts":$1000'))
+        .when(kind == 2, F.regexp_replace("text", r'"ts":', '"ts":-'))
+        .when(kind == 3, F.regexp_replace("text", r'"ts":\d+', '"ts":"yesterday"'))
+        .when(kind == 4, F.regexp_replace("text", r'"sessionId":\d+', '"sessionId":"unknown"'))
+        .otherwise(F.col("text"))
+    )
+    sent = messages.as_messages(_topic(spark, sf_dir, topic), topic).withColumn("text", F.col("value").cast("string"))
+    sent_to, output, state = (scratch_path(spark, label) for label in ("messages", "lake", "checkpoints"))
+    sent.withColumn("value", spoilt.cast("binary")).drop("text").write.parquet(f"{sent_to}/{topic}")
+    stream = messages.stream_messages(spark, f"{sent_to}/{topic}")
+    ingest.wait_for([ingest.ingest_topic(stream, topic, output, state, None)])
+    lake = spark.read.schema(ingest.lake_schema(TOPIC_SCHEMAS[topic])).parquet(f"{output}/{topic}")
+    return lake.groupBy("quality", F.coalesce("bad_reason", F.lit("none")).alias("reason")).agg(
+        F.count("*").alias("message_rows"), F.count("raw_value").alias("kept_texts"), F.sum("ts").alias("sum_ts")
+    )
+
+
 def _streamed(spark: SparkSession, sf_dir: str, topics: list[str], start) -> str:
     """Send the topics through a message folder and a caught-up stream; returns the output folder."""
     sent_to, output, state = (scratch_path(spark, label) for label in ("messages", "lake", "checkpoints"))
@@ -232,7 +266,20 @@ def fact_plays_device(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_fact_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.sums_preserved(_plays(spark, sf_dir), fact_plays_hour(spark, sf_dir))
+    return checks.sums_preserved(_plays(spark, sf_dir), _stored_fact(spark, sf_dir, by_hour=True))
+
+
+def fact_undated_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts loaded by date range when one play in fifty has no time: none is lost."""
+    store = _warehouse(spark, sf_dir)
+    lost = F.col("event_id") % 50 != 0
+    plays = store.plays.withColumns({c: F.when(lost, F.col(c)) for c in ("ts", "event_date")})
+    other = Warehouse(spark, scratch_path(spark, "undated"), materialise(plays, "plays"), FIRST_LOAD)
+    dates = other.plays.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+    loaded = other.load_facts(dates["first"], dates["last"], by_hour=True)
+    return loaded.groupBy(F.col("datetime_id").isNull().alias("undated")).agg(
+        F.count("*").alias("fact_rows"), F.sum(F.col("duration").cast(checks.EXACT)).cast("double").alias("total_duration")
+    )
 
 
 def check_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,12 +287,10 @@ def check_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_hours_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates on which some hour of the calendar had no play without an artist."""
+    """Dates that lack hours, when every seventh hour and every tenth day is taken out of the hour calendar."""
     store = _warehouse(spark, sf_dir)
-    ts = F.col("ts")
-    nameless = store.plays.filter("artist IS NULL")
-    hours = nameless.select(hour_key(utc_date(ts), utc_hour(ts)).alias("DateSK")).distinct()
-    return checks.incomplete_dates(store.table("dim_date_hour").join(hours, "DateSK", "left_semi"))
+    hours = store.table("dim_date_hour").filter("DateSK % 7 <> 0 AND Day % 10 <> 0")
+    return checks.incomplete_dates(store.table("dim_date"), hours)
 
 
 def check_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,15 +326,15 @@ def duration_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_top_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _warehouse(spark, sf_dir)
-    return marts.top_songs(fact_plays_hour(spark, sf_dir), store.table("dim_song"), 20)
+    return marts.top_songs(_stored_fact(spark, sf_dir, by_hour=True), store.table("dim_song"), 20)
 
 
 def mart_active_users_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.active_users(fact_plays_hour(spark, sf_dir), "user_id_fk")
+    return marts.active_users(_stored_fact(spark, sf_dir, by_hour=True), "user_id_fk")
 
 
 def mart_active_users_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.active_users(fact_plays_day(spark, sf_dir), "userKey")
+    return marts.active_users(_stored_fact(spark, sf_dir, by_hour=False), "userKey")
 
 
 def mart_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -344,6 +389,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         query.__name__: query
         for query in (
             ingest_quarantine,
+            ingest_bad_times,
             ingest_stream_append,
             ingest_stream_topics,
             archive_csv,
@@ -363,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
             fact_plays_day,
             fact_plays_hour,
             fact_plays_device,
+            fact_undated_plays,
             check_fact_sums,
             check_profile,
             check_hours_per_date,

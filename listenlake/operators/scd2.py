@@ -58,7 +58,8 @@ def merge_versions(
     * an unknown member gets a first version.
 
     New versions get new surrogate keys, in ``key_order``, after the highest one
-    in use. Merging the same input again changes nothing.
+    in use. Merging the same input again changes nothing. Two incoming rows of one
+    natural key, or a change dated before the version it would close, raise.
     """
     columns = existing.columns
     active = existing.filter("is_active")
@@ -75,6 +76,11 @@ def merge_versions(
         ),
         "merge",
     )
+    twice = fates.filter(F.col("new").isNotNull()).groupBy(*[F.col(f"new.{c}") for c in natural]).count()
+    if not twice.filter("count > 1").isEmpty():
+        raise ValueError(f"incoming rows are not unique in {', '.join(natural)}")
+    if not fates.filter(~F.col("keep") & (F.col("old.start_date") > F.lit(effective))).isEmpty():
+        raise ValueError(f"versions that start after {effective} would be closed by it")
 
     kept = fates.filter(F.col("old").isNotNull()).select(
         *[F.col(f"old.{c}").alias(c) for c in columns if c not in ("end_date", "is_active")],

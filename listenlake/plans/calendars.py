@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listenlake.functions.calendar_parts import calendar_parts
-from listenlake.functions.times import utc_date
+from listenlake.functions.times import EARLIEST_MS, LATEST_MS, utc_date
 
 
 def date_range(spark: SparkSession, first: date, last: date) -> DataFrame:
@@ -17,8 +17,11 @@ def date_range(spark: SparkSession, first: date, last: date) -> DataFrame:
 
 
 def range_of_plays(plays: DataFrame) -> DataFrame:
-    """From the date of the first play to the date of the last one."""
-    return plays.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).select(
+    """From the date of the first play to the date of the last one, between 2000 and 2100.
+
+    A play at another time is no reason for a calendar of millions of days.
+    """
+    return plays.filter(F.col("ts").between(EARLIEST_MS, LATEST_MS)).agg(F.min("ts").alias("first"), F.max("ts").alias("last")).select(
         utc_date(F.col("first")).alias("first"), utc_date(F.col("last")).alias("last")
     )
 

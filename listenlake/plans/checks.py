@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from listenlake.functions.times import utc_second
 
-# Sums of doubles depend on the order of the rows; sums of decimals do not.
-EXACT = "decimal(18,2)"
+# Sums of doubles depend on the order of the rows; sums of decimals do not. Nine decimals
+# hold what a duration in seconds is given with; nothing is rounded before the sum.
+EXACT = "decimal(38,9)"
 
 
 def _exact_total(column: str):
@@ -103,11 +104,13 @@ def approximate_profile(plays: DataFrame, relative_error: float = 0.01) -> DataF
     )
 
 
-def incomplete_dates(hours: DataFrame) -> DataFrame:
-    """Dates of an hour calendar with fewer than 24 hours."""
+def incomplete_dates(days: DataFrame, hours: DataFrame) -> DataFrame:
+    """Dates of the day calendar with fewer than 24 hours in the hour calendar; 0 where it has none."""
+    counted = hours.groupBy(F.col("date").cast("date").alias("Date")).agg(F.count("Hour").alias("hour_count"))
     return (
-        hours.groupBy(F.col("date").cast("date").alias("Date"))
-        .agg(F.count("Hour").alias("hour_count"))
+        days.select("Date")
+        .join(counted, "Date", "left")
+        .select("Date", F.coalesce("hour_count", F.lit(0)).alias("hour_count"))
         .filter("hour_count < 24")
     )
 

@@ -16,7 +16,7 @@ from listenlake.operators.scratch import clear_scratch
 from listenlake.plans.checks import sums_preserved
 from listenlake.plans.warehouse import Warehouse
 from listenlake.session import build_session
-from listenlake.sources.tables import between_dates
+from listenlake.sources.tables import of_dates
 from listenlake.streaming.ingest import read_lake
 
 GRAINS = {"day": False, "hour": True}
@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session("listenlake-batch")
     plays = read_lake(spark, f"{args.lake}/listen_events", "listen_events")
-    loaded = between_dates(plays, args.first, args.last)
+    loaded = of_dates(plays, args.first, args.last)
 
     store = Warehouse(spark, args.warehouse, plays, args.effective or args.last)
     try:
@@ -45,10 +45,13 @@ def main(argv: list[str] | None = None) -> None:
         for grain, by_hour in GRAINS.items():
             if args.grain in (grain, "both"):
                 facts = store.load_facts(args.first, args.last, by_hour)
+                kept = of_dates(facts, args.first, args.last)
                 if by_hour:
-                    report = sums_preserved(loaded, between_dates(facts, args.first, args.last)).first()
+                    report = sums_preserved(loaded, kept).first()
                     if not report["preserved"]:
                         raise RuntimeError(f"facts differ from plays: {report.asDict()}")
+                elif loaded.count() != kept.count():
+                    raise RuntimeError("facts by day differ from plays in number")
     finally:
         clear_scratch(spark)
 

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def top_songs(facts: DataFrame, songs: DataFrame, k: int) -> DataFrame:
-    """The ``k`` most played songs (ties by id), with their names.
+    """The ``k`` most played songs (ties by id) in order, with their rank and names.
 
-    The counts are joined to the names after the cut, when ``k`` rows are left.
+    The counts are ranked and joined to the names after the cut, when ``k`` rows are left.
     """
+    order = [F.desc("plays"), F.asc("song_id")]
     leaders = (
         facts.filter(F.col("song_id").isNotNull())
         .groupBy("song_id")
         .agg(F.sum("plays_count").alias("plays"))
-        .orderBy(F.desc("plays"), "song_id")
+        .orderBy(*order)
         .limit(k)
+        .withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     )
-    return songs.join(leaders, "song_id").select("song_id", "song_name", "song_duration", "plays")
+    named = songs.join(leaders, "song_id").select("rank", "song_id", "song_name", "song_duration", "plays")
+    return named.orderBy("rank")
 
 
 def active_users(facts: DataFrame, user: str) -> DataFrame:

@@ -12,7 +12,15 @@ from pyspark.sql.types import StructType
 from listenlake.functions.times import utc_date
 from listenlake.plans import calendars, dimensions, users
 from listenlake.plans.facts import Star, fact_by_day, fact_by_hour
-from listenlake.sources.tables import between_dates, read_version, replace_partitions, versions, write_version
+from listenlake.sources.tables import (
+    drop_dates,
+    drop_old_versions,
+    of_dates,
+    read_version,
+    replace_partitions,
+    versions,
+    write_version,
+)
 
 # How each dimension follows from the plays, the date of new versions and its stored
 # rows (None at first). Order matters: the user dimension is read off its history.
@@ -58,6 +66,7 @@ class Warehouse:
         else:
             frame = _FROM_PLAYS[name](self.plays, self.effective, stored)
         write_version(frame, f"{self.root}/{name}")
+        drop_old_versions(self.spark, f"{self.root}/{name}")
         self._schemas[name] = frame.schema
         return self._stored(name)
 
@@ -83,13 +92,17 @@ class Warehouse:
         )
 
     def load_facts(self, first: date, last: date, by_hour: bool) -> DataFrame:
-        """Replace the facts of the dates ``first..last``; doing so twice changes nothing.
+        """Replace the facts of the dates ``first..last`` and those without a date; doing so twice changes nothing.
 
-        The plays are read for these dates only: their ``event_date`` prunes folders.
+        The plays are read for these dates only: their ``event_date`` prunes folders. Plays
+        without a date are a partition of their own, replaced by every load. Dates that have no
+        play any more have no fact afterwards.
         """
         build = fact_by_hour if by_hour else fact_by_day
-        rows = build(between_dates(self.plays, first, last), self.star(by_hour))
+        plays = of_dates(self.plays, first, last)
+        rows = build(plays, self.star(by_hour))
         dated = rows.withColumn("event_date", utc_date(F.col("ts")))
         path = f"{self.root}/{'fact_by_hour' if by_hour else 'fact_by_day'}"
         replace_partitions(dated, path, ["event_date"])
+        drop_dates(self.spark, path, first, last, {row.event_date for row in plays.select("event_date").distinct().collect()})
         return self.spark.read.schema(dated.schema).parquet(path)

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def kafka_options(brokers: str, topics: Iterable[str], **overrides: str) -> dict[str, str]:
-    """Source options: subscribe to the topics, from the earliest offset on."""
+    """Source options: subscribe to the topics, from the earliest offset on.
+
+    Messages that expired before they were read stop the query, unless an override allows the loss.
+    """
     wanted = list(topics)
     if not wanted:
-        raise ValueError("Kafka topics must be provided.")
+        raise ValueError("no topic to subscribe to")
     return {
         "kafka.bootstrap.servers": brokers,
         "subscribe": ",".join(wanted),
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         **overrides,
     }
 

@@ -52,7 +52,8 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
             "day",
             F.when(played, F.col("p_brand")).alias("artist"),
             F.when(played, F.col("p_name")).alias("song"),
-            F.col("value").alias("duration"),
+            # Five decimals, as the service sends them.
+            (F.col("value") + F.col("event_id") % 100 / 100_000).alias("duration"),
             F.col("ms").alias("ts"),
             (F.col("user_id") * 100 + F.col("day")).cast("int").alias("sessionId"),
             F.lit("Logged In").alias("auth"),

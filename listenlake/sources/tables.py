@@ -101,6 +101,21 @@ def replace_partitions(frame: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def drop_dates(spark: SparkSession, path: str, first: date, last: date, keep: set[date], column: str = "event_date") -> None:
+    """Delete the partitions of the dates ``first..last`` that are not in ``keep``."""
+    files, folder = _file_system(spark, path)
+    for status in files.listStatus(folder):
+        name, _, value = status.getPath().getName().partition("=")
+        if name == column and value[:1].isdigit() and first <= date.fromisoformat(value) <= last:
+            if date.fromisoformat(value) not in keep:
+                files.delete(status.getPath(), True)
+
+
+def of_dates(frame: DataFrame, first: date, last: date, column: str = "event_date") -> DataFrame:
+    """Rows of a date range and rows without a date, which belong to every load."""
+    return frame.filter(F.col(column).between(F.lit(first), F.lit(last)) | F.col(column).isNull())
+
+
 def between_dates(frame: DataFrame, first: date, last: date, column: str = "event_date") -> DataFrame:
     """Rows of a date range: prunes the folders of a table partitioned by the date."""
     return frame.filter(F.col(column).between(F.lit(first), F.lit(last)))

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from listenlake.functions.masking import masked_date
-from listenlake.functions.times import utc_date
+from listenlake.functions.times import EARLIEST_MS, LATEST_MS, utc_date
 from listenlake.schemas import TOPIC_SCHEMAS
 
 QUALITY = "quality"
@@ -34,12 +34,21 @@ def topic_rows(messages: DataFrame, topic: str) -> DataFrame:
     return messages.filter(F.col("topic") == topic)
 
 
-def parse_topic(messages: DataFrame, topic: str, schema: StructType, strict: bool = False) -> DataFrame:
+def parse_topic(
+    messages: DataFrame,
+    topic: str,
+    schema: StructType,
+    strict: bool = False,
+    earliest_ms: int = EARLIEST_MS,
+    latest_ms: int = LATEST_MS,
+) -> DataFrame:
     """Messages of ``topic`` as ``schema`` columns plus quality, reason and raw text.
 
-    Bad messages keep only their raw text and a reason: ``null_value`` (no text)
-    or ``malformed_json`` (no JSON object). A field of the wrong type is NULL
-    and the row is good; with ``strict`` it is bad, reason ``wrong_type``.
+    Bad messages keep only their raw text and a reason: ``null_value`` (no text),
+    ``malformed_json`` (no JSON object) or ``bad_time`` (``ts`` is no whole number, or
+    outside ``earliest_ms..latest_ms``; without any ``ts`` a row is good). Another field of
+    the wrong type is NULL and the row is good, with its raw text and the reason
+    ``wrong_type``; with ``strict`` it is bad.
     """
     with_corrupt = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
     text = F.col("value").cast("string")
@@ -50,15 +59,20 @@ def parse_topic(messages: DataFrame, topic: str, schema: StructType, strict: boo
     nothing_read = F.coalesce(*[F.col(f"data.{name}").cast("string") for name in schema.names]).isNull()
     corrupt = F.col(f"data.{_CORRUPT}").isNotNull()
     reason = F.when(F.col("data").isNull(), "null_value").when(corrupt & nothing_read, "malformed_json")
-    if strict:
-        reason = reason.when(corrupt, "wrong_type")
+    if "ts" in schema.names:
+        ts = F.col("data.ts")
+        unread = ts.isNull() & F.get_json_object(RAW, "$.ts").isNotNull()
+        reason = reason.when(unread | ~ts.between(earliest_ms, latest_ms), "bad_time")
+    reason = reason.when(corrupt, "wrong_type")
     judged = parsed.withColumn(REASON, reason)
     good = F.col(REASON).isNull()
+    if not strict:
+        good = good | (F.col(REASON) == "wrong_type")
     return judged.select(
         *[F.when(good, F.col(f"data.{name}")).alias(name) for name in schema.names],
         F.when(good, GOOD).otherwise(BAD).alias(QUALITY),
         REASON,
-        F.when(~good, F.col(RAW)).alias(RAW),
+        F.when(F.col(REASON).isNotNull(), F.col(RAW)).alias(RAW),
     )
 
 
@@ -152,8 +166,19 @@ def run_topics(
     source: Callable[[str], DataFrame],
     start: Callable[[DataFrame, str], StreamingQuery],
 ) -> list[StreamingQuery]:
-    """Start one query per topic, each on a source of its own, so no topic is read twice."""
-    return [start(source(topic), topic) for topic in topics]
+    """Start one query per topic, each on a source of its own, so no topic is read twice.
+
+    If one cannot start, those started before are stopped and the error is raised.
+    """
+    started: list[StreamingQuery] = []
+    try:
+        for topic in topics:
+            started.append(start(source(topic), topic))
+    except Exception:
+        for query in started:
+            query.stop()
+        raise
+    return started
 
 
 def wait_for(queries: list[StreamingQuery]) -> None:

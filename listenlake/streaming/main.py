@@ -29,22 +29,41 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--interval", default="2 minutes", help="trigger interval; empty: catch up and end")
     parser.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     parser.add_argument("--strict", action="store_true", help="set rows with a wrong-typed field aside")
+    parser.add_argument("--max-offsets-per-trigger", type=int, help="most messages of a topic in one batch")
+    parser.add_argument("--allow-data-loss", action="store_true", help="go on when messages expired unread")
     return parser.parse_args(argv)
 
 
+def source_overrides(args: argparse.Namespace) -> dict[str, str]:
+    """Kafka source options that the arguments set."""
+    overrides = {"failOnDataLoss": "false"} if args.allow_data_loss else {}
+    if args.max_offsets_per_trigger:
+        overrides["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
+    return overrides
+
+
+def wanted_topics(text: str) -> list[str]:
+    """The known topics of a comma-separated list; raises if there is none."""
+    topics, unknown = known_topics([name.strip() for name in text.split(",") if name.strip()])
+    for topic in unknown:
+        log.warning("no schema for topic %s, skipped", topic)
+    if not topics:
+        raise ValueError(f"no known topic in {text!r}")
+    return topics
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
+    topics = wanted_topics(args.topics)
     spark = build_session("listenlake-ingest")
-    topics, unknown = known_topics(args.topics.split(","))
-    for topic in unknown:
-        log.warning("no schema for topic %s, skipped", topic)
 
     def start(messages, topic):
         if args.format == "csv":
             return archive_topic(messages, topic, args.lake, args.checkpoints, args.interval or None)
         return ingest_topic(messages, topic, args.lake, args.checkpoints, args.interval or None, args.strict)
 
-    queries = run_topics(topics, lambda topic: stream_topics(spark, args.brokers, [topic]), start)
+    overrides = source_overrides(args)
+    queries = run_topics(topics, lambda topic: stream_topics(spark, args.brokers, [topic], **overrides), start)
     wait_for(queries)
 
 

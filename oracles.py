@@ -7,7 +7,7 @@ visits AS (
   SELECT e.event_id, e.event_type, day(e.ts) AS day,
     CASE WHEN e.event_type <> 'error' THEN p_brand END AS artist,
     CASE WHEN e.event_type <> 'error' THEN p_name END AS song,
-    e.value AS duration,
+    e.value + (e.event_id % 100) / 100000.0e0 AS duration,
     epoch_us(e.ts) // 1000 AS ts,
     CAST(e.user_id * 100 + day(e.ts) AS INTEGER) AS sessionId,
     'Logged In' AS auth,
@@ -196,7 +196,7 @@ FACT_HOUR = _fact(
 
 _DIMENSIONS = [SONG, ARTIST, CITY, DEVICE, SESSION, USER_HISTORY, USER]
 
-_EXACT = "CAST(sum(CAST(duration AS DECIMAL(18,2))) AS DOUBLE)"
+_EXACT = "CAST(sum(CAST(duration AS DECIMAL(38,9))) AS DOUBLE)"
 
 
 def _over(parts: list[str], select: str) -> str:
@@ -353,6 +353,20 @@ def oracle_sql() -> dict[str, str]:
                  CAST(sum(CASE WHEN event_id % 10 > 1 THEN ts END) AS BIGINT) AS sum_ts
                FROM listen GROUP BY 1, 2""",
         ),
+        "ingest_bad_times": _over(
+            [],
+            """SELECT CASE WHEN event_id % 10 <= 3 THEN 'bad' ELSE 'good' END AS quality,
+                 CASE WHEN event_id % 10 <= 3 THEN 'bad_time' WHEN event_id % 10 = 4 THEN 'wrong_type' ELSE 'none' END
+                   AS reason,
+                 count(*) AS message_rows, count(CASE WHEN event_id % 10 <= 4 THEN 1 END) AS kept_texts,
+                 CAST(sum(CASE WHEN event_id % 10 > 3 THEN ts END) AS BIGINT) AS sum_ts
+               FROM listen GROUP BY 1, 2""",
+        ),
+        "fact_undated_plays": _over(
+            [],
+            f"""SELECT event_id % 50 = 0 AS undated, count(*) AS fact_rows, {_EXACT} AS total_duration
+                FROM listen GROUP BY 1""",
+        ),
         "ingest_stream_append": _topic(f"{_LISTEN_COLUMNS}, registration_date, event_date"),
         "ingest_stream_topics": _over([], arrived),
         "archive_csv": _topic(_PAGE_COLUMNS),
@@ -381,15 +395,16 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT (SELECT count(*) FROM listen) AS play_rows, count(*) AS fact_rows,
                   (SELECT {_EXACT} FROM listen) AS play_duration, {_EXACT} AS fact_duration,
                   count(*) = (SELECT count(*) FROM listen)
-                    AND sum(CAST(duration AS DECIMAL(18,2)))
-                      = (SELECT sum(CAST(duration AS DECIMAL(18,2))) FROM listen) AS preserved
+                    AND sum(CAST(duration AS DECIMAL(38,9)))
+                      = (SELECT sum(CAST(duration AS DECIMAL(38,9))) FROM listen) AS preserved
                 FROM fact_hour""",
         ),
         "check_profile": _over([], profile),
         "check_hours_per_date": _over(
-            [],
-            """SELECT event_date AS "Date", count(DISTINCT hour(second)) AS hour_count FROM listen
-               WHERE artist IS NULL GROUP BY event_date HAVING count(DISTINCT hour(second)) < 24""",
+            [DAYS, HOURS],
+            """SELECT d."Date", count(h.Hour) AS hour_count FROM days d
+               LEFT JOIN hours h ON CAST(h."date" AS DATE) = d."Date" AND h.DateSK % 7 <> 0 AND h.Day % 10 <> 0
+               GROUP BY d."Date" HAVING count(h.Hour) < 24""",
         ),
         "check_date_range": _over([], "SELECT min(event_date) AS first_date, max(event_date) AS last_date FROM listen"),
         "check_unique_keys": _over(
@@ -404,7 +419,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "mart_top_songs": _over(
             hour_star,
-            """SELECT f.song_id, song_name, song_duration, CAST(sum(plays_count) AS BIGINT) AS plays
+            """SELECT CAST(row_number() OVER (ORDER BY sum(plays_count) DESC, f.song_id) AS INTEGER) AS rank,
+                 f.song_id, song_name, song_duration, CAST(sum(plays_count) AS BIGINT) AS plays
                FROM fact_hour f JOIN song s ON f.song_id = s.song_id
                GROUP BY f.song_id, song_name, song_duration ORDER BY plays DESC, f.song_id LIMIT 20""",
         ),

@@ -36,7 +36,6 @@ def test_good_and_bad_messages(spark):
         [
             (1_704_067_200_001, 1, "s1", "123"),
             (1_704_067_200_000 + big, big, f"s{big}", "123"),
-            (None, None, "x", None),  # a wrong-typed field is NULL, its row stays
             (None, None, None, None),  # an empty object is an event without fields
         ],
         key=str,
@@ -50,13 +49,29 @@ def test_good_and_bad_messages(spark):
             ('{"ts":1,"song":', "malformed_json"),
             ("[1]", "malformed_json"),
             ("null", "malformed_json"),
+            ('{"ts":"abc","song":"x"}', "bad_time"),
         ],
         key=str,
     )
 
 
+@pytest.mark.parametrize("ts", ["9223372036854775807", "9223372036854775808", "1704067200000000", "-1", '"abc"', "1.5"])
+def test_impossible_times_are_set_aside(spark, ts):
+    text = f'{{"ts":{ts},"song":"x"}}'
+    lake = ingest.enrich(ingest.parse_topic(sent(spark, text, event(1)), TOPIC, LISTEN_EVENTS))
+    assert ingest.good_rows(lake).count() == 1
+    assert [tuple(r) for r in ingest.bad_rows(lake).collect()] == [(text, "bad_time")]
+
+
+def test_a_lost_field_leaves_its_text(spark):
+    text = '{"ts":1704067200000,"sessionId":"x","song":"y"}'
+    row = ingest.parse_topic(sent(spark, text), TOPIC, LISTEN_EVENTS).first()
+    assert (row["quality"], row["song"], row["sessionId"]) == ("good", "y", None)
+    assert (row["bad_reason"], row["raw_value"]) == ("wrong_type", text)
+
+
 def test_strict_sets_wrong_types_aside(spark):
-    messages = sent(spark, event(1), '{"ts":"abc","song":"x"}', '{"ts":1,"sessionId":3000000000}')
+    messages = sent(spark, event(1), event(2, lon="x"), event(3, sessionId=3_000_000_000))
     parsed = ingest.parse_topic(messages, TOPIC, LISTEN_EVENTS, strict=True)
     assert ingest.good_rows(parsed).count() == 1
     assert {r["bad_reason"] for r in ingest.bad_rows(parsed).collect()} == {"wrong_type"}
@@ -164,7 +179,7 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h:9092",
         "subscribe": "a,b",
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "5",
     }
     with pytest.raises(ValueError):
@@ -177,7 +192,7 @@ def test_driver_streams_known_topics_and_skips_others(spark, tmp_path, monkeypat
     inbox = str(tmp_path / "in")
     both = sent(spark, event(1), "broken").unionByName(sent(spark, event(2), topic="auth_events"))
     both.write.parquet(inbox)
-    monkeypatch.setattr(driver, "stream_topics", lambda spark, brokers, topics: stream_messages(spark, inbox))
+    monkeypatch.setattr(driver, "stream_topics", lambda spark, brokers, topics, **options: stream_messages(spark, inbox))
     driver.main(
         ["--lake", str(tmp_path / "lake"), "--checkpoints", str(tmp_path / "state"), "--interval", "",
          "--topics", "listen_events,auth_events,other", "--format", file_format]
@@ -189,6 +204,34 @@ def test_driver_streams_known_topics_and_skips_others(spark, tmp_path, monkeypat
     assert not (tmp_path / "lake" / "other").exists()
 
 
+def test_driver_options():
+    needed = ["--lake", "l", "--checkpoints", "c"]
+    assert driver.source_overrides(driver.arguments(needed)) == {}
+    args = driver.arguments([*needed, "--max-offsets-per-trigger", "9", "--allow-data-loss"])
+    assert driver.source_overrides(args) == {"failOnDataLoss": "false", "maxOffsetsPerTrigger": "9"}
+    assert driver.wanted_topics("listen_events, auth_events,") == ["listen_events", "auth_events"]
+    for nothing in ("", " , ", "other"):
+        with pytest.raises(ValueError, match="no known topic"):
+            driver.wanted_topics(nothing)
+
+
+def test_started_queries_stop_when_one_cannot_start():
+    stopped = []
+
+    class Query:
+        def stop(self):
+            stopped.append(self)
+
+    def start(frame, topic):
+        if topic == "b":
+            raise RuntimeError("no start")
+        return Query()
+
+    with pytest.raises(RuntimeError, match="no start"):
+        ingest.run_topics(["a", "b"], lambda topic: topic, start)
+    assert len(stopped) == 1
+
+
 def test_driver_arguments():
     args = driver.arguments(["--lake", "gs://b/out", "--checkpoints", "gs://b/state", "--interval", "1 minute"])
     assert (args.interval, args.topics.split(",")) == ("1 minute", list(TOPIC_SCHEMAS))

@@ -174,3 +174,12 @@ def test_append_members_continues_after_the_highest_key(spark):
     grown = append_members(existing, load, ["name"], "id")
     assert rows(grown) == [("a", 1), ("b", 10), ("c", 9), ("d", 11)]
     assert rows(append_members(grown, load, ["name"], "id")) == rows(grown)
+
+
+def test_merge_versions_rejects_repeated_members_and_earlier_dates(spark):
+    first = dense_keys(as_first_version(sessions(spark, [(1, 10, 11)]), DAY2), ["a", "sid"], "key")
+    with pytest.raises(ValueError, match="not unique in sid"):
+        merged(spark, first, [(1, 10, 12), (1, 10, 13)], DAY3)
+    with pytest.raises(ValueError, match="start after"):
+        merged(spark, first, [(1, 10, 12)], DAY1)
+    assert rows(merged(spark, first, [(1, 10, 11)], DAY1)) == rows(first)  # nothing to close

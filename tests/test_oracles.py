@@ -18,7 +18,7 @@ def test_every_query_has_sql():
 
 
 def test_flagship(spark):
-    assert entry.entry(spark).columns == ["song_id", "song_name", "song_duration", "plays"]
+    assert entry.entry(spark).columns == ["rank", "song_id", "song_name", "song_duration", "plays"]
 
 
 @pytest.mark.parametrize("name", entry.QUERIES)

@@ -142,8 +142,10 @@ def test_every_date_has_24_hours_in_any_zone(spark, zone):
         hours = calendars.hour_calendar(calendars.date_range(spark, date(2021, 1, 1), date(2021, 12, 31)))
         assert hours.count() == hours.select("DateSK").distinct().count() == 8760
         assert len(hours.columns) == 24
-        assert checks.incomplete_dates(hours).isEmpty()
-        assert rows(checks.incomplete_dates(hours.filter("DateSK <> 2021030405"))) == [(date(2021, 3, 4), 23)]
+        days = calendars.day_calendar(calendars.date_range(spark, date(2021, 1, 1), date(2021, 12, 31)))
+        assert checks.incomplete_dates(days, hours).isEmpty()
+        some = hours.filter("DateSK <> 2021030405 AND NOT (Month = 7 AND Day = 1)")
+        assert rows(checks.incomplete_dates(days, some)) == [(date(2021, 3, 4), 23), (date(2021, 7, 1), 0)]
         assert rows(checks.date_span(hours)) == [(date(2021, 1, 1), date(2021, 12, 31))]
 
 
@@ -218,6 +220,11 @@ def test_durations(plays):
     assert sum(r["total_duration"] for r in checks.duration_by_city(plays).collect()) == 7.5
 
 
+def test_durations_are_not_rounded_before_the_sum(spark):
+    plays = spark.createDataFrame([(1, 277.89016), (1, 256.92689), (1, 0.004)], "userId long, duration double")
+    assert rows(checks.duration_by_user(plays)) == [(1, 534.82105)]
+
+
 def test_key_uniqueness(spark):
     frame = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, v string")
     got = checks.key_uniqueness({"by_k": (frame, ["k"]), "by_v": (frame, ["v"]), "empty": (frame.limit(0), ["k"])})
@@ -231,7 +238,7 @@ def test_marts(plays):
     star = star_of(plays, by_hour=False)
     fact = facts.fact_by_day(plays, star)
     top = marts.top_songs(fact, star.song, 1)
-    assert rows(top) == [(1, "s", 1.5, 3)]
+    assert rows(top) == [(1, 1, "s", 1.5, 3)]
     assert rows(marts.active_users(fact, "userKey")) == [(20240101, 2, 5), (None, 1, 1)]
     assert rows(marts.demographics(star.user)) == [("F", "free", 1), ("F", "paid", 1)]
 
@@ -278,6 +285,20 @@ def test_facts_of_a_date_range_are_replaced(spark, plays, tmp_path):
     assert store.load_facts(first, second, by_hour=False).count() == 6
 
 
+def test_plays_without_a_date_and_emptied_dates(spark, plays, tmp_path):
+    root = str(tmp_path / "w")
+    undated = plays.withColumn("event_date", F.when(F.col("event_date") == date(2024, 1, 2), F.col("event_date")))
+    first, second = date(2024, 1, 1), date(2024, 1, 2)
+    assert Warehouse(spark, root, plays, second).load_facts(first, second, by_hour=True).count() == 6
+    fewer = Warehouse(spark, root, plays.filter(F.col("event_date") == first), second)
+    left = fewer.load_facts(first, second, by_hour=True)
+    assert left.count() == 5 and left.filter(F.col("event_date") == second).isEmpty()
+    store = Warehouse(spark, str(tmp_path / "u"), undated.withColumn("ts", F.when(F.col("event_date").isNotNull(), F.col("ts"))), second)
+    loaded = store.load_facts(second, second, by_hour=True)
+    assert loaded.count() == 6 and loaded.filter("datetime_id IS NULL").count() == 5
+    assert store.load_facts(second, second, by_hour=True).count() == 6
+
+
 def test_batch_job_from_lake_to_facts(spark, plays, tmp_path):
     lake = plays.withColumns(
         {"bad_reason": F.lit(None).cast("string"), "raw_value": F.lit(None).cast("string"), "quality": F.lit("good")}
