@@ -380,6 +380,17 @@ def runs_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def runs_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stretches of events by the same user, per event type: a few keys hold all events."""
+    return state_runs(
+        playlog.table(spark, sf_dir, "events").withColumn("one", F.lit(1)),
+        keys=["event_type"],
+        order=["ts", "event_id"],
+        state=["user_id"],
+        measures={"events": ("sum", "one"), "largest": ("max", "value")},
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_parse_listen": _parse("listen_events"),
     "ingest_parse_auth": _parse("auth_events"),
@@ -423,6 +434,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
             mart_demographics,
             star_lineitem,
             runs_orders,
+            runs_hot_key,
         )
     },
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -27,8 +26,6 @@ def state_runs(
     order: Sequence[str],
     state: Sequence[str],
     measures: Mapping[str, tuple[str, str]] | None = None,
-    counted: DataFrame | None = None,
-    limit: int = 2_000_000,
 ) -> DataFrame:
     """One row per run: ``keys``, ``state``, ``run_start``, ``next_start``, measures.
 
@@ -39,64 +36,13 @@ def state_runs(
     name to ``(function, column)``, the function being min, max or sum.
     The rows must differ in ``keys`` and ``order``.
 
-    Keys with at most ``limit`` rows are windowed one by one, with a single
-    exchange. The others are split over many tasks, with the same result. The
-    rows per key are counted in ``counted`` (default ``frame``): any frame that
-    is cheap to scan and has each key at least as often will do.
+    A key may hold any share of the rows. Windows see one key inside one chunk of the
+    range-partitioned order, and what crosses the chunk borders is settled in tables with one
+    row per chunk, which are small enough to broadcast: there are never more chunks than
+    shuffle partitions.
     """
     measures = dict(measures or {})
     keys, state = list(keys), list(state)
-    per_key = (frame if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("_rows"))
-    # At most one key per ``limit`` rows, stored so that Spark knows its size when it joins.
-    hot = materialise(
-        per_key.filter(F.col("_rows") > limit).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-keys"
-    )
-    if hot.isEmpty():
-        return _windowed_runs(frame, keys, order, state, measures)
-    is_hot = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    return _windowed_runs(frame.join(hot, is_hot, "left_anti"), keys, order, state, measures).unionByName(
-        _split_runs(frame.join(hot, is_hot, "left_semi"), keys, order, state, measures)
-    )
-
-
-def _windowed_runs(
-    frame: DataFrame,
-    keys: list[str],
-    order: Sequence[str],
-    state: list[str],
-    measures: dict[str, tuple[str, str]],
-) -> DataFrame:
-    """Runs of keys that fit in a task; all steps share the partitioning by key."""
-    history = W.partitionBy(*keys).orderBy(*order)
-    current = F.struct(*state)
-    return (
-        frame.withColumn("_row", F.row_number().over(history))
-        .withColumn("_changed", (~current.eqNullSafe(F.lag(current).over(history))).cast("int"))
-        .withColumn(_RUN, F.sum("_changed").over(history.rowsBetween(W.unboundedPreceding, 0)))
-        .groupBy(*keys, _RUN, *state)
-        .agg(
-            F.min_by(order[0], "_row").alias("run_start"),
-            *[_MERGE[function](column).alias(name) for name, (function, column) in measures.items()],
-        )
-        .withColumn("next_start", F.lead("run_start").over(W.partitionBy(*keys).orderBy(_RUN)))
-        .select(*keys, *state, "run_start", "next_start", *measures)
-    )
-
-
-def _split_runs(
-    frame: DataFrame,
-    keys: list[str],
-    order: Sequence[str],
-    state: list[str],
-    measures: dict[str, tuple[str, str]],
-) -> DataFrame:
-    """Runs of keys that may hold any share of the rows.
-
-    Windows see one key inside one chunk of the range-partitioned order, and what
-    crosses the chunk borders is settled in tables with one row per chunk, which
-    are small enough to broadcast: there are never more chunks than shuffle
-    partitions.
-    """
     segments = materialise(_segments(frame, keys, order, state, measures), "runs")
     borders = materialise(_borders(segments, keys, state), "borders")
     runs = _join_across_chunks(segments, borders, keys, state, measures)

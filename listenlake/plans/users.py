@@ -37,7 +37,6 @@ def user_history(plays: DataFrame) -> DataFrame:
         order=["ts", "sessionId", "itemInSession", "level"],
         state=["level"],
         measures={"registration_date": ("min", "registration_date")},
-        counted=plays,
     )
     return runs.select(
         *PERSON,

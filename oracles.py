@@ -327,6 +327,25 @@ SELECT o_custkey, o_orderstatus, run_start,
 FROM runs
 """
 
+RUNS_HOT_KEY = """
+WITH marked AS (
+  SELECT *, CASE WHEN user_id IS DISTINCT FROM lag(user_id) OVER w THEN 1 ELSE 0 END AS changed
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)
+),
+numbered AS (
+  SELECT *, sum(changed) OVER (PARTITION BY event_type ORDER BY ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+  FROM marked
+),
+runs AS (
+  SELECT event_type, user_id, run, min(ts) AS run_start, count(*) AS events, max(value) AS largest
+  FROM numbered GROUP BY ALL
+)
+SELECT event_type, user_id, run_start,
+  lead(run_start) OVER (PARTITION BY event_type ORDER BY run) AS next_start, events, largest
+FROM runs
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     arrived = " UNION ALL ".join(
@@ -439,4 +458,5 @@ def oracle_sql() -> dict[str, str]:
         ),
         "star_lineitem": STAR_LINEITEM,
         "runs_orders": RUNS_ORDERS,
+        "runs_hot_key": RUNS_HOT_KEY,
     }
