@@ -23,6 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# What goes to a Python worker at once, unless the session asks for less: both sides hold some such batches.
+BATCH_SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1_000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
 _shipped: set[str] = set()
 
 
@@ -38,13 +41,23 @@ def _ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Lower the session's batch settings to ours; lower ones of its own stay."""
+    for name, most in BATCH_SETTINGS.items():
+        now = int(spark.conf.get(name).removesuffix("b"))
+        if not 0 < now <= most:
+            spark.conf.set(name, str(most))
+
+
 def map_pandas(frame: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     _ship_package(frame.sparkSession)
+    _bound_batches(frame.sparkSession)
     return frame.mapInPandas(function, schema)
 
 
 def map_arrow(frame: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     _ship_package(frame.sparkSession)
+    _bound_batches(frame.sparkSession)
     return frame.mapInArrow(function, schema)
 
 

@@ -30,7 +30,7 @@ LONGEST_PIECE = 8
 WORD_START = "▁"
 UNDETERMINED = "und"
 # Words whose scores a Python worker remembers; it then starts anew.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 200_000
 
 def _powers(n: int, base: int) -> np.ndarray:
     factors = np.full(n + 1, base, dtype=np.uint64)

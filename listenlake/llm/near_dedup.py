@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ SKETCH_LONGS = 32
 BROADCAST_IDS = 2_000_000
 # Texts are hashed in stretches of about so many bytes, which bounds a worker's memory.
 BYTES_AT_ONCE = 1 << 20
+# Most texts whose signatures are drawn together; fewer if they have more bytes than that.
+TEXTS_AT_ONCE = 256
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD6E8FEB86659FD93
@@ -177,6 +180,19 @@ def _blobs(column: pa.Array) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of (id, text) in turn, few enough for one pass over all their words: one alone if its text is long."""
+    sizes = [size or 0 for size in pc.binary_length(batch.column(1)).to_pylist()]
+    at = total = 0
+    for i, size in enumerate(sizes):
+        if i > at and (i - at == TEXTS_AT_ONCE or total + size > BYTES_AT_ONCE):
+            yield batch.slice(at, i - at)
+            at, total = i, 0
+        total += size
+    if at < len(sizes):
+        yield batch.slice(at)
+
+
 def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
     """Of each set, whether an odd or even number of its elements falls on each of some thousand bits.
 
@@ -198,8 +214,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each text: size of its set, two numbers that tell sets apart, and its bands."""
     names = ["doc_id", "n_shingles", "set_low", "set_high", "bands", "sketch"]
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        for part in _parts(batch):
             sets = list(_sets(_blobs(part.column(1))))
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             low = np.array([s.sum() if len(s) else 0 for s in sets], dtype=np.uint64)
@@ -222,8 +237,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
+        for part in _parts(batch):
             sets = list(_sets(_blobs(part.column(1))))
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, dtype=np.int64)

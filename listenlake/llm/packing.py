@@ -24,7 +24,7 @@ FILLINGS_AT_NODE = 8
 # Steps in which they are enumerated.
 FILLING_STEPS = 1_000
 # Distinct words whose ids a Python worker remembers (some 200 bytes each); it then starts anew.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 200_000
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how often), longest first
 Solution = list[tuple[Pattern, int]]  # pattern, number of sequences
