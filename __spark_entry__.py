@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import wraps
 from pathlib import Path
 
@@ -282,6 +282,30 @@ def fact_undated_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _late_loads(spark: SparkSession, plays: DataFrame, tables: list[str]) -> Warehouse:
+    """A warehouse that got the dates from ``FIRST_LOAD`` on first, and those before it late."""
+    dates = plays.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+    root = scratch_path(spark, "late-loads")
+    for first, last in ((FIRST_LOAD, dates["last"]), (dates["first"], FIRST_LOAD - timedelta(days=1))):
+        store = Warehouse(spark, root, plays, NEXT_LOAD, first, last)
+        for name in tables:
+            store.refresh(name)
+    return store
+
+
+def warehouse_late_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users' history of two loads, the earlier dates last: that of one load."""
+    store = _late_loads(spark, _plays(spark, sf_dir), ["dim_date", "dim_user_history"])
+    return _printable_end(store.table("dim_user_history"))
+
+
+def warehouse_late_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds of sessions that last through both loads (one a user), the earlier dates last."""
+    plays = _plays(spark, sf_dir).withColumn("sessionId", F.col("userId").cast("int"))
+    sessions = _late_loads(spark, plays, ["dim_session"]).table("dim_session")
+    return _without_zone(sessions.filter("is_active").select("sessionId", "StartTime", "EndTime"))
+
+
 def check_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.distinct_profile(_plays(spark, sf_dir))
 
@@ -421,6 +445,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
             fact_plays_hour,
             fact_plays_device,
             fact_undated_plays,
+            warehouse_late_history,
+            warehouse_late_sessions,
             check_fact_sums,
             check_profile,
             check_hours_per_date,

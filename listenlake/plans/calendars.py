@@ -26,6 +26,15 @@ def range_of_plays(plays: DataFrame) -> DataFrame:
     )
 
 
+def with_stored(bounds: DataFrame, calendar: DataFrame | None) -> DataFrame:
+    """``bounds`` stretched to the dates of a stored calendar, of days or hours."""
+    if calendar is None:
+        return bounds
+    day = F.to_date(F.substring(F.col("DateSK").cast("string"), 1, 8), "yyyyMMdd")
+    known = calendar.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    return bounds.unionByName(known).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+
+
 def day_calendar(bounds: DataFrame) -> DataFrame:
     """One row per date of ``bounds``, both ends included."""
     days = bounds.select(F.explode(F.sequence("first", "last")).alias("Date"))

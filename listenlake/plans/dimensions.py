@@ -95,11 +95,25 @@ def session_bounds(plays: DataFrame) -> DataFrame:
     )
 
 
+def _widened(bounds: DataFrame, existing: DataFrame) -> DataFrame:
+    """``bounds`` stretched to what is known of the same sessions."""
+    known = existing.filter("is_active").select(
+        F.col("sessionId").alias("_session"), F.col("StartTime").alias("_start"), F.col("EndTime").alias("_end")
+    )
+    return bounds.join(known, F.col("sessionId").eqNullSafe(F.col("_session")), "left").select(
+        "sessionId", F.least("StartTime", "_start").alias("StartTime"), F.greatest("EndTime", "_end").alias("EndTime")
+    )
+
+
 def session_dimension(plays: DataFrame, effective: date, existing: DataFrame | None = None) -> DataFrame:
-    """First build, or the type-2 merge of the session bounds into ``existing``."""
+    """First build, or the type-2 merge of the session bounds into ``existing``.
+
+    A known session only grows, so ``plays`` may be those of one load.
+    """
     bounds = session_bounds(plays)
     if existing is None:
         return dense_keys(as_first_version(bounds, effective), SESSION_ORDER, "session_id")
+    bounds = _widened(bounds, existing)
     return merge_versions(
         existing, bounds, ["sessionId"], ["StartTime", "EndTime"], "session_id", SESSION_ORDER, effective
     )

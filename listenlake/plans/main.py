@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     plays = read_lake(spark, f"{args.lake}/listen_events", "listen_events")
     loaded = of_dates(plays, args.first, args.last)
 
-    store = Warehouse(spark, args.warehouse, plays, args.effective or args.last)
+    store = Warehouse(spark, args.warehouse, plays, args.effective or args.last, args.first, args.last)
     try:
         store.refresh_all()
         for grain, by_hour in GRAINS.items():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, date, datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,16 +31,31 @@ def one_play_per_instant(plays: DataFrame) -> DataFrame:
     )
 
 
-def user_history(plays: DataFrame) -> DataFrame:
-    """One row per stretch of plays of a person at the same level."""
+def user_history(plays: DataFrame, stored: DataFrame | None = None, first: date | None = None) -> DataFrame:
+    """One row per stretch of plays of a person at the same level.
+
+    Given a ``stored`` history, ``plays`` are those of the dates from ``first`` on. Stretches
+    that another followed before ``first`` stay as they are; the one that was open then goes on
+    from a play at its start; later ones are derived anew. So a late or repeated load gives
+    what one load of everything gives.
+    """
+    instants = one_play_per_instant(plays)
+    if stored is not None:
+        border = F.timestamp_seconds(F.lit(int(datetime(first.year, first.month, first.day, tzinfo=UTC).timestamp())))
+        done = stored.filter(F.col("rowExpirationDate") < border)
+        open_ = stored.filter((F.col("rowActivationDate") < border) & (F.col("rowExpirationDate") >= border))
+        open_ = open_.withColumns(
+            {"ts": F.unix_millis("rowActivationDate"), "sessionId": F.lit(None), "itemInSession": F.lit(None)}
+        )
+        instants = instants.unionByName(open_.select(*[F.col(c).cast(kind) for c, kind in instants.dtypes]))
     runs = state_runs(
-        one_play_per_instant(plays),
+        instants,
         keys=PERSON,
         order=["ts", "sessionId", "itemInSession", "level"],
         state=["level"],
         measures={"registration_date": ("min", "registration_date")},
     )
-    return runs.select(
+    history = runs.select(
         *PERSON,
         "level",
         "registration_date",
@@ -46,6 +63,7 @@ def user_history(plays: DataFrame) -> DataFrame:
         F.coalesce(utc_second(F.col("next_start")), F.lit(OPEN_END).cast("timestamp")).alias("rowExpirationDate"),
         F.col("next_start").isNull().cast("int").alias("currentRow"),
     )
+    return history if stored is None else done.select(*history.columns).unionByName(history)
 
 
 def user_dimension(history: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from listenlake.functions.times import utc_date
 from listenlake.plans import calendars, dimensions, users
 from listenlake.plans.facts import Star, fact_by_day, fact_by_hour
 from listenlake.sources.tables import (
+    between_dates,
     drop_dates,
     drop_old_versions,
     of_dates,
@@ -22,58 +23,86 @@ from listenlake.sources.tables import (
     write_version,
 )
 
-# How each dimension follows from the plays, the date of new versions and its stored
-# rows (None at first). Order matters: the user dimension is read off its history.
+# How each dimension follows from the plays of a load, the date of new versions and its stored
+# rows (None at first). The users' history and what is read off it come last.
 _FROM_PLAYS: dict[str, Callable[[DataFrame, date, DataFrame | None], DataFrame]] = {
     "dim_song": lambda plays, effective, stored: dimensions.song_dimension(plays, stored),
     "dim_artist": lambda plays, effective, stored: dimensions.artist_dimension(plays, effective, stored),
     "dim_city": lambda plays, effective, stored: dimensions.city_dimension(plays, stored),
     "dim_device": lambda plays, effective, stored: dimensions.device_dimension(plays, stored),
     "dim_session": lambda plays, effective, stored: dimensions.session_dimension(plays, effective, stored),
-    "dim_user_history": lambda plays, effective, stored: users.user_history(plays),
-    "dim_date": lambda plays, effective, stored: calendars.day_calendar(calendars.range_of_plays(plays)),
-    "dim_date_hour": lambda plays, effective, stored: calendars.hour_calendar(calendars.range_of_plays(plays)),
+    "dim_date": lambda plays, effective, stored: calendars.day_calendar(_dates(plays, stored)),
+    "dim_date_hour": lambda plays, effective, stored: calendars.hour_calendar(_dates(plays, stored)),
 }
 
 
+def _dates(plays: DataFrame, calendar: DataFrame | None) -> DataFrame:
+    return calendars.with_stored(calendars.range_of_plays(plays), calendar)
+
+
 class Warehouse:
     """Tables under ``root``, built from ``plays``, the good rows of the listen_events lake.
 
     ``table`` reads a dimension, and builds and stores it first if it never was.
-    ``refresh`` stores a new version that knows the current plays too; keys given
-    before stay as they are. ``load_facts`` replaces the facts of a range of dates.
+    ``refresh`` stores a new version that knows the plays of the dates ``first..last`` too (all
+    plays, if no dates are given); keys given before stay as they are. ``load_facts`` replaces
+    the facts of a range of dates.
     """
 
-    def __init__(self, spark: SparkSession, root: str, plays: DataFrame, effective: date) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        plays: DataFrame,
+        effective: date,
+        first: date | None = None,
+        last: date | None = None,
+    ) -> None:
+        if (first is None) != (last is None):
+            raise ValueError("give both ends of the dates to load, or none")
         self.spark = spark
         self.root = root
         self.plays = plays
         self.effective = effective
+        self.first = first
+        self.last = last
+        self.loaded = plays if first is None else of_dates(plays, first, last)
         self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
         return self._stored(name) or self.refresh(name)
 
     def refresh(self, name: str) -> DataFrame:
-        """Store a new version of ``name`` from all plays.
+        """Store a new version of ``name`` that knows the plays of this load.
 
-        Songs, artists, cities and devices are appended to, sessions merged as
-        versions, users keep their key; the rest is derived anew.
+        Songs, artists, cities and devices are appended to, sessions grow by merged versions,
+        calendars grow, users keep their key and their history goes on. A load may be late or
+        repeated; only the users' history then reads on to the last date that was ever loaded.
         """
         stored = self._stored(name)
         if name == "dim_user":
             frame = users.user_dimension(self.table("dim_user_history"), stored)
+        elif name == "dim_user_history":
+            frame = self._history(stored)
         else:
-            frame = _FROM_PLAYS[name](self.plays, self.effective, stored)
+            frame = _FROM_PLAYS[name](self.loaded, self.effective, stored)
         write_version(frame, f"{self.root}/{name}")
         drop_old_versions(self.spark, f"{self.root}/{name}")
         self._schemas[name] = frame.schema
         return self._stored(name)
 
     def refresh_all(self) -> None:
-        for name in [*_FROM_PLAYS, "dim_user"]:
+        for name in [*_FROM_PLAYS, "dim_user_history", "dim_user"]:
             self.refresh(name)
 
+    def _history(self, stored: DataFrame | None) -> DataFrame:
+        if self.first is None:
+            return users.user_history(self.plays)
+        days = self._stored("dim_date")
+        known = None if days is None else days.agg(F.max("Date")).first()[0]
+        plays = between_dates(self.plays, self.first, max(self.last, known or self.last))
+        return users.user_history(plays, stored, self.first)
+
     def _stored(self, name: str) -> DataFrame | None:
         path = f"{self.root}/{name}"
         if not versions(self.spark, path):

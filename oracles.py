@@ -398,6 +398,12 @@ def oracle_sql() -> dict[str, str]:
         "dim_date": _over([DAYS], "SELECT * FROM days"),
         "dim_date_hour": _over([HOURS], "SELECT * FROM hours"),
         "dim_user_history": _over([USER_HISTORY], "SELECT * FROM user_history"),
+        "warehouse_late_history": _over([USER_HISTORY], "SELECT * FROM user_history"),
+        "warehouse_late_sessions": _over(
+            [],
+            """SELECT CAST(userId AS INTEGER) AS sessionId, min(second) AS StartTime, max(second) AS EndTime
+               FROM listen GROUP BY userId""",
+        ),
         "dim_user": _over([USER_HISTORY, USER], "SELECT * FROM user_dim"),
         "dim_session": _over(
             [SESSION],

@@ -274,6 +274,42 @@ def test_warehouse_grows_with_stable_keys(spark, plays, tmp_path):
     assert {name: rows(grown.table(name)) for name in before} == everything
 
 
+@pytest.mark.parametrize("loads", [[1, 2, 3], [3, 1, 2, 2], [2, 3, 1, 3]])
+def test_loads_by_date_equal_one_load(spark, tmp_path, loads):
+    day = 24 * HOUR
+    made = plays_of(
+        spark,
+        play(START, level="free", session=1),
+        play(START + day - 1, level="paid", session=1, song="s2"),
+        play(START + day, level="paid", session=1),
+        play(START + day + HOUR, level="free", session=2, city="d"),
+        play(START + 2 * day, level="free", session=2),
+        play(START + 2 * day, level="paid", session=3, song="s3"),
+        play(START, user=2, session=4),
+        play(START + 2 * day + HOUR, user=3, session=5, name=None),
+        play(START + day + HOUR, user=3, session=5, name=None, level="paid"),
+    )
+    made.write.partitionBy("event_date").parquet(str(tmp_path / "lake"))
+    lake = spark.read.schema(made.schema).parquet(str(tmp_path / "lake"))
+    for n in loads:
+        store = Warehouse(spark, str(tmp_path / "w"), lake, date(2024, 2, 1), date(2024, 1, n), date(2024, 1, n))
+        store.refresh_all()
+        store.load_facts(date(2024, 1, n), date(2024, 1, n), by_hour=True)
+    whole = users.user_history(lake)
+    assert rows(store.table("dim_user_history").select(*whole.columns)) == rows(whole)
+    assert rows(store.table("dim_user").drop("userKey")) == rows(users.user_dimension(whole).drop("userKey"))
+    bounds = store.table("dim_session").filter("is_active").select("sessionId", "StartTime", "EndTime")
+    assert rows(bounds) == rows(dimensions.session_bounds(lake))
+    assert rows(store.table("dim_date")) == rows(calendars.day_calendar(calendars.range_of_plays(lake)))
+    assert store.table("dim_date_hour").count() == 72
+    assert rows(store.table("dim_song").drop("song_id")) == rows(dimensions.song_members(lake))
+    assert rows(store.table("dim_city").drop("city_id")) == rows(dimensions.city_members(lake))
+    facts_read = spark.read.parquet(str(tmp_path / "w" / "fact_by_hour"))
+    assert facts_read.count() == 9 and facts_read.filter("song_id IS NULL OR city_id IS NULL").isEmpty()
+    plan = dimensions.session_bounds(store.loaded)._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: ")[1][:60]
+
+
 def test_facts_of_a_date_range_are_replaced(spark, plays, tmp_path):
     store = Warehouse(spark, str(tmp_path / "w"), plays, date(2024, 1, 3))
     first, second = date(2024, 1, 1), date(2024, 1, 2)
