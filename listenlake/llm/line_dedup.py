@@ -1,9 +1,11 @@
-"""Line de-duplication by winnowing: runs of lines that stand earlier in the corpus are deleted."""
+"""Line de-duplication by winnowing: passages that stand earlier in the corpus are deleted, word by word."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -11,114 +13,210 @@ from pyspark.sql import functions as F
 
 from listenlake.llm.common import map_arrow, stored
 
-# A repeated run has so many words at least.
+# A repeated passage has so many words at least.
 RUN_WORDS = 50
-# The runs of up to so many documents (some 40 MB) are broadcast to the texts; else both are joined by shuffle.
+# Stretches of a third of that are winnowed: of all that lie in one passage of RUN_WORDS, the one of least hash is a mark.
+MARK_SHARE = 3
+# Lists of up to so many documents and places in all are broadcast to the texts; else both are joined by shuffle.
 BROADCAST_DOCS = 200_000
+BROADCAST_PLACES = 5_000_000
+# Hashes of words that a Python worker remembers; it then starts anew.
+REMEMBERED_WORDS = 200_000
 
-_LINES = "doc_id long, line int, hash long, words long, window long, least int"
+_PLACES = "doc_id long, version long, hash long, place int"
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_WORD = re.compile(r"\S+")
 
 
-def _signed(number: int) -> int:
-    return number - (1 << 64) if number >> 63 else number
+class _WordHashes(dict):
+    def __missing__(self, word: str) -> int:
+        self[word] = found = xxhash.xxh64_intdigest(word.encode())
+        return found
 
+    def of(self, text: str) -> np.ndarray:
+        if len(self) > REMEMBERED_WORDS:
+            self.clear()
+        words = text.split()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
-def _fingerprints(least_words: int):
-    """Lines of each text; from each line on, the shortest window with enough words, and its least line hash's line."""
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out)
+
+
+def _stretches(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each stretch of ``n`` words, from differences of a running polynomial, mixed."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * _powers(_BASE, len(hashes)), out=sums[1:])
+    out = (sums[n:] - sums[:-n]) * _powers(_INVERSE, len(hashes) - n + 1)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    return out
+
+
+def _marks_of(hashes: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all short stretches; for each passage of ``least_words``, the first place of the least of its own."""
+    size = max(least_words // MARK_SHARE, 1)
+    short = _stretches(hashes, size)
+    inside = np.lib.stride_tricks.sliding_window_view(short, least_words - size + 1)
+    return short, inside.argmin(axis=1) + np.arange(len(inside))
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of a document each: doc_id, version, hashes, places."""
+    sizes = [len(places) for _, _, _, places in rows]
+    ids = [np.repeat(np.array([row[i] for row in rows], np.int64), sizes) for i in (0, 1)]
+    hashes = np.concatenate([h for _, _, h, _ in rows] or [np.zeros(0, np.uint64)]).view(np.int64)
+    places = np.concatenate([p for _, _, _, p in rows] or [np.zeros(0, np.int64)]).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (*ids, hashes, places)], names=["doc_id", "version", "hash", "place"])
+
+
+def _read_marks(least_words: int):
+    """Hash and place of each document's marks."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int32()), ("hash", pa.int64()), ("words", pa.int64()), ("window", pa.int64()), ("least", pa.int32())])
+        known = _WordHashes()
         for batch in batches:
-            out: list[list] = [[] for _ in schema]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                lines = [line.split() for line in (text.as_py() or "").split("\n")]
-                words = [len(line) for line in lines]
-                hashes = [_signed(xxhash.xxh64_intdigest(" ".join(line).encode())) for line in lines]
-                end = total = 0
-                for start in range(len(lines)):
-                    while end < len(lines) and total < least_words:
-                        total += words[end]
-                        end += 1
-                    window = least = None
-                    if total >= least_words and words[start]:
-                        packed = b"".join(h.to_bytes(8, "little", signed=True) for h in hashes[start:end])
-                        window = _signed(xxhash.xxh64_intdigest(packed))
-                        least = min(range(start, end), key=lambda i: (hashes[i], -i))
-                    for column, value in zip(out, (doc_id, start, hashes[start], words[start], window, least), strict=True):
-                        column.append(value)
-                    total -= words[start]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+            rows = []
+            for doc_id, version, text in zip(*(batch.column(i) for i in range(3)), strict=True):
+                hashes = known.of(text.as_py() or "")
+                if len(hashes) >= least_words:
+                    short, marks = _marks_of(hashes, least_words)
+                    marks = np.unique(marks)
+                    rows.append((doc_id.as_py(), version.as_py(), short[marks], marks))
+            yield _batch(rows)
 
     return read
 
 
+def _read_passages(least_words: int):
+    """Hash and place of each passage of ``least_words`` whose mark is among the document's ``places``."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _WordHashes()
+        for batch in batches:
+            rows = []
+            for doc_id, version, text, places in zip(*(batch.column(i) for i in range(4)), strict=True):
+                hashes = known.of(text.as_py() or "")
+                _, marks = _marks_of(hashes, least_words)
+                at = np.flatnonzero(np.isin(marks, np.array(places.as_py(), np.int64)))
+                rows.append((doc_id.as_py(), version.as_py(), _stretches(hashes, least_words)[at], at))
+            yield _batch(rows)
+
+    return read
+
+
+def _versioned(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
+
+
+def _beside(lists: DataFrame, column: str, label: str) -> DataFrame:
+    """``lists`` stored, and broadcast if its documents and places are few."""
+    lists = stored(lists, label)
+    docs, places = lists.agg(F.count("*"), F.coalesce(F.sum(F.size(column)), F.lit(0))).first()
+    return F.broadcast(lists) if docs <= BROADCAST_DOCS and places <= BROADCAST_PLACES else lists
+
+
 def repeated_runs(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFrame:
-    """Runs of lines of ``docs`` (doc_id, text) that stand earlier: doc_id, first_line, last_line, of_doc, of_line.
+    """Stretches of words of ``docs`` (doc_id, text) that stand earlier: doc_id, version, first_word, last_word.
 
-    Lines end at line feeds and are compared word by word. From every line on, the shortest
-    window with ``least_words`` words is taken, and the line of its least hash is its
-    fingerprint: any run of so many words holds a whole window and so a fingerprint, in every
-    document alike. Windows are joined with the first place, by doc_id and line, at which they
-    stand, never with each other. Matches are extended line by line both ways by joining the
-    lines of both documents at their distance; runs with a fingerprint are repeats.
+    Words are what white space parts, counted from 0 over all lines of a text. A word belongs to
+    a run if some passage of ``least_words`` words around it stands earlier, by doc_id, version
+    (a hash of the text) and word, wherever both begin and end: passages cross lines. As every
+    passage inside a longer match stands earlier, too, runs are matches extended word by word.
 
-    Rows without id or text have no runs; lines before the first place in one document count
-    as earlier, too. Rows of one id are one document. Other columns are ignored.
+    Equal passages have the same mark, the least hash of their short stretches. Only passages
+    whose mark occurs more than once are hashed whole and compared with the first place of
+    their hash, never with each other; so none of them is missed. Rows of one id and text are
+    one document; rows without id or text have no runs. Runs may overlap. Other columns are ignored.
     """
-    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    lines = stored(map_arrow(rows, _fingerprints(least_words), _LINES), "lines")
-    place = F.struct("doc_id", "line").alias("place")
-    marks = lines.filter("window IS NOT NULL").select("window", place, (F.col("least") - F.col("line")).alias("inside"))
-    first = marks.groupBy("window").agg(F.min("place").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    met = marks.join(first, "window").filter("place > first").select(
-        F.col("place.doc_id").alias("doc_id"),
-        F.col("first.doc_id").alias("of_doc"),
-        (F.col("place.line") - F.col("first.line")).alias("distance"),
-        (F.col("place.line") + F.col("inside")).alias("mark"),
-    )
-    met = stored(met.distinct(), "line-matches")
-    aligned = met.select("doc_id", "of_doc", "distance").distinct()
-    here = lines.select("doc_id", "line", "hash")
-    there = lines.select(F.col("doc_id").alias("of_doc"), F.col("line").alias("of_line"), F.col("hash").alias("of_hash"))
-    equal = (
-        aligned.join(here, "doc_id")
-        .withColumn("of_line", F.col("line") - F.col("distance"))
-        .join(there, ["of_doc", "of_line"])
-        .filter("hash = of_hash")
-        .select("doc_id", "of_doc", "distance", "line")
-        .distinct()
-    )
-    pair = ["doc_id", "of_doc", "distance"]
-    islands = equal.withColumn("island", F.col("line") - F.row_number().over(Window.partitionBy(*pair).orderBy("line")))
-    marked = islands.join(met.withColumnRenamed("mark", "line").withColumn("marked", F.lit(1)), [*pair, "line"], "left")
-    runs = marked.groupBy(*pair, "island").agg(
-        F.min("line").alias("first_line"), F.max("line").alias("last_line"), F.max("marked").alias("marked")
-    )
-    return runs.filter("marked = 1").select(
-        "doc_id", "first_line", "last_line", "of_doc", (F.col("first_line") - F.col("distance")).alias("of_line")
-    )
+    doc = ["doc_id", "version"]
+    rows = _versioned(docs).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    marks = stored(map_arrow(rows, _read_marks(least_words), _PLACES), "line-marks")
+    often = marks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+    places = marks.join(often, "hash", "left_semi").groupBy(*doc).agg(F.collect_set("place").alias("places"))
+    marked = rows.join(_beside(places, "places", "line-places"), doc).select(*doc, "text", "places")
+    passages = stored(map_arrow(marked, _read_passages(least_words), _PLACES), "line-passages")
+
+    here = F.struct(*doc, "place")
+    first = passages.groupBy("hash").agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("first < last")
+    later = passages.join(first.select("hash", "first"), "hash").filter(here > F.col("first")).select(*doc, "place").distinct()
+    islands = later.withColumn("island", F.col("place") - F.row_number().over(Window.partitionBy(*doc).orderBy("place")))
+    runs = islands.groupBy(*doc, "island").agg(F.min("place").alias("first_word"), F.max("place").alias("last_word"))
+    return runs.select(*doc, "first_word", (F.col("last_word") + (least_words - 1)).alias("last_word"))
+
+
+def _without(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[int], int]:
+    """``text`` without the words of ``runs``, the lines that went whole, and the number of words deleted."""
+    lines = text.split("\n")
+    spans = [[m.span() for m in _WORD.finditer(line)] for line in lines]
+    n = sum(map(len, spans))
+    gone = np.zeros(n + 1, bool)
+    for first, last in runs:
+        gone[first : last + 1] = True
+    kept, whole, at = [], [], 0
+    for i, (line, words) in enumerate(zip(lines, spans, strict=True)):
+        left = [j for j in range(len(words)) if not gone[at + j]]
+        if not words and 0 < at < n and gone[at - 1] and gone[at] or words and not left:
+            whole.append(i)
+        elif len(left) == len(words):
+            kept.append(line)
+        else:
+            stretches: list[list[int]] = []
+            for j in left:
+                if stretches and stretches[-1][1] == j - 1:
+                    stretches[-1][1] = j
+                else:
+                    stretches.append([j, j])
+            kept.append(" ".join(line[words[a][0] : words[b][1]] for a, b in stretches))
+        at += len(words)
+    return "\n".join(kept), whole, int(gone[:n].sum())
+
+
+def _spell(lines: list[int]) -> str:
+    runs: list[list[int]] = []
+    for line in lines:
+        if runs and runs[-1][1] == line - 1:
+            runs[-1][1] = line
+        else:
+            runs.append([line, line])
+    return ",".join(f"{a}-{b}" for a, b in runs)
+
+
+def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out: list[list] = [[] for _ in range(5)]
+        for text, runs in zip(batch.column(1), batch.column(2), strict=True):
+            text, runs = text.as_py(), runs.as_py()
+            if runs:
+                kept, whole, words = _without(text, [(r["first_word"], r["last_word"]) for r in runs])
+            else:
+                kept, whole, words = text, [], 0
+            row = (kept, (text or "").count("\n") + 1, len(whole), _spell(whole), words)
+            for column, value in zip(out, row, strict=True):
+                column.append(value)
+        types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+        columns = [batch.column(0), *(pa.array(c, t) for c, t in zip(out, types, strict=True))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_lines", "n_deleted", "deleted", "words_deleted"])
 
 
 def drop_repeated_lines(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFrame:
-    """Each row of ``docs`` as doc_id, text (without repeated runs), n_lines, n_deleted, deleted (runs as first-last).
+    """Each row of ``docs`` as doc_id, text (without repeated runs), n_lines, n_deleted, deleted, words_deleted.
 
+    A line whose words all go, goes whole, as do empty lines inside a run: n_deleted counts
+    these lines, deleted names them as first-last. Of other lines the words outside runs stay.
     Null text stays null with one empty line.
     """
-    runs = repeated_runs(docs, least_words).groupBy("doc_id").agg(
-        F.array_sort(F.collect_set(F.struct("first_line", "last_line"))).alias("runs")
-    )
-    runs = stored(runs, "runs")
-    if runs.count() <= BROADCAST_DOCS:
-        runs = F.broadcast(runs)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(runs, "doc_id", "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.exists("runs", lambda r: (r["first_line"] <= i) & (i <= r["last_line"])))
-    kept = F.when(F.col("runs").isNull(), lines).otherwise(kept)
-    shown = F.transform("runs", lambda r: F.concat_ws("-", r["first_line"].cast("string"), r["last_line"].cast("string")))
-    return rows.select(
-        "doc_id",
-        F.when(F.col("text").isNotNull(), F.array_join(kept, "\n")).alias("text"),
-        F.size(lines).cast("long").alias("n_lines"),
-        (F.size(lines) - F.size(kept)).cast("long").alias("n_deleted"),
-        F.coalesce(F.array_join(shown, ","), F.lit("")).alias("deleted"),
+    doc = ["doc_id", "version"]
+    runs = repeated_runs(docs, least_words).groupBy(*doc).agg(
+        F.array_sort(F.collect_set(F.struct("first_word", "last_word"))).alias("runs")
     )
+    own = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = own.withColumn("version", F.xxhash64("text")).join(_beside(runs, "runs", "runs"), doc, "left").select("id", "text", "runs")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, n_lines long, n_deleted long, deleted string, words_deleted long"
+    return map_arrow(rows, _delete, schema)

@@ -269,6 +269,44 @@ def test_repeated_lines_equal_brute_force(spark):
         assert (r.n_lines, r.n_deleted) == (len(lines), len(gone[r.doc_id]))
 
 
+def test_passages_that_begin_or_end_inside_a_line_go_and_every_earlier_place_counts(spark):
+    rng = random.Random(12)
+    words = lambda n: [f"v{rng.randint(0, 10**9)}" for _ in range(n)]
+    once, twice = words(60), words(50)
+    texts = {
+        1: " ".join([*words(100), *once, *words(300)]),
+        2: " ".join(words(7)) + "\n" + " ".join([*words(5), *once[:20]]) + "\n" + " ".join(once[20:30]) + "\n\n" + " ".join([*once[30:], *words(4)]),
+        3: " ".join([*words(9), *once[:49], *words(9)]),  # a word short
+        4: " ".join(twice[:30]) + "\n" + " ".join([*twice[30:], "tail", "one"]),
+        5: " ".join([*words(3), *twice[:40], *words(3)]) + " " + " ".join([*twice, "tail", "two"]),
+        6: " ".join([*twice, "tail", "two", "end"]),  # its first part stands first in 4, all but the end in 5
+    }
+    tokens = {d: t.split() for d, t in texts.items()}
+    seen: set[tuple] = set()
+    left = {}
+    for d, t in tokens.items():
+        gone = set()
+        for p in range(len(t) - 49):
+            gone |= set(range(p, p + 50)) if tuple(t[p : p + 50]) in seen else set()
+            seen.add(tuple(t[p : p + 50]))
+        left[d] = [w for i, w in enumerate(t) if i not in gone]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts.items()], DOCS)
+    found = {r.doc_id: r for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert {d: r.text.split() for d, r in found.items()} == left
+    lines = texts[2].split("\n")
+    assert found[2].text == "\n".join([lines[0], " ".join(lines[1].split()[:5]), " ".join(lines[4].split()[-4:])])
+    assert (found[2].n_lines, found[2].n_deleted, found[2].deleted, found[2].words_deleted) == (5, 2, "2-3", 60)
+    assert left[3] == tokens[3] and left[6] == ["end"]
+
+
+def test_rows_of_one_id_with_different_texts_lose_only_their_own_runs(spark):
+    run = " ".join(f"r{i}" for i in range(60))
+    rows = [(1, run), (2, f"{run}\nown end"), (2, "not\nrepeated\nlines"), (2, f"{run}\nown end")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    found = sorted(r.text for r in line_dedup.drop_repeated_lines(docs).filter("doc_id = 2").collect())
+    assert found == ["not\nrepeated\nlines", "own end", "own end"]
+
+
 # --- 5 language ID --------------------------------------------------------------------
 
 
