@@ -322,8 +322,9 @@ def main_texts(
     others its slots. Counts are summed over all pages before they meet, so a host may have any
     number of pages.
 
-    A page's text is that of its article or main element, if it has one with text; else that of
-    its slots. Menus, headers, footers, sidebars, notices, adverts, forms and comments, known by
+    A page's text is that of its slots. Only where no slot has text, or the host has fewer than
+    ``least`` pages besides the reference to teach a template, is it that of the article or main
+    element, if there is one with text. Menus, headers, footers, sidebars, notices, adverts, forms and comments, known by
     element, class, id or role, are left out of both. Copies of the reference page count for no
     template. Null and empty html give an empty text, unfinished html what there is; a null or
     odd url is a host of its own kind (none). Repeated rows stay. Other columns are ignored.
@@ -341,7 +342,9 @@ def main_texts(
     met = read.select("host", F.explode("met").alias("node")).groupBy("host", "node").agg(F.count("*").alias("pages"))
     same = read.select("host", F.explode("same").alias("node")).groupBy("host", "node").agg(F.count("*").alias("equal"))
     template = met.join(same, ["host", "node"]).filter((F.col("equal") >= least) & (F.col("equal") >= F.col("pages") * share))
-    wrappers = template.groupBy("host").agg(F.collect_list("node").alias("template"))
+    taught = read.filter(F.size("met") > 0).groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least)
+    lists = template.groupBy("host").agg(F.collect_list("node").alias("template"))
+    wrappers = taught.select("host", F.lit(True).alias("taught")).join(lists, "host", "left")
     if few_hosts:
         wrappers = F.broadcast(wrappers)
 
@@ -350,6 +353,7 @@ def main_texts(
     slots = F.filter(
         "blocks", lambda b: ~F.coalesce(F.array_contains(F.col("template"), b["node"]), F.lit(False))
     )
-    chosen = F.when(F.size(article) > 0, article).otherwise(slots)
+    decided = F.coalesce("taught", F.lit(False)) & (F.size(slots) > 0)
+    chosen = F.when(decided | (F.size(article) == 0), slots).otherwise(article)
     text = F.array_join(F.transform(chosen, lambda b: b["text"]), "\n")
     return wrapped.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -441,6 +441,15 @@ def test_template_is_what_stays_the_same_on_a_host(spark, hosts):
     assert texts[99].endswith("Story 99\nMore 99") and "Our site" in texts[99]  # one page teaches no template
 
 
+def test_template_inside_article_goes_and_slots_outside_stay(spark):
+    page = lambda i: f"<body><div>Lead {i}</div><article><p>Story {i}</p><div>Read more on our site</div></article></body>"
+    rows = [(i, f"https://h.example/{i}", page(i)) for i in range(6)] + [(9, "https://one.example/", page(9))]
+    found = html_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    texts = {r.page_id: r.text for r in found.collect()}
+    assert all(texts[i] == f"Lead {i}\nStory {i}" for i in range(6))
+    assert texts[9] == "Story 9\nRead more on our site"  # one page teaches no template: its article narrows
+
+
 def test_simple_tree_matching_equals_brute_force():
     rng = random.Random(6)
 
