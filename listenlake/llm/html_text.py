@@ -43,18 +43,26 @@ ENDS = {
 }
 STOPS = frozenset("html body table ul ol dl article section main td th div nav aside footer header".split())
 
-# Elements and class or id words that mark what is no main text.
+# What marks elements as no main text. Marks pass to what is inside.
+DOUBT, WRAPPER, SURE = 1, 2, 3
+# Elements: always, whatever is inside, and wrappers from which an article or main element is taken out again.
 BESIDE = frozenset(
-    "nav header footer aside form script style noscript template svg math iframe button select option textarea dialog "
+    "nav footer aside script style noscript template svg math iframe button select option textarea dialog "
     "menu head title search label object canvas audio video".split()
 )
+WRAPPERS = {"header": WRAPPER, "form": DOUBT}
+# Whole classes and ids, the first for comments, in which articles stand too.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus".split())
 BESIDE_WORDS = frozenset(
-    "ad ads adv advert advertisement adverts banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
-    "popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead share sharing "
-    "social related recommended newsletter subscribe signup login comment comments commentlist reply replies respond "
-    "disqus widget pagination pager skip toolbar".split()
+    "ad ads adv advert advertisement adverts banner sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead "
+    "newsletter subscribe signup login pagination pager toolbar".split()
 )
-BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
+# Words that stand around real text as well: the host's template decides. So it does for parts of a class or id.
+DOUBT_WORDS = frozenset("notice share sharing social related recommended reply replies respond widget skip".split())
+# Classes and ids with such a part tell of something else than their own element: has-sidebar, page-with-menu.
+TELLING = frozenset("has have no not non with without is".split())
+BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL
@@ -67,23 +75,47 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 class Element:
     tag: str
     label: str
-    beside: bool
+    mark: int
     main: bool
     parent: Element | None
     children: list = field(default_factory=list)  # elements that are blocks, and text
     number: int = -1
 
 
-def _is_beside(tag: str, attributes: str) -> bool:
+def _mark(tag: str, attributes: str) -> int:
+    """How surely an element is no main text, by itself."""
     if tag in BESIDE:
-        return True
-    if tag in ("html", "body", "main", "article") or not attributes:
-        return False
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        words = _WORDS.split("".join(values).lower())
-        if not (BESIDE_ROLES if name.lower() == "role" else BESIDE_WORDS).isdisjoint(words):
-            return True
-    return False
+        return SURE
+    if tag in ("html", "body", "main"):
+        return 0
+    mark = WRAPPERS.get(tag, 0)
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
+        tokens = "".join(values).lower().split()
+        if not COMMENT_WORDS.isdisjoint(tokens) and name.lower() != "role":
+            return SURE
+        if tag == "article":
+            continue
+        if name.lower() == "role":
+            mark = max(mark, 0 if BESIDE_ROLES.isdisjoint(tokens) else WRAPPER, DOUBT if "form" in tokens else 0)
+        elif not BESIDE_WORDS.isdisjoint(tokens):
+            mark = WRAPPER
+        elif mark == 0:
+            mark = DOUBT if any(map(_in_doubt, tokens)) else 0
+    return mark
+
+
+def _in_doubt(token: str) -> bool:
+    parts = set(_WORDS.split(token))
+    return not (COMMENT_WORDS | BESIDE_WORDS | DOUBT_WORDS).isdisjoint(parts) and TELLING.isdisjoint(parts)
+
+
+def _mark_inside(parent: Element, tag: str, attributes: str) -> int:
+    """The mark of an element in ``parent``: an article or main element leaves the marks of wrappers, unless it is
+    itself in another one and the wrapper with it."""
+    own, above = _mark(tag, attributes), parent.mark
+    if tag in ("article", "main") and above < (WRAPPER if parent.main else SURE):
+        above = 0
+    return max(own, above)
 
 
 def parse(page: str) -> Element:
@@ -92,7 +124,7 @@ def parse(page: str) -> Element:
     Made for pages as they come: what is not closed ends with its parent, a new paragraph or
     list item ends the one before, stray end tags and unfinished tags are skipped.
     """
-    root = Element("#root", "#root", False, False, None)
+    root = Element("#root", "#root", 0, False, None)
     top, at, size = root, 0, len(page)
     while at < size:
         token = _TOKEN.search(page, at)
@@ -134,8 +166,8 @@ def parse(page: str) -> Element:
                 break
             node = node.parent
         attributes = token[3]
-        beside = top.beside or _is_beside(tag, attributes)
-        new = Element(tag, tag + _class(attributes), beside, top.main or tag in ("article", "main"), top)
+        mark = _mark_inside(top, tag, attributes)
+        new = Element(tag, tag + _class(attributes), mark, top.main or tag in ("article", "main"), top)
         top.children.append(new)
         if tag not in VOID and not attributes.endswith("/"):
             top = new
@@ -270,10 +302,10 @@ def _texts(blocks: list[tuple[int, str]]) -> dict[int, str]:
 
 
 _PARSED = (
-    "page_id {id}, url string, host string, blocks array<struct<text:string,node:int,main:boolean>>, "
+    "page_id {id}, url string, host string, blocks array<struct<text:string,node:int,main:boolean,doubt:boolean>>, "
     "met array<int>, same array<int>"
 )
-_BLOCK = pa.struct([("text", pa.string()), ("node", pa.int32()), ("main", pa.bool_())])
+_BLOCK = pa.struct([("text", pa.string()), ("node", pa.int32()), ("main", pa.bool_()), ("doubt", pa.bool_())])
 
 
 def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,9 +325,9 @@ def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 met, same = [], []  # the reference page itself, or a copy of it, tells nothing
             rows[0].append(
                 [
-                    {"text": text, "node": to.get(at, -1), "main": nodes[at].main}
+                    {"text": text, "node": to.get(at, -1), "main": nodes[at].main, "doubt": nodes[at].mark == DOUBT}
                     for at, text in blocks
-                    if not nodes[at].beside
+                    if nodes[at].mark <= DOUBT
                 ]
             )
             rows[1].append(met)
@@ -324,8 +356,11 @@ def main_texts(
 
     A page's text is that of its slots. Only where no slot has text, or the host has fewer than
     ``least`` pages besides the reference to teach a template, is it that of the article or main
-    element, if there is one with text. Menus, headers, footers, sidebars, notices, adverts, forms and comments, known by
-    element, class, id or role, are left out of both. Copies of the reference page count for no
+    element, if there is one with text. Menus, headers, footers, sidebars, adverts and comments,
+    known by element, role or a whole class or id, are left out of both. Forms, notices, share
+    and related blocks, and classes that only hold such a word (site-footer), are in doubt: the
+    template decides; where nothing was learned they are left out if there is other text. An
+    article or main element inside a marked wrapper counts as unmarked. Copies of the reference page count for no
     template. Null and empty html give an empty text, unfinished html what there is; a null or
     odd url is a host of its own kind (none). Repeated rows stay. Other columns are ignored.
     """
@@ -349,11 +384,19 @@ def main_texts(
         wrappers = F.broadcast(wrappers)
 
     wrapped = read.join(wrappers, "host", "left")
-    article = F.filter("blocks", lambda b: b["main"])
+    sure = F.filter("blocks", lambda b: ~b["doubt"])
+    article = F.filter(sure, lambda b: b["main"])
     slots = F.filter(
         "blocks", lambda b: ~F.coalesce(F.array_contains(F.col("template"), b["node"]), F.lit(False))
     )
-    decided = F.coalesce("taught", F.lit(False)) & (F.size(slots) > 0)
-    chosen = F.when(decided | (F.size(article) == 0), slots).otherwise(article)
+    article_or_doubt = F.filter("blocks", lambda b: b["main"])
+    narrowed = (
+        F.when(F.size(article) > 0, article)
+        .when(F.size(article_or_doubt) > 0, article_or_doubt)
+        .when(F.size(sure) > 0, sure)
+        .otherwise(F.col("blocks"))
+    )
+    by_slots = F.coalesce("taught", F.lit(False)) & ((F.size(slots) > 0) | (F.size(article_or_doubt) == 0))
+    chosen = F.when(by_slots, slots).otherwise(narrowed)
     text = F.array_join(F.transform(chosen, lambda b: b["text"]), "\n")
     return wrapped.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

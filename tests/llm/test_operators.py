@@ -450,6 +450,31 @@ def test_template_inside_article_goes_and_slots_outside_stay(spark):
     assert texts[9] == "Story 9\nRead more on our site"  # one page teaches no template: its article narrows
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout has-sidebar'><p>Real text</p></div>",
+        "<div id='page-with-menu'><p>Real text</p></div>",
+        "<div class='no-header content'><article><p>Real text</p></article></div>",
+        "<div class='menu'><main><p>Real text</p></main></div>",
+        "<form><div><p>Real text</p></div></form>",
+        "<form><nav>N</nav><article><p>Real text</p></article></form>",
+        "<div class='site-footer'>F</div><div><p>Real text</p></div>",
+        "<div class='ad'>Buy</div><p>Real text</p><aside><article>Teaser</article></aside>",
+        "<article><p>Real text</p></article><div class='comments'><article>first!</article></div>",
+    ],
+)
+def test_marked_wrappers_do_not_take_whole_articles(spark, page):
+    frame = spark.createDataFrame([(1, "https://h/", page)], "page_id long, url string, html string")
+    assert html_text.main_texts(frame).first().text == "Real text"
+
+
+def test_template_decides_on_doubtful_classes(spark):
+    page = lambda i: f"<body><form><div class='related'><p>Story {i}</p></div><div class='social'>Share this</div></form></body>"
+    frame = spark.createDataFrame([(i, "https://h/", page(i)) for i in range(6)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.main_texts(frame).collect()} == {i: f"Story {i}" for i in range(6)}
+
+
 def test_simple_tree_matching_equals_brute_force():
     rng = random.Random(6)
 
