@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from listenlake.llm.common import map_arrow, stored
 TEMPLATE_SHARE = 0.8
 # ... and on so many pages at least.
 TEMPLATE_PAGES = 3
-# Hosts up to this number have their wrapper and reference page broadcast (some 10 KB each); more are joined.
+# References up to this number (some 10 KB each) are broadcast with their wrappers; more are joined.
 BROADCAST_HOSTS = 2_000
 # Alignments of page structures that a Python worker remembers; it then starts anew.
 REMEMBERED_ALIGNMENTS = 5_000
@@ -41,6 +42,9 @@ ENDS = {
     "option": {"option"},
     "body": {"head"},
 }
+# What makes a page's layout: such elements in so many levels below the body.
+STRUCTURE = frozenset("div section main article aside nav header footer form table center search".split())
+LAYOUT_LEVELS = 2
 STOPS = frozenset("html body table ul ol dl article section main td th div nav aside footer header".split())
 
 # What marks elements as no main text. Marks pass to what is inside.
@@ -68,6 +72,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.DOTALL
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+_DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
@@ -197,6 +202,26 @@ def shape(root: Element) -> str:
     return f"{root.label}({','.join(shape(c) for c in root.children if not isinstance(c, str))})"
 
 
+def layout(root: Element) -> int:
+    """A hash of the kinds of structural elements in the top levels, without numbers in classes."""
+    kinds: set[str] = set()
+    stack = [(root, "", 0)]
+    while stack:
+        node, path, level = stack.pop()
+        for child in node.children:
+            if isinstance(child, str):
+                continue
+            if child.tag in ("html", "body"):
+                stack.append((child, path, level))
+            elif child.tag in STRUCTURE:
+                kind = f"{path}/{_DIGITS.sub('', child.label)}"
+                kinds.add(kind)
+                if level + 1 < LAYOUT_LEVELS:
+                    stack.append((child, kind, level + 1))
+    found = xxhash.xxh64_intdigest("\n".join(sorted(kinds)).encode())
+    return found - (1 << 64) if found >> 63 else found
+
+
 def text_of(pieces: list[str]) -> str:
     return " ".join(html.unescape("".join(pieces)).split())
 
@@ -302,18 +327,34 @@ def _texts(blocks: list[tuple[int, str]]) -> dict[int, str]:
 
 
 _PARSED = (
-    "page_id {id}, url string, host string, blocks array<struct<text:string,node:int,main:boolean,doubt:boolean>>, "
+    "page_id {id}, url string, host string, layout long, blocks array<struct<text:string,node:int,main:boolean,doubt:boolean>>, "
     "met array<int>, same array<int>"
 )
 _BLOCK = pa.struct([("text", pa.string()), ("node", pa.int32()), ("main", pa.bool_()), ("doubt", pa.bool_())])
 
 
+def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, whose last column is html, and the layout of each page with text."""
+    for batch in batches:
+        found: list[int | None] = []
+        for page in batch.column(batch.num_columns - 1):
+            root = parse(page.as_py() or "")
+            found.append(layout(root) if blocks_of(number(root)) else None)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=[*batch.schema.names, "layout"])
+
+
+def _layouts_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _layouts(batches):
+        keep = [i for i, name in enumerate(batch.schema.names) if name != "html"]
+        yield batch.select(keep)
+
+
 def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of each page that may be main text, and where its reference page has the same text."""
     aligner = _Aligner()
     for batch in batches:
         rows: list[list] = [[], [], []]
-        for page, reference in zip(batch.column(3), batch.column(4), strict=True):
+        for page, reference in zip(batch.column(4), batch.column(5), strict=True):
             root = parse(page.as_py() or "")
             nodes = number(root)
             blocks = blocks_of(nodes)
@@ -336,11 +377,12 @@ def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch.column(0),
             batch.column(1),
             batch.column(2),
+            batch.column(3),
             pa.array(rows[0], pa.list_(_BLOCK)),
             pa.array(rows[1], pa.list_(pa.int32())),
             pa.array(rows[2], pa.list_(pa.int32())),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "blocks", "met", "same"])
+        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "host", "layout", "blocks", "met", "same"])
 
 
 def main_texts(
@@ -348,13 +390,14 @@ def main_texts(
 ) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
-    Each host's page of the smallest id is its reference. The element trees of all pages of the
-    host are aligned with the reference's by simple tree matching; reference elements whose text
-    stays the same on ``share`` of the pages, ``least`` at least, are the host's template, the
-    others its slots. Counts are summed over all pages before they meet, so a host may have any
+    Pages of a host with the same layout, the kinds of structural elements in the top levels,
+    have as reference the one of the smallest id; empty pages are none. Layouts of at most
+    ``least`` pages use the reference of the host's commonest layout. The element trees of all
+    pages are aligned with their reference's by simple tree matching; reference elements whose
+    text stays the same on ``share`` of its pages, ``least`` at least, are template, the others slots. Counts are summed over all pages before they meet, so a host may have any
     number of pages.
 
-    A page's text is that of its slots. Only where no slot has text, or the host has fewer than
+    A page's text is that of its slots. Only where no slot has text, or there are fewer than
     ``least`` pages besides the reference to teach a template, is it that of the article or main
     element, if there is one with text. Menus, headers, footers, sidebars, adverts and comments,
     known by element, role or a whole class or id, are left out of both. Forms, notices, share
@@ -366,24 +409,54 @@ def main_texts(
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), host.alias("host"), "html")
-    references = rows.groupBy("host").agg(F.min_by("html", F.struct("page_id", F.xxhash64("html"))).alias("reference"))
-    references = stored(references, "references")
-    few_hosts = references.count() <= broadcast_hosts
-    beside = F.broadcast(references) if few_hosts else references
     id_type = pages.schema["page_id"].dataType.simpleString()
-    read = rows.join(beside, "host").select("page_id", "url", "host", "html", "reference")
+
+    digest = F.xxhash64("html").alias("digest")
+    seen = map_arrow(rows.select("host", "page_id", digest, "html"), _layouts_only, f"host string, page_id {id_type}, digest long, layout long")
+    layouts = stored(
+        seen.filter("layout IS NOT NULL")
+        .groupBy("host", "layout")
+        .agg(F.min(F.struct("page_id", "digest")).alias("page"), F.count("*").alias("pages")),
+        "layouts",
+    )
+    commonest = layouts.groupBy("host").agg(F.min_by("layout", F.struct(-F.col("pages"), "layout")).alias("commonest"))
+    kept = layouts.join(commonest, "host").filter((F.col("pages") > least) | (F.col("layout") == F.col("commonest")))
+    kept = stored(
+        kept.select("host", "layout", "page.digest", F.col("page.page_id").alias("of_page"), (F.col("layout") == F.col("commonest")).alias("common")),
+        "layouts-kept",
+    )
+    few_hosts = kept.count() <= broadcast_hosts
+    of_page = F.col("page_id").eqNullSafe(F.col("of_page"))
+    references = (
+        rows.select("host", "page_id", digest, F.col("html").cast("string").alias("reference"))
+        .join(F.broadcast(kept) if few_hosts else kept, ["host", "digest"])
+        .filter(of_page)
+        .dropDuplicates(["host", "layout"])
+        .select("host", "layout", "common", "reference")
+    )
+    references = stored(references, "references")
+    own = references.select("host", "layout", "reference", F.col("layout").alias("own"))
+    common = references.filter("common").select("host", F.col("layout").alias("common"), F.col("reference").alias("common_reference"))
+    if few_hosts:
+        own, common = F.broadcast(own), F.broadcast(common)
+    laid = map_arrow(rows, _layouts, f"page_id {id_type}, url string, host string, html string, layout long")
+    read = laid.join(own, ["host", "layout"], "left").join(common, "host", "left").select(
+        "page_id", "url", "host", F.coalesce("own", "common").alias("layout"), "html",
+        F.coalesce("reference", "common_reference").alias("reference"),
+    )
     read = stored(map_arrow(read, _read_pages, _PARSED.format(id=id_type)), "parsed-pages")
 
-    met = read.select("host", F.explode("met").alias("node")).groupBy("host", "node").agg(F.count("*").alias("pages"))
-    same = read.select("host", F.explode("same").alias("node")).groupBy("host", "node").agg(F.count("*").alias("equal"))
-    template = met.join(same, ["host", "node"]).filter((F.col("equal") >= least) & (F.col("equal") >= F.col("pages") * share))
-    taught = read.filter(F.size("met") > 0).groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least)
-    lists = template.groupBy("host").agg(F.collect_list("node").alias("template"))
-    wrappers = taught.select("host", F.lit(True).alias("taught")).join(lists, "host", "left")
+    key = ["host", "layout"]
+    met = read.select(*key, F.explode("met").alias("node")).groupBy(*key, "node").agg(F.count("*").alias("pages"))
+    same = read.select(*key, F.explode("same").alias("node")).groupBy(*key, "node").agg(F.count("*").alias("equal"))
+    template = met.join(same, [*key, "node"]).filter((F.col("equal") >= least) & (F.col("equal") >= F.col("pages") * share))
+    taught = read.filter(F.size("met") > 0).groupBy(*key).agg(F.count("*").alias("pages")).filter(F.col("pages") >= least)
+    lists = template.groupBy(*key).agg(F.collect_list("node").alias("template"))
+    wrappers = taught.select(*key, F.lit(True).alias("taught")).join(lists, key, "left")
     if few_hosts:
         wrappers = F.broadcast(wrappers)
 
-    wrapped = read.join(wrappers, "host", "left")
+    wrapped = read.join(wrappers, key, "left")
     sure = F.filter("blocks", lambda b: ~b["doubt"])
     article = F.filter(sure, lambda b: b["main"])
     slots = F.filter(

@@ -475,6 +475,18 @@ def test_template_decides_on_doubtful_classes(spark):
     assert {r.page_id: r.text for r in html_text.main_texts(frame).collect()} == {i: f"Story {i}" for i in range(6)}
 
 
+@pytest.mark.parametrize("hosts", [2000, 0])
+@pytest.mark.parametrize("odd", [None, " ", "<div class='error'>Not found</div>"])
+def test_each_layout_of_a_host_has_its_reference(spark, odd, hosts):
+    story = lambda i: f"<body><div class='top'>Our site</div><div class='box'><p>Story {i}</div></body>"
+    entry = lambda i: f"<body><section>Lists</section><section class='all'><p>Entry {i}</section><table><tr><td>Rights</table></body>"
+    rows = [(0, "https://h/", odd), *[(i, "https://h/", (entry if i % 2 else story)(i)) for i in range(1, 13)]]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html_text.main_texts(frame, broadcast_hosts=hosts).collect()}
+    assert len(texts) == 13
+    assert all(texts[i] == (f"Entry {i}" if i % 2 else f"Story {i}") for i in range(1, 13))
+
+
 def test_simple_tree_matching_equals_brute_force():
     rng = random.Random(6)
 
