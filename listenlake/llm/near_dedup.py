@@ -262,6 +262,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, percent: int, broadcast_ids: in
     return both.filter(common * 100 >= joined * percent).select("a", "b").distinct()
 
 
+# What names a set of shingles; an id with several texts stands in several classes.
+CLASS_KEY = ["set_low", "set_high", "n_shingles"]
+
+
+def _with_sketches(open_: DataFrame, signed: DataFrame) -> DataFrame:
+    """Rows of ``open_`` with the sketch of their own set, also where other texts of the id have as many shingles."""
+    wanted = open_.select("doc_id").distinct()
+    sketches = signed.select("doc_id", *CLASS_KEY, "sketch").join(wanted, "doc_id", "left_semi")
+    sketches = stored(sketches.dropDuplicates(["doc_id", *CLASS_KEY]), "sketches")
+    return open_.join(sketches, ["doc_id", *CLASS_KEY])
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = SIMILARITY_PERCENT, broadcast_ids: int = BROADCAST_IDS
 ) -> DataFrame:
@@ -287,14 +299,14 @@ def near_duplicates(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(map_arrow(rows, _sign, _SIGNED), "signatures")
     real = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    key = ["set_low", "set_high", "n_shingles"]
+    key = CLASS_KEY
     classes = stored(real.groupBy(*key).agg(F.min("doc_id").alias("class_id")), "classes")
 
     members = signed.drop("sketch").join(classes, key).filter("doc_id = class_id").dropDuplicates(["doc_id", *key])
-    banded = members.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "value"))
+    banded = members.select("doc_id", *CLASS_KEY, F.posexplode("bands").alias("band", "value"))
     shared = banded.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).filter("n > 1")
     in_band = stored(
-        banded.join(shared, ["band", "value"]).select("band", "value", "hub", "doc_id", "n_shingles"), "bands"
+        banded.join(shared, ["band", "value"]).select("band", "value", "hub", "doc_id", *CLASS_KEY), "bands"
     )
     hubs = in_band.filter("hub = doc_id").select("band", "value", F.col("n_shingles").alias("na"))
     stars = (
@@ -309,7 +321,7 @@ def near_duplicates(
     grouped = stored(components(links), "groups")
 
     placed = in_band.join(grouped, F.col("doc_id") == F.col("node"), "left").select(
-        "band", "value", "hub", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")
+        "band", "value", "hub", "doc_id", *CLASS_KEY, F.coalesce("component", "doc_id").alias("component")
     )
     placed = stored(placed, "placed")
     counts = placed.groupBy("band", "value", "component").agg(F.count("*").alias("n"))
@@ -321,17 +333,14 @@ def near_duplicates(
     # The band's smallest class has been compared with all others already.
     several = largest.filter("groups > 1 AND members > 2").select("band", "value", "main")
     open_ = stored(placed.filter("doc_id <> hub").join(several, ["band", "value"]), "open")
-    wanted = open_.select(F.col("doc_id").alias("id")).distinct()
-    sketches = signed.select(F.col("doc_id").alias("id"), "n_shingles", "sketch").join(wanted, "id", "left_semi")
-    sketches = stored(sketches.dropDuplicates(["id", "n_shingles"]), "sketches")
-    sketched = open_.join(sketches, (F.col("doc_id") == F.col("id")) & open_["n_shingles"].eqNullSafe(sketches["n_shingles"]))
+    sketched = _with_sketches(open_, signed)
 
     def side(name: str) -> DataFrame:
         return sketched.select(
             "band",
             "value",
             F.col("doc_id").alias(name),
-            open_["n_shingles"].alias(f"n{name}"),
+            F.col("n_shingles").alias(f"n{name}"),
             F.col("component").alias(f"c{name}"),
             F.col("main").alias(f"main_{name}"),
             *[F.get("sketch", F.lit(i)).alias(f"{name}{i}") for i in range(SKETCH_LONGS)],

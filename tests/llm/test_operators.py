@@ -184,6 +184,14 @@ def test_components_of_paths_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_texts_of_one_id_and_size_keep_their_own_sketches(spark):
+    signed = spark.createDataFrame(
+        [(7, low, 1, 30, [low, low]) for low in range(20)], "doc_id long, set_low long, set_high long, n_shingles long, sketch array<long>"
+    )
+    found = near_dedup._with_sketches(signed.drop("sketch"), signed).collect()
+    assert sorted((r.set_low, r.sketch) for r in found) == [(low, [low, low]) for low in range(20)]
+
+
 # --- 3 secrets ------------------------------------------------------------------------
 
 
