@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +35,6 @@ ALLOWED = [
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[0-9_-]*$",
     r"(?i)example|placeholder|changeme|dummy|your_|xxxx|abcdefgh|01234567",
 ]
-# Key letters have codes 43 (+) to 122 (z).
-FIRST_CODE, N_CODES = 43, 80
-
 
 def _spans(text: Column, pattern: str, kind: int, least: tuple[int, int] | None = None) -> Column:
     """Matches of ``pattern`` as an array of (start, kind, end, match) in code points.
@@ -89,40 +88,31 @@ def window_entropy(text: Column, window: int = WINDOW) -> Column:
     """The highest Shannon entropy, in bits, of any window of ``text``; of key letters, at least one window long.
 
     The window slides by one character at a time: the counts of the character that enters and
-    of the one that leaves change, and with them two terms of the sum.
+    of the one that leaves change, and with them two terms of the sum. Both are counted in the
+    window that is carried along, so that a character costs the same in a text of any length.
     """
-    codes = F.transform(F.split(text, ""), lambda c: F.ascii(c) - FIRST_CODE)
-    codes = F.filter(codes, lambda c: c >= 0)
-    moves = F.transform(
-        codes, lambda c, i: F.struct(c.alias("enters"), F.when(i >= window, F.get(codes, i - window)).alias("leaves"))
-    )
-    counts = F.array_repeat(F.lit(0), N_CODES)
-    start = F.struct(
-        F.lit(0).alias("n"), counts.alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best")
-    )
-
-    def slide(acc: Column, move: Column) -> Column:
-        enters, leaves = move["enters"], move["leaves"]
-        more, less = F.get(acc["counts"], enters), F.get(acc["counts"], leaves)
-        change = F.when(leaves.isNull(), _n_log_n(more + 1) - _n_log_n(more)).otherwise(
-            F.when(
-                leaves != enters, _n_log_n(more + 1) - _n_log_n(more) + _n_log_n(less - 1) - _n_log_n(less)
-            ).otherwise(F.lit(0.0))
+    start = F.struct(F.lit("").alias("window"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+
+    def occurrences(letters: Column, letter: Column) -> Column:
+        return window - F.length(F.replace(F.rpad(letters, F.lit(window), F.lit(" ")), letter, F.lit("")))
+
+    def slide(acc: Column, enters: Column) -> Column:
+        full = F.length(acc["window"]) == window
+        leaves = F.substring(acc["window"], 1, 1)
+        more, less = occurrences(acc["window"], enters), occurrences(acc["window"], leaves)
+        grown = _n_log_n(more + 1) - _n_log_n(more)
+        change = (
+            F.when(~full, grown)
+            .when(leaves != enters, grown + _n_log_n(less - 1) - _n_log_n(less))
+            .otherwise(F.lit(0.0))
         )
         total = acc["sum"] + change
-        n = acc["n"] + 1
-        entropy = F.when(n >= window, F.log2(F.lit(float(window))) - total / window).otherwise(F.lit(0.0))
-        counted = F.transform(
-            acc["counts"],
-            lambda c, k: c
-            + F.when(k == enters, 1).otherwise(0)
-            - F.when(leaves.isNotNull() & (k == leaves), 1).otherwise(0),
-        )
-        return F.struct(
-            n.alias("n"), counted.alias("counts"), total.alias("sum"), F.greatest(acc["best"], entropy).alias("best")
-        )
+        moved = F.concat(F.when(full, F.substring(acc["window"], 2, window - 1)).otherwise(acc["window"]), enters)
+        entropy = F.when(F.length(moved) == window, F.log2(F.lit(float(window))) - total / window).otherwise(F.lit(0.0))
+        return F.struct(moved.alias("window"), total.alias("sum"), F.greatest(acc["best"], entropy).alias("best"))
 
-    return F.aggregate(moves, start, slide, lambda acc: acc["best"])
+    letters = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.aggregate(letters, start, slide, lambda acc: acc["best"])
 
 
 def _is_secret(match: Column) -> Column:
@@ -135,6 +125,11 @@ def _is_secret(match: Column) -> Column:
     return ~allowed & (window_entropy(match) >= threshold)
 
 
+def _of_kind(kind: int) -> Callable[[Column], Column]:
+    # One parameter: given two, Spark would pass the place in the array as the second.
+    return lambda span: span["kind"] == kind
+
+
 def _shown(spans: Column) -> Column:
     """kind:start:end of each span, joined by commas."""
     kinds = F.array(*[F.lit(k) for k in KINDS])
@@ -175,9 +170,6 @@ def secret_spans(docs: DataFrame) -> DataFrame:
 def scan_report(docs: DataFrame) -> DataFrame:
     """Counts and places of secrets: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     found = secret_spans(docs)
-    count = [
-        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
-        for kind in range(3)
-    ]
+    count = [F.size(F.filter("base", _of_kind(kind))).cast("long").alias(f"n_{KINDS[kind]}") for kind in range(3)]
     every = F.array_sort(F.concat("base", "extra"))
     return found.select("doc_id", *count, F.sha2(_shown(F.col("base")), 256).alias("base_sha256"), _shown(every).alias("spans"))

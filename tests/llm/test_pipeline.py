@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from listenlake.llm import common, language_id
 from listenlake.llm.queries import tokenizer_file
-from test_operators import DOCS
+from test_llm_operators import DOCS
 
 WORDS = {"en": "the house river green walk with under stone", "de": "das haus fluss grün gehen mit unter stein"}
 
