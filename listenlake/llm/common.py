@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pandas as pd
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from listenlake.operators.scratch import materialise
+from listenlake.operators.scratch import materialise, scratch_path
 
 # White space of the contracts: blank and tab to carriage return.
 SPACE = r"\x20\x09-\x0D"
@@ -66,9 +66,14 @@ def with_fields(frame: DataFrame, ddl: str) -> StructType:
     return StructType([*frame.schema.fields, *StructType.fromDDL(ddl).fields])
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+def stored(frame: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``frame`` written once below ``spark.checkpoint.dir`` and read back: survives lost executors."""
-    return materialise(frame, f"llm-{label}")
+    if not partition_by:
+        return materialise(frame, f"llm-{label}")
+    spark = frame.sparkSession
+    path = scratch_path(spark, f"llm-{label}")
+    frame.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

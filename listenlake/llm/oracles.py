@@ -62,3 +62,86 @@ WITH RECURSIVE texts AS (
 SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sizes JOIN smallest USING (doc_id)
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), phrases AS (
+  SELECT lang, unnest(flatten([
+    list_transform(range(1, len(w) + 1), lambda i: w[i : i]),
+    list_transform(range(1, len(w)), lambda i: w[i : i + 1]),
+    list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2])])) AS p
+  FROM worded
+), counted AS (
+  SELECT lang, p, count(*)::hugeint AS f FROM phrases GROUP BY lang, p
+), totals AS (
+  SELECT lang, sum(f) AS n FROM counted WHERE len(p) = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, p, f AS a FROM counted WHERE len(p) > 1 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.p, c.a, k, x.f AS l, y.f AS r, (1000000 * c.a * c.a) // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+  JOIN counted x ON x.lang = c.lang AND x.p = c.p[1 : k]
+  JOIN counted y ON y.lang = c.lang AND y.p = c.p[k + 1 :]
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), covering AS (
+  SELECT lang, p, max(a) AS longer FROM (
+    SELECT lang, p[1 : 2] AS p, a FROM candidates WHERE len(p) = 3
+    UNION ALL SELECT lang, p[2 : 3], a FROM candidates WHERE len(p) = 3
+  ) GROUP BY lang, p
+), ranked AS (
+  SELECT w.lang, array_to_string(w.p, ' ') AS phrase, w.a, w.l, w.r, w.score,
+    row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, array_to_string(w.p, ' ')) AS rank
+  FROM weakest w LEFT JOIN covering c ON c.lang = w.lang AND c.p = w.p
+  WHERE c.longer IS NULL OR 100 * c.longer < 50 * w.a
+)
+SELECT lang, rank::bigint AS rank, phrase, a::bigint AS a, l::bigint AS l, r::bigint AS r, n::bigint AS n, score::bigint AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+# CRC-32 by its table, which is made here from the reversed polynomial; runs have code points below 256.
+ORACLES["op13_variants"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda v: list_reduce(range(8),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, v::bigint)) AS t
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents
+), per_document AS (
+  SELECT doc_id, run, count(*) AS times FROM runs GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(flatten(list_transform(
+      string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::bigint] ELSE [195::bigint, unicode(c)::bigint - 64] END)),
+    lambda crc, b: xor(crc >> 8, t[xor(crc & 255, b) + 1]), 4294967295::bigint)) AS h
+  FROM per_document, crc_table
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, sum(times)::bigint AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND n >= 3
+), holed AS (
+  SELECT word, n, i, word[: i - 1] AS head, word[i + 1 :] AS tail FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n
+  FROM holed a JOIN holed b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holed a JOIN words b ON b.word = a.head || a.tail
+  UNION SELECT b.word, a.word, a.n FROM holed a JOIN words b ON b.word = a.head || a.tail
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), chains AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT c.word, c.root FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""

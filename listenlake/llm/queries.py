@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlake.llm import cover_tree, exact_dedup, html_text, language_id, line_dedup, mixing, near_dedup, packing, secret_scan, sharding
+from listenlake.llm import cover_tree, exact_dedup, html_text, language_id, line_dedup, mixing, near_dedup, packing, phrases, secret_scan, sharding, variants
 from listenlake.llm.common import table
 from listenlake.llm.oracles import ORACLES
 
@@ -70,6 +70,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -89,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_main_text,
         op9_packing,
         op10_sharding,
+        op11_collocations,
+        op13_variants,
         pipeline,
     )
 }
