@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenlake.llm import cover_tree, exact_dedup, html_text, language_id, line_dedup, mixing, near_dedup, packing, phrases, secret_scan, sharding, variants
+from listenlake.llm import cover_tree, exact_dedup, html_text, language_id, line_dedup, mixing, near_dedup, packing, phrases, quality, secret_scan, sharding, variants
 from listenlake.llm.common import table
 from listenlake.llm.oracles import ORACLES
 
@@ -74,6 +74,17 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.with_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        quality.is_held_out(F.col("doc_id")).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= quality.KEEP).cast("int").alias("predicted"),
+    )
+
+
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -98,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_packing,
         op10_sharding,
         op11_collocations,
+        op12_quality,
         op13_variants,
         pipeline,
     )

@@ -26,8 +26,11 @@ from listenlake.llm import (
     mixing,
     near_dedup,
     packing,
+    phrases,
+    quality,
     secret_scan,
     sharding,
+    variants,
 )
 from listenlake.llm.queries import tokenizer_file
 
@@ -632,6 +635,210 @@ def test_shards_are_even_gapless_and_keep_copies_together(spark):
         assert sorted(r.slot for r in found if r.shard == shard) == list(range(sum(r.shard == shard for r in found)))
 
 
+# --- 11 phrases -----------------------------------------------------------------------
+
+
+def brute_collocations(rows, least, top, longest=3):
+    words, found = Counter(), Counter()
+    for _, text, lang, *_ in rows:
+        small = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", small):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            words[lang or "und"] += len(w)
+            found.update((lang or "und", tuple(w[i : i + n])) for n in range(1, longest + 1) for i in range(len(w) - n + 1))
+    out = defaultdict(list)
+    for (lang, p), a in found.items():
+        if len(p) < 2 or a < least:
+            continue
+        if any(
+            100 * b >= 50 * a and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+            for (other, q), b in found.items()
+            if other == lang and len(q) > len(p) and b >= least
+        ):
+            continue
+        cuts = [(found[lang, p[:k]], found[lang, p[k:]]) for k in range(1, len(p))]
+        score, _, left, right = min((1_000_000 * a * a // (x * y), k, x, y) for k, (x, y) in enumerate(cuts))
+        out[lang].append((-score, -a, " ".join(p).encode(), left, right))
+    return sorted(
+        (lang, rank, p.decode(), -a, left, right, words[lang], -score)
+        for lang, rows in out.items()
+        for rank, (score, a, p, left, right) in enumerate(sorted(rows)[:top], 1)
+    )
+
+
+def phrase_texts(seed: int, n: int) -> list[tuple]:
+    rng = random.Random(seed)
+    vocabulary = ["a", "B", "É", "x\u00a0y", "dd", "e-e", "F", "gg"]
+    text = lambda: " ".join(rng.choice(vocabulary) + rng.choice(["", "", "", ".", " ,", "\n"]) for _ in range(rng.randint(0, 40)))
+    rows = [(i, text(), rng.choice(["en", "de", None]), None, None) for i in range(n)]
+    return [*rows, (n, None, "en", None, None), (n, "A b " * 3000, "en", None, None), (n, "only.one\ttime", "fr", None, None)]
+
+
+@pytest.mark.parametrize("longest,shards,least", [(3, 4, 10), (4, 3, 2), (2, 1, 5)])
+def test_collocations_equal_brute_force(spark, longest, shards, least):
+    rows = phrase_texts(longest, 150)
+    found = phrases.collocations(spark.createDataFrame(rows, DOCS), longest=longest, least=least, top=40, shards=shards)
+    assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert sorted(map(tuple, found.collect())) == brute_collocations(rows, least, 40, longest)
+
+
+def test_filters_of_reached_phrases_may_be_full(spark, monkeypatch):
+    """Filters that let everything through cost work, never a result."""
+    rows = phrase_texts(9, 60)
+    docs = spark.createDataFrame(rows, DOCS)
+    monkeypatch.setattr(phrases, "_mark", lambda n_slots: _all_marked(n_slots))
+    assert sorted(map(tuple, phrases.collocations(docs, least=4, top=50).collect())) == brute_collocations(rows, 4, 50)
+
+
+def _all_marked(n_slots):
+    import pyarrow as pa
+
+    def mark(batches):
+        for _ in batches:
+            every = pa.array(np.full(n_slots, -1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_slots)), every, every], names=["slot", "ever", "recent"])
+
+    return mark
+
+
+def test_scores_of_counts_beyond_64_bits_are_exact(spark):
+    a, left, right = 10**12 + 7, 3 * 10**12 + 1, 2 * 10**12 + 9
+    row = spark.createDataFrame([(a, left, right)], "a long, l long, r long")
+    x, y, z = (f"CAST({c} AS DECIMAL(15, 0))" for c in "alr")
+    score = row.selectExpr(f"({x} * {x} * CAST(1000000 AS DECIMAL(7, 0))) div ({y} * {z})").first()[0]
+    assert score == 1_000_000 * a * a // (left * right)
+
+
+# --- 12 quality -----------------------------------------------------------------------
+
+
+def test_quality_votes_equal_plain_loops():
+    rng = random.Random(2)
+    good = [" ".join(rng.choice(["the", "house", "river", "green"]) for _ in range(rng.randint(3, 60))) for _ in range(40)]
+    bad = [" ".join(rng.choice(["THE!!", "x%%%", "BUY!!"]) for _ in range(rng.randint(3, 60))) for _ in range(25)]
+    terms = [quality.text_terms([t.encode()]) for t in [*good, *bad]]
+    df = np.bincount(np.concatenate([c for _, c, _ in terms]), minlength=quality.N_TERMS)
+    model = quality.fit(np.array([1] * 40 + [0] * 25), [c for _, c, _ in terms], [n for *_, n in terms], df, 65, np.array([0.3, 0.7]))
+    texts = [b"", b"the green house", b"BUY!! x%%% river", "\u00e9\u00e9 BUY!!".encode(), b"x%%% " * 5000]
+    for text, score in zip(texts, model.scores(texts), strict=True):
+        vector = model.latent([text])[0]
+        near = sorted(
+            ((-round(float(vector @ v), 5), i) for i, v in enumerate(model.vectors)), key=lambda x: (round(x[0], 4), x[1])
+        )[: quality.NEIGHBOURS]
+        say = {1: 0.7 / 40, 0: 0.3 / 25}
+        votes = {q: sum(max(-c, 0) ** quality.SHARPNESS * say[q] for c, i in near if model.labels[i] == q) for q in (0, 1)}
+        total = votes[0] + votes[1]
+        assert score == pytest.approx(votes[1] / total if total else 0.5, abs=2e-2)
+    assert model.scores([b"the green river house"])[0] > 0.9 and model.scores([b"THE!! BUY!! x%%%"])[0] < 0.1
+
+
+def test_terms_of_many_texts_are_those_of_each():
+    texts = [b"", b" \t\n", "a A\u00e9 a a".encode(), b"word " * 1000, b"x"]
+    text, column, count = quality.text_terms(texts)
+    for i, one in enumerate(texts):
+        _, c, n = quality.text_terms([one])
+        assert c.tolist() == column[text == i].tolist() and n.tolist() == count[text == i].tolist()
+        assert len(c) >= 2
+
+
+def test_held_out_quality_is_told(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
+    told = quality.with_quality(docs.select("doc_id", "text"), quality.train(docs, labels)).join(labels, "doc_id")
+    held = told.filter(quality.is_held_out(F.col("doc_id"))).collect()
+    assert len(held) > 900
+    right = [(r.quality_score >= quality.KEEP) == (r.quality == 1) for r in held]
+    assert sum(right) >= 0.98 * len(right)
+    assert all(r.quality_score >= quality.KEEP for r in held if r.quality == 1)
+
+
+def test_labels_of_held_out_and_odd_rows_teach_nothing(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", None, None, None) for i in range(40)], DOCS)
+    held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 == 2]
+    odd = [(i, 1) for i in held] + [(None, 0), (3, None), (4, 7), (999, 1)]
+    model = quality.train(docs, spark.createDataFrame(odd, "doc_id long, quality int"))
+    assert len(model.labels) == 0
+    assert {r.quality_score for r in quality.with_quality(docs, model).collect()} == {0.5}
+
+
+# --- 13 variants ----------------------------------------------------------------------
+
+
+def brute_words(rows, least_count=3, least_length=5, noise=97):
+    counts = Counter()
+    for doc_id, text, *_ in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            run = "".join(c.lower() if c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if noise and h % noise == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}
+
+
+def brute_one_edit(a, b):
+    if a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_variants(words):
+    near = {w: [v for v in words if abs(len(v) - len(w)) < 2 and brute_one_edit(v, w)] for w in words}
+    best = {w: min(near[w], key=lambda v: (-words[v], v)) for w in words if near[w]}
+    form = {w: v for w, v in best.items() if words[v] >= 2 * words[w]}
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return sorted((w, form.get(w) or "", root(w), n, len(near[w]), words[form[w]] if w in form else 0) for w, n in words.items())
+
+
+def variant_rows(seed: int, n: int) -> list[tuple]:
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abA\u00e9\u00d7z") for _ in range(rng.randint(4, 7)))
+    vocabulary = [word() for _ in range(400)]
+    text = lambda: rng.choice([" ", "-", "\u0100", "1"]).join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60)))
+    rows = [(rng.choice([i, i, i, None]), text(), None, None, None) for i in range(n)]
+    return [*rows, (1, None, None, None, None), (2, "", None, None, None), (3, "a" * 20_000 + " " + "a" * 20_001, None, None, None)] * 2
+
+
+@pytest.mark.parametrize("node_words,noise", [(2000, 97), (40, 3), (3, 97)])
+def test_variants_equal_brute_force(spark, node_words, noise):
+    rows = variant_rows(node_words, 200)
+    found = variants.spelling_variants(spark.createDataFrame(rows, DOCS), node_words=node_words, noise=noise, least_count=2)
+    got = sorted((r.word, r.form or "", r.root, r.n, r.n_near, r.form_n or 0) for r in found.collect())
+    assert got == brute_variants(brute_words(rows, 2, noise=noise))
+
+
+@pytest.mark.parametrize("letters", ["ab", "aiqy", "abcdefgh\u00e9"])
+def test_trie_meets_every_pair_once(letters):
+    """Letters of one group, of several, and words whose vectors are equal."""
+    rng = random.Random(len(letters))
+    words = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(300)})
+    for depth in (0, 2, variants.GROUPS):
+        nodes = defaultdict(list)
+        for word in words:
+            nodes[variants.group_counts(word)[:depth]].append(word)
+        tries = {node: variants.Trie(below, depth) for node, below in nodes.items()}
+        found = Counter()
+        for word in words:
+            for node in variants.reachable(variants.group_counts(word), depth):
+                if node in tries:
+                    found.update(frozenset((word, near)) for near in tries[node].partners(word, node))
+        assert set(found.values()) <= {1}
+        assert set(found) == {frozenset((a, b)) for a in words for b in words if brute_one_edit(a, b)}
+
+
+@pytest.mark.parametrize("a,b", [("", ""), ("a", ""), ("ab", "ba"), ("aab", "aaab"), ("abc", "adc"), ("abcd", "ab"), ("xab", "abx")])
+def test_one_edit(a, b):
+    assert variants.one_edit(a, b) == variants.one_edit(b, a) == brute_one_edit(a, b)
+
+
 # --- odd and empty inputs -------------------------------------------------------------
 
 OPERATORS = {
@@ -646,8 +853,11 @@ OPERATORS = {
     "drop exact": lambda d: exact_dedup.drop_exact_duplicates(d),
     "packing": lambda d: packing.pack_documents(d, tokenizer_file("word_bpe_49k.json")),
     "sharding": lambda d: sharding.shard_documents(d),
+    "phrases": lambda d: phrases.collocations(d),
+    "quality": lambda d: quality.with_quality(d, quality.train(d, d.selectExpr("doc_id", "doc_id % 2 AS quality", "'x' AS text"))),
+    "variants": lambda d: variants.spelling_variants(d),
 }
-ROWS = {"mixing": 14, "near": 14, "drop near": 14, "secrets": 14, "lines": 14, "language": 14, "exact": 14, "drop exact": 9, "sharding": 14}
+ROWS = {"mixing": 14, "near": 14, "drop near": 14, "secrets": 14, "lines": 14, "language": 14, "exact": 14, "drop exact": 9, "sharding": 14, "quality": 14, "phrases": 1, "variants": 0}
 
 
 @pytest.mark.parametrize("name", OPERATORS)
