@@ -23,7 +23,7 @@ NOISE = 97
 # Levels of the trie: the letters of a group are those whose code points leave the same rest.
 GROUPS = 8
 # Words below a node that one task searches; the trie is cut at the first level where all have fewer.
-NODE_WORDS = 2_000
+NODE_WORDS = 20_000
 # Different words a task of the first pass holds before it sends their counts.
 WORDS_AT_ONCE = 300_000
 
@@ -123,18 +123,18 @@ def group_counts(word: str) -> tuple[int, ...]:
     return tuple(counts)
 
 
-def _steps(count: int, surplus: int, deficit: int) -> Iterator[tuple[int, int, int]]:
+def _steps(count: int, surplus: int, deficit: int) -> tuple[tuple[int, int, int], ...]:
     """Counts that a partner may have where the word has ``count``, with what is left of the budgets.
 
     One inserted letter is a surplus of one, one replaced letter a surplus and a deficit, if it
     leaves its group. Of two words that differ by both, the one that lacks a letter first looks
     for the other, so that a pair is met once: the deficit is spent after the surplus only.
     """
-    yield count, surplus, deficit
     if surplus:
-        yield count + 1, 0, deficit
-    elif deficit and count:
-        yield count - 1, 0, 0
+        return (count, surplus, deficit), (count + 1, 0, deficit)
+    if deficit and count:
+        return (count, 0, deficit), (count - 1, 0, 0)
+    return ((count, surplus, deficit),)
 
 
 def reachable(path: tuple[int, ...], depth: int) -> Iterator[tuple[int, ...]]:
@@ -187,21 +187,23 @@ class Trie:
         open_ = [(self.root, self.depth, surplus, deficit)]
         while open_:
             node, level, surplus, deficit = open_.pop()
-            if level < GROUPS:
-                for count, s, d in _steps(path[level], surplus, deficit):
-                    if count in node:
-                        open_.append((node[count], level + 1, s, d))
-            else:
-                found += self._verified(node, word, len(word) + (not surplus and deficit))
+            if level == GROUPS:
+                found += self._verified(node, word, path, len(word) + (not surplus and deficit))
+                continue
+            for count, s, d in _steps(path[level], surplus, deficit):
+                below = node.get(count)
+                if below is not None:
+                    open_.append((below, level + 1, s, d))
         return found
 
     @staticmethod
-    def _verified(leaf: dict, word: str, length: int) -> list[str]:
+    def _verified(leaf: dict, word: str, path: tuple[int, ...], length: int) -> list[str]:
         """Partners of ``length`` in a leaf; of two words with the same counts the smaller one looks."""
         half = length // 2
         near = leaf.get((length, True, word[:half]), []) + leaf.get((length, False, word[len(word) - (length - half) :]), [])
-        unequal = length > len(word)
-        same_path = not unequal and bool(near) and group_counts(near[0]) == group_counts(word)
+        if not near:
+            return near
+        same_path = length == len(word) and group_counts(near[0]) == path
         return [w for w in dict.fromkeys(near) if one_edit(word, w) and (not same_path or w > word)]
 
 
@@ -227,22 +229,23 @@ def _route(depth: int):
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by node, part and role to pairs of near words, each both ways: (word, near, near_n)."""
-    here, trie = None, None
+    here, node, trie = None, (), None
     words: dict[str, int] = {}
     for batch in batches:
         out: list[tuple[str, str, int]] = []
-        for row in batch.to_pylist():
-            at = (tuple(row["node"]), row["part"])
+        columns = (batch.column(name).to_pylist() for name in ("node", "part", "asks", "word", "n"))
+        for *at, asks, word, n in zip(*columns, strict=True):
             if at != here:
                 here, trie, words = at, None, {}
-            if not row["asks"]:
-                words[row["word"]] = row["n"]
+            if not asks:
+                words[word] = n
                 continue
             if trie is None:
-                trie = Trie(words, len(here[0]))
-            for near in trie.partners(row["word"], here[0]):
-                out.append((row["word"], near, words[near]))
-                out.append((near, row["word"], row["n"]))
+                node = tuple(here[0])
+                trie = Trie(words, len(node))
+            for near in trie.partners(word, node):
+                out.append((word, near, words[near]))
+                out.append((near, word, n))
         if out:
             word, near, n = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
