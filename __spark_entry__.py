@@ -22,12 +22,14 @@ from listenlake.functions.times import epoch_millis, utc_date, utc_hour
 from listenlake.operators.lookup import attach_key
 from listenlake.operators.ordering import dense_keys
 from listenlake.operators.runs import state_runs
-from listenlake.operators.scratch import materialise, scratch_path
-from listenlake.plans import calendars, checks, dimensions, facts, marts, users
+from listenlake.operators.scd2 import append_members
+from listenlake.operators.scratch import materialise, on_clear, scratch_path
+from listenlake.plans import calendars, checks, dimensions, facts, marts, sketches, users
 from listenlake.plans.warehouse import Warehouse
-from listenlake.schemas import TOPIC_SCHEMAS
+from listenlake.schemas import TOPIC_SCHEMAS, require_columns
 from listenlake.sources import messages, playlog
-from listenlake.streaming import ingest
+from listenlake.sources.tables import between_dates, read_version
+from listenlake.streaming import compact, ingest, refresh
 
 FIRST_LOAD = date(2024, 1, 16)
 NEXT_LOAD = date(2024, 2, 1)
@@ -36,6 +38,10 @@ NEXT_LOAD = date(2024, 2, 1)
 _visits_of: dict[tuple[str, str], DataFrame] = {}
 _warehouses: dict[tuple[str, str], Warehouse] = {}
 _facts: dict[tuple[str, str, bool], DataFrame] = {}
+_followed: dict[tuple[str, str], Warehouse] = {}
+# What they point to goes with the scratch folder.
+for _cache in (_visits_of, _warehouses, _facts, _followed):
+    on_clear(_cache.clear)
 
 
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +169,48 @@ def ingest_stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrived
 
 
+def ingest_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What arrives when every message is sent again in a second batch, and one in three twice in the first."""
+    topic = "listen_events"
+    sent_to, output, state = (scratch_path(spark, label) for label in ("messages", "lake", "checkpoints"))
+    rows = _topic(spark, sf_dir, topic)
+    once = messages.as_messages(rows.drop("event_id"), topic)
+    again = messages.as_messages(rows.filter("event_id % 3 = 0").drop("event_id"), topic)
+    for batch in (once.unionByName(again), once):
+        batch.write.mode("append").parquet(sent_to)
+        stream = messages.stream_messages(spark, sent_to)
+        ingest.wait_for([ingest.ingest_topic(stream, topic, output, state, None, repeats_within="400 days")])
+    lake = ingest.read_lake(spark, f"{output}/{topic}", topic)
+    return lake.groupBy("event_date").agg(
+        F.count("*").alias("event_rows"), F.sum("ts").alias("sum_ts"), F.sum("userId").alias("sum_user_id")
+    )
+
+
+def lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by date and by the form they are read in, when all dates but the last are compacted."""
+    topic = "listen_events"
+    lake = f"{_streamed(spark, sf_dir, [topic], ingest.ingest_topic)}/{topic}"
+    dates = ingest.read_lake(spark, lake, topic).agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+    compact.compact_dates(spark, lake, topic, dates["first"], dates["last"] - timedelta(days=1))
+    rows = compact.read_lake_rows(spark, lake, topic)
+    large = F.contains(F.input_file_name(), F.lit(compact.compacted_path(topic))).alias("compacted")
+    return rows.groupBy("event_date", large).agg(
+        F.count("*").alias("event_rows"), F.sum("ts").alias("sum_ts")
+    )
+
+
+def check_required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each topic that lack a value in a column that later steps need; a missing column raises."""
+    needed = ["ts", "sessionId", "userId", "level"]
+    found = None
+    for topic in TOPIC_SCHEMAS:
+        rows = require_columns(_topic(spark, sf_dir, topic), needed)
+        counts = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in needed])
+        part = counts.unpivot([], needed, "column_name", "null_rows").select(F.lit(topic).alias("topic"), "column_name", "null_rows")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def archive_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = _streamed(spark, sf_dir, ["page_view_events"], ingest.archive_topic)
     return ingest.read_archive(spark, f"{archive}/page_view_events", "page_view_events")
@@ -217,7 +265,13 @@ def dim_user_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _printable_end(users.user_dimension(users.user_history(_plays(spark, sf_dir))))
+    return _printable_end(users.user_dimension(_warehouse(spark, sf_dir).table("dim_user_history")))
+
+
+def dim_song_from_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Songs appended to a table that was never written: reading it gives no rows of its schema."""
+    never = read_version(spark, scratch_path(spark, "never"), "song_name string, song_duration double, song_id bigint")
+    return append_members(never, dimensions.song_members(_plays(spark, sf_dir)), dimensions.SONG_KEY, "song_id")
 
 
 def dim_session(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,6 +319,58 @@ def fact_plays_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.fact_by_hour(store.plays, store.star(by_hour=True, with_device=True))
 
 
+def fact_plays_of_a_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of one date, from the months of the dimensions that it needs."""
+    store = _warehouse(spark, sf_dir)
+    store.star(by_hour=True)
+    star = store.star_of_dates(FIRST_LOAD, FIRST_LOAD, by_hour=True)
+    return facts.fact_by_hour(between_dates(store.plays, FIRST_LOAD, FIRST_LOAD), star)
+
+
+def _followed_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse that followed the stream of plays in three batches, started anew for each."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _followed:
+        topic = "listen_events"
+        sent_to, root, state = (scratch_path(spark, label) for label in ("messages", "followed", "checkpoints"))
+        rows = ingest.enrich(_topic(spark, sf_dir, topic))
+        later = NEXT_LOAD - timedelta(days=8)
+        part = F.when(F.col("event_date") < F.lit(FIRST_LOAD), 0).when(F.col("event_date") < F.lit(later), 1).otherwise(2)
+        stream_rows = spark.readStream.schema(ingest.enriched_schema(topic))
+        for number in range(3):
+            rows.drop("event_id").filter(part == number).write.mode("append").parquet(sent_to)
+            ingest.wait_for([refresh.refresh_stream(stream_rows.parquet(sent_to), root, state, interval=None)])
+        plays = read_version(spark, f"{root}/{refresh.PLAYS}")
+        _followed[at] = Warehouse(spark, root, plays, NEXT_LOAD)
+    return _followed[at]
+
+
+def stream_refresh_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts that followed the stream, with what their keys stand for in the dimensions that did."""
+    store = _followed_warehouse(spark, sf_dir)
+    rows = store.facts(by_hour=True)
+    for name, key, foreign in (("dim_song", "song_id", "song_id"), ("dim_artist", "artist_id", "artist_id"),
+                               ("dim_city", "city_id", "city_id"), ("dim_session", "session_id", "session_id_fk")):
+        members = store.table(name).withColumnRenamed(key, f"_{key}")
+        shown = {"dim_song": ["song_name", "song_duration"], "dim_artist": ["artist_name"],
+                 "dim_city": ["city_name", "zip_code"], "dim_session": ["sessionId"]}[name]
+        rows = rows.join(members.select(f"_{key}", *shown), F.col(foreign) == F.col(f"_{key}"), "left")
+    return rows.select(
+        "ts", "datetime_id", "user_id_fk", "level", "duration", "song_name", "song_duration", "artist_name", "city_name",
+        "zip_code", "sessionId",
+    )
+
+
+def stream_refresh_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and keys of the dimensions that followed the stream: those of one load of everything."""
+    return _key_uniqueness(_followed_warehouse(spark, sf_dir))
+
+
+def stream_refresh_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users' history that followed the stream."""
+    return _printable_end(_followed_warehouse(spark, sf_dir).table("dim_user_history"))
+
+
 def check_fact_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.sums_preserved(_plays(spark, sf_dir), _stored_fact(spark, sf_dir, by_hour=True))
 
@@ -322,7 +428,10 @@ def check_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _warehouse(spark, sf_dir)
+    return _key_uniqueness(_warehouse(spark, sf_dir))
+
+
+def _key_uniqueness(store: Warehouse) -> DataFrame:
     return checks.key_uniqueness(
         {
             "dim_song": (store.table("dim_song"), dimensions.SONG_KEY),
@@ -331,7 +440,7 @@ def check_unique_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
             "dim_device": (store.table("dim_device"), ["userAgent"]),
             "dim_date": (store.table("dim_date"), ["DateSK"]),
             "dim_date_hour": (store.table("dim_date_hour"), ["DateSK"]),
-            "dim_user": (store.table("dim_user"), ["userKey"]),
+            "dim_user": (store.table("dim_user"), ["userId"]),
             "dim_session": (store.table("dim_session").filter("is_active"), ["sessionId"]),
         }
     )
@@ -361,6 +470,26 @@ def mart_active_users_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.active_users(_stored_fact(spark, sf_dir, by_hour=False), "userKey")
 
 
+def mart_active_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact users and songs of the seven days up to each date, and whether the merged sketches come near them."""
+    store = _warehouse(spark, sf_dir)
+    dates = store.plays.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+    estimated = sketches.over_days(store.load_sketches(dates["first"], dates["last"]), 7)
+    ends = F.explode(F.sequence("event_date", F.date_add("event_date", 6)))
+    song = F.when(F.col("song").isNotNull() | F.col("duration").isNotNull(), F.struct("song", "duration"))
+    exact = (
+        store.plays.select("userId", song.alias("song"), ends.alias("last_date"))
+        .filter(F.col("last_date") <= F.lit(dates["last"]))
+        .groupBy("last_date")
+        .agg(F.count("*").alias("plays"), F.countDistinct("userId").alias("users"), F.countDistinct("song").alias("songs"))
+    )
+    both = exact.join(estimated.select("last_date", *[F.col(c).alias(f"_{c}") for c in ("plays", "users", "songs")]), "last_date")
+    near = [
+        (F.abs(F.col(f"_{c}") - F.col(c)) <= F.ceil(F.col(c) * sketches.ERROR_BOUND)).alias(f"{c}_near") for c in ("users", "songs")
+    ]
+    return both.filter("plays = _plays").select("last_date", "plays", "users", "songs", *near)
+
+
 def mart_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.demographics(_warehouse(spark, sf_dir).table("dim_user"))
 
@@ -428,6 +557,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
             ingest_stream_append,
             ingest_stream_topics,
             archive_csv,
+            ingest_deduplicated,
+            lake_compacted,
+            check_required_columns,
             ingest_event_date,
             ingest_masked_registration,
             dim_song,
@@ -438,12 +570,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
             dim_date_hour,
             dim_user_history,
             dim_user,
+            dim_song_from_none,
             dim_session,
             scd2_session_merge,
             dim_artist_increment,
             fact_plays_day,
             fact_plays_hour,
             fact_plays_device,
+            fact_plays_of_a_day,
+            stream_refresh_facts,
+            stream_refresh_keys,
+            stream_refresh_history,
             fact_undated_plays,
             warehouse_late_history,
             warehouse_late_sessions,
@@ -457,6 +594,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
             mart_top_songs,
             mart_active_users_hour,
             mart_active_users_day,
+            mart_active_over_days,
             mart_demographics,
             star_lineitem,
             runs_orders,

@@ -8,11 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# What the masked dates depend on besides the identity, unless a job gives another.
+MASK_SEED = "listenlake"
+
+
 def masked_date(
     identity: Column,
     start: date = date(2021, 1, 1),
     end: date = date(2021, 12, 31),
-    seed: str = "listenlake",
+    seed: str = MASK_SEED,
 ) -> Column:
     """A date in ``start..end`` (both included) that depends only on ``seed`` and ``identity``.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
@@ -27,49 +28,61 @@ def as_first_version(frame: DataFrame, effective: date) -> DataFrame:
     )
 
 
-def append_members(existing: DataFrame, incoming: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
-    """Existing rows as they are, plus the incoming ones with an unknown natural key.
+def new_members(existing: DataFrame, incoming: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
+    """The incoming rows with an unknown natural key, numbered after the highest key in use.
 
-    Keys are compared NULL-safe. New surrogate keys continue after the highest
-    one in use. Appending the same members twice changes nothing.
+    Keys are compared NULL-safe. Only the columns of ``existing`` that are needed are read.
     """
     known = existing.select(*[F.col(c).alias(f"_known_{c}") for c in natural])
     same_member = _all_equal((F.col(c), F.col(f"_known_{c}")) for c in natural)
     new = incoming.join(known, same_member, "left_anti")
-    added = dense_keys(new, natural, key, start=highest_key(existing, key))
-    return existing.unionByName(added.select(*existing.columns))
+    return dense_keys(new, natural, key, start=highest_key(existing, key)).select(*existing.columns)
 
 
-def merge_versions(
-    existing: DataFrame,
+def append_members(existing: DataFrame, incoming: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
+    """Existing rows as they are, plus ``new_members``. Appending the same members twice changes nothing."""
+    return existing.unionByName(new_members(existing, incoming, natural, key))
+
+
+@dataclass(frozen=True)
+class VersionChanges:
+    """What a type-2 merge does to a table: rows that stay, versions that it closes, and versions that it adds.
+
+    ``replaced`` are the active rows that ``closed`` stands for, as they were.
+    """
+
+    kept: DataFrame
+    replaced: DataFrame
+    closed: DataFrame
+    added: DataFrame
+
+
+def version_changes(
+    active: DataFrame,
     incoming: DataFrame,
     natural: Sequence[str],
     tracked: Sequence[str],
     key: str,
     key_order: Sequence[str],
     effective: date,
-) -> DataFrame:
-    """Type-2 merge of ``incoming`` (one row per natural key) into ``existing``.
+    last_key: int,
+) -> VersionChanges:
+    """Type-2 changes that ``incoming`` (one row per natural key) makes to the ``active`` versions.
 
-    * versions closed earlier, unchanged members and members that are not in
-      ``incoming`` stay as they are;
+    * unchanged members and members that are not in ``incoming`` stay as they are;
     * a member whose ``tracked`` columns changed (NULL-safe) is closed on
       ``effective`` and gets a new active version;
     * an unknown member gets a first version.
 
-    New versions get new surrogate keys, in ``key_order``, after the highest one
-    in use. Merging the same input again changes nothing. Two incoming rows of one
-    natural key, or a change dated before the version it would close, raise.
+    New versions get new surrogate keys, in ``key_order``, after ``last_key``. Two incoming rows
+    of one natural key, or a change dated before the version it would close, raise.
     """
-    columns = existing.columns
-    active = existing.filter("is_active")
-    closed = existing.filter("NOT is_active")
-
+    columns = active.columns
     old = active.select(F.struct(*columns).alias("old"))
     new = incoming.select(F.struct(*natural, *tracked).alias("new"))
     same_member = _all_equal((F.col(f"old.{c}"), F.col(f"new.{c}")) for c in natural)
     unchanged = _all_equal((F.col(f"old.{c}"), F.col(f"new.{c}")) for c in tracked)
-    # One full join decides the fate of every row; both outcomes read it back.
+    # One full join decides the fate of every row; all outcomes read it back.
     fates = materialise(
         old.join(new, same_member, "full_outer").select(
             "old", "new", (F.col("old").isNotNull() & (F.col("new").isNull() | unchanged)).alias("keep")
@@ -82,11 +95,34 @@ def merge_versions(
     if not fates.filter(~F.col("keep") & (F.col("old.start_date") > F.lit(effective))).isEmpty():
         raise ValueError(f"versions that start after {effective} would be closed by it")
 
-    kept = fates.filter(F.col("old").isNotNull()).select(
-        *[F.col(f"old.{c}").alias(c) for c in columns if c not in ("end_date", "is_active")],
-        F.when(F.col("keep"), F.col("old.end_date")).otherwise(F.lit(effective)).alias("end_date"),
-        F.col("keep").alias("is_active"),
-    )
+    replaced = fates.filter(~F.col("keep") & F.col("old").isNotNull()).select("old.*")
+    closed = replaced.withColumns({"end_date": F.lit(effective), "is_active": F.lit(False)})
     versions = as_first_version(fates.filter("NOT keep").select("new.*"), effective)
-    added = dense_keys(versions, key_order, key, start=highest_key(existing, key))
-    return closed.unionByName(kept.select(*columns)).unionByName(added.select(*columns))
+    added = dense_keys(versions, key_order, key, start=last_key)
+    return VersionChanges(
+        kept=fates.filter("keep").select("old.*"),
+        replaced=replaced,
+        closed=closed.select(*columns),
+        added=added.select(*[c for c in columns if c in added.columns]),
+    )
+
+
+def merge_versions(
+    existing: DataFrame,
+    incoming: DataFrame,
+    natural: Sequence[str],
+    tracked: Sequence[str],
+    key: str,
+    key_order: Sequence[str],
+    effective: date,
+) -> DataFrame:
+    """The whole table after ``version_changes`` to its active versions; versions closed earlier stay as they are.
+
+    Merging the same input again changes nothing.
+    """
+    changes = version_changes(
+        existing.filter("is_active"), incoming, natural, tracked, key, key_order, effective, highest_key(existing, key)
+    )
+    return (
+        existing.filter("NOT is_active").unionByName(changes.kept).unionByName(changes.closed).unionByName(changes.added)
+    )

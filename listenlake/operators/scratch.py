@@ -12,10 +12,17 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_on_clear: list[Callable[[], None]] = []
+
+
+def on_clear(action: Callable[[], None]) -> None:
+    """Have ``action`` called when the scratch folder is cleared, to forget what pointed there."""
+    _on_clear.append(action)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -51,3 +58,5 @@ def clear_scratch(spark: SparkSession) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs
     folder = hadoop.Path(scratch_root(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for action in _on_clear:
+        action()

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listenlake.functions.times import utc_second
@@ -149,9 +149,29 @@ def key_uniqueness(tables: Mapping[str, tuple[DataFrame, list[str]]]) -> DataFra
     return reduce(DataFrame.unionByName, [count(name, *table) for name, table in tables.items()])
 
 
-def require_unique(frame: DataFrame, key: list[str]) -> DataFrame:
+def require_unique(frame: DataFrame, key: list[str], name: str = "") -> DataFrame:
     """Return ``frame``, or raise when two rows share a key (one aggregation, no rows collected)."""
     twice = frame.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
     if not twice.isEmpty():
-        raise ValueError(f"rows are not unique in {', '.join(key)}")
+        raise ValueError(f"rows{f' of {name}' if name else ''} are not unique in {', '.join(key)}")
     return frame
+
+
+def totals(measures: Sequence[str]) -> list[Column]:
+    """Row count and exact sums of some columns: what two frames must agree in to hold the same facts."""
+    return [F.count(F.lit(1)).alias("n"), *[F.sum(F.col(m).cast(EXACT)).alias(f"sum_{m}") for m in measures]]
+
+
+def require_equal(
+    seen: Mapping[str, object], made: Mapping[str, object], plays: DataFrame, facts: DataFrame, measures: Sequence[str]
+) -> None:
+    """Raise unless the totals of ``plays`` and ``facts`` agree.
+
+    ``seen`` and ``made`` are those that a write observed on its way. A task that was tried again
+    may count twice there, so if they differ, both frames are counted anew before the verdict.
+    """
+    if dict(seen) == dict(made):
+        return
+    before, after = (frame.agg(*totals(measures)).first().asDict() for frame in (plays, facts))
+    if before != after:
+        raise ValueError(f"facts differ from plays: {after} instead of {before}")

@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from listenlake.functions.agents import device_columns
 from listenlake.functions.nulls import all_known
 from listenlake.functions.times import utc_second
-from listenlake.operators.ordering import dense_keys
-from listenlake.operators.scd2 import append_members, as_first_version, merge_versions
+from listenlake.operators.ordering import dense_keys, highest_key
+from listenlake.operators.scd2 import (
+    VersionChanges,
+    append_members,
+    as_first_version,
+    merge_versions,
+    version_changes,
+)
 from listenlake.schemas import require_columns
 
 SONG_KEY = ["song_name", "song_duration"]
@@ -73,11 +79,15 @@ def city_dimension(plays: DataFrame, existing: DataFrame | None = None) -> DataF
     return _first_or_grown(city_members(plays), existing, CITY_KEY, "city_id")
 
 
-def device_dimension(plays: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """One row per agent text, a missing one included; parsed after the distinct."""
+def device_members(plays: DataFrame) -> DataFrame:
+    """Agent texts, a missing one included; parsed after the distinct."""
     agents = plays.select("userAgent").distinct()
-    parsed = agents.withColumns(device_columns(F.col("userAgent")))
-    return _first_or_grown(parsed, existing, ["userAgent"], "device_id").select(
+    return agents.withColumns(device_columns(F.col("userAgent")))
+
+
+def device_dimension(plays: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """One row per agent text."""
+    return _first_or_grown(device_members(plays), existing, ["userAgent"], "device_id").select(
         "device_id", "userAgent", "device_type", "operating_system", "browser"
     )
 
@@ -119,6 +129,21 @@ def session_dimension(plays: DataFrame, effective: date, existing: DataFrame | N
     )
 
 
+def session_changes(plays: DataFrame, effective: date, existing: DataFrame) -> VersionChanges:
+    """What the same merge changes; closed versions are not read, but for their highest key."""
+    active = existing.filter("is_active").drop("year", "month")
+    return version_changes(
+        active,
+        _widened(session_bounds(plays), active),
+        ["sessionId"],
+        ["StartTime", "EndTime"],
+        "session_id",
+        SESSION_ORDER,
+        effective,
+        highest_key(existing, "session_id"),
+    )
+
+
 def with_start_month(sessions: DataFrame) -> DataFrame:
     """Add the ``year`` and ``month`` of the start, to partition the stored table by."""
     return sessions.withColumns({"year": F.year("StartTime"), "month": F.month("StartTime")})

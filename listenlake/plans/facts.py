@@ -11,6 +11,12 @@ from listenlake.functions.times import utc_date, utc_hour
 from listenlake.operators.lookup import attach_key
 
 
+# What facts need of a play.
+PLAY_COLUMNS = [
+    "artist", "song", "duration", "ts", "sessionId", "level", "city", "zip", "state", "userAgent", "lon", "lat", "userId"
+]
+
+
 @dataclass(frozen=True)
 class Star:
     """The dimensions a fact table points to."""

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     BooleanType,
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -69,6 +70,24 @@ TOPIC_SCHEMAS: dict[str, StructType] = {
 }
 
 
+# Columns that lake tables have besides those of their topic.
+QUALITY, REASON, RAW = "quality", "bad_reason", "raw_value"
+
+
+def lake_schema(topic_schema: StructType) -> StructType:
+    """Columns of a stored lake table, partition columns last."""
+    return StructType(
+        [
+            *topic_schema.fields,
+            StructField(REASON, StringType()),
+            StructField(RAW, StringType()),
+            StructField("registration_date", DateType()),
+            StructField(QUALITY, StringType()),
+            StructField("event_date", DateType()),
+        ]
+    )
+
+
 def known_topics(topics: Iterable[str]) -> tuple[list[str], list[str]]:
     """Split requested topics into those with a schema and those without."""
     wanted = list(dict.fromkeys(topics))

@@ -15,19 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
-from listenlake.functions.masking import masked_date
-from listenlake.functions.times import EARLIEST_MS, LATEST_MS, utc_date
-from listenlake.schemas import TOPIC_SCHEMAS
+from listenlake.functions.masking import MASK_SEED, masked_date
+from listenlake.functions.times import DAY_MS, EARLIEST_MS, LATEST_MS, utc_date
+from listenlake.schemas import QUALITY, RAW, REASON, TOPIC_SCHEMAS
+from listenlake.streaming.compact import read_lake_rows
+from listenlake.streaming.supervise import supervise
 
-QUALITY = "quality"
 GOOD, BAD = "good", "bad"
-REASON = "bad_reason"
-RAW = "raw_value"
 
 # Quotes inside a text are doubled; a NULL is written as \N, so that an empty text stays one.
 CSV_OPTIONS = {"header": "true", "escape": '"', "nullValue": "\\N"}
 
 _CORRUPT = "_corrupt"
+_TIME, _MESSAGE = "_time", "_message"
 
 
 def topic_rows(messages: DataFrame, topic: str) -> DataFrame:
@@ -84,24 +84,41 @@ def bad_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(QUALITY) == BAD).select(RAW, REASON)
 
 
-def enrich(rows: DataFrame, registration: Column | None = None) -> DataFrame:
-    """Add ``registration_date`` (a masked date per user) and ``event_date`` (UTC date of ``ts``)."""
-    mask = masked_date(F.col("userId")) if registration is None else registration
-    return rows.withColumns({"registration_date": mask, "event_date": utc_date(F.col("ts"))})
+def enrich(rows: DataFrame, seed: str = MASK_SEED) -> DataFrame:
+    """Add ``registration_date`` (a masked date per user) and ``event_date`` (UTC date of ``ts``).
 
+    ``registration`` is overwritten by the start of the masked date, so that the true time of
+    registration is nowhere in what is stored; a missing one stays missing. Who knows the
+    ``seed`` can tell the masked dates of an id, so jobs give one of their own.
+    """
+    mask = masked_date(F.col("userId"), seed=seed)
+    added = {"registration_date": mask, "event_date": utc_date(F.col("ts"))}
+    if "registration" in rows.columns:
+        masked_ms = F.datediff(mask, F.lit("1970-01-01").cast("date")).cast("bigint") * DAY_MS
+        added["registration"] = F.when(F.col("registration").isNotNull(), masked_ms)
+    return rows.withColumns(added)
 
-def lake_schema(topic_schema: StructType) -> StructType:
-    """Columns of a stored lake table, partition columns last."""
-    return StructType(
-        [
-            *topic_schema.fields,
-            StructField(REASON, StringType()),
-            StructField(RAW, StringType()),
-            StructField("registration_date", DateType()),
-            StructField(QUALITY, StringType()),
-            StructField("event_date", DateType()),
-        ]
-    )
+
+def enriched_schema(topic: str) -> StructType:
+    """The columns of a topic's good rows after ``enrich``."""
+    added = [StructField("registration_date", DateType()), StructField("event_date", DateType())]
+    return StructType([*TOPIC_SCHEMAS[topic].fields, *added])
+
+
+def without_repeats(parsed: DataFrame, topic_schema: StructType, within: str) -> DataFrame:
+    """``parsed`` without good messages that repeat an earlier one, however often and in whatever batch.
+
+    Messages are equal if all their fields are. A stream remembers a message for ``within`` after
+    its time; one that comes later than that behind the newest message is left out too, as it
+    can no longer be told from a repeated one, and counted in the query's progress as dropped
+    by the watermark. Bad messages and those without a time all stay. The topic is read twice a
+    batch, as repeats are looked for in one part only.
+    """
+    timed = (F.col(QUALITY) == GOOD) & F.col("ts").isNotNull()
+    message = F.sha2(F.to_json(F.struct(*topic_schema.names)), 256)
+    keyed = parsed.filter(timed).withColumns({_TIME: F.timestamp_millis("ts"), _MESSAGE: message})
+    first = keyed.withWatermark(_TIME, within).dropDuplicatesWithinWatermark([_MESSAGE]).drop(_TIME, _MESSAGE)
+    return first.unionByName(parsed.filter(~timed))
 
 
 def append_stream(
@@ -134,11 +151,15 @@ def ingest_topic(
     checkpoints: str,
     interval: str | None = "2 minutes",
     strict: bool = False,
+    seed: str = MASK_SEED,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
-    """Start the pipeline of one topic: parse, enrich, append to ``lake/topic``."""
-    rows = enrich(parse_topic(messages, topic, TOPIC_SCHEMAS[topic], strict))
+    """Start the pipeline of one topic: parse, leave out repeats if asked to, enrich, append to ``lake/topic``."""
+    parsed = parse_topic(messages, topic, TOPIC_SCHEMAS[topic], strict)
+    if repeats_within:
+        parsed = without_repeats(parsed, TOPIC_SCHEMAS[topic], repeats_within)
     return append_stream(
-        rows, f"{lake}/{topic}", f"{checkpoints}/{topic}", interval, partition_by=(QUALITY, "event_date")
+        enrich(parsed, seed), f"{lake}/{topic}", f"{checkpoints}/{topic}", interval, partition_by=(QUALITY, "event_date")
     )
 
 
@@ -182,24 +203,17 @@ def run_topics(
 
 
 def wait_for(queries: list[StreamingQuery]) -> None:
-    """Wait until all queries have ended; the first failure is raised, and the others are stopped."""
-    running = list(queries)
-    try:
-        while running:
-            running = [query for query in running if not query.awaitTermination(1)]
-    except Exception:
-        for query in queries:
-            query.stop()
-        raise
+    """Wait until all queries have ended; the first failure stops the others at once and is raised."""
+    supervise(SparkSession.active(), queries)
 
 
 def read_lake(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    """Good rows of a lake table; filters on ``event_date`` prune its folders."""
-    return good_rows(spark.read.schema(lake_schema(TOPIC_SCHEMAS[topic])).parquet(path))
+    """Good rows of a lake table, compacted dates from their large files; filters on ``event_date`` prune its folders."""
+    return good_rows(read_lake_rows(spark, path, topic))
 
 
 def read_quarantine(spark: SparkSession, path: str, topic: str) -> DataFrame:
-    return bad_rows(spark.read.schema(lake_schema(TOPIC_SCHEMAS[topic])).parquet(path))
+    return bad_rows(read_lake_rows(spark, path, topic))
 
 
 def read_archive(spark: SparkSession, path: str, topic: str) -> DataFrame:

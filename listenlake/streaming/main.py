@@ -12,10 +12,12 @@ from __future__ import annotations
 import argparse
 import logging
 
+from listenlake.functions.masking import MASK_SEED
 from listenlake.schemas import TOPIC_SCHEMAS, known_topics
 from listenlake.session import build_session
 from listenlake.sources.kafka import stream_topics
-from listenlake.streaming.ingest import archive_topic, ingest_topic, run_topics, wait_for
+from listenlake.streaming.ingest import archive_topic, ingest_topic, run_topics
+from listenlake.streaming.supervise import StreamWatch, supervise
 
 log = logging.getLogger("listenlake.ingest")
 
@@ -30,6 +32,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--format", choices=("parquet", "csv"), default="parquet")
     parser.add_argument("--strict", action="store_true", help="set rows with a wrong-typed field aside")
     parser.add_argument("--max-offsets-per-trigger", type=int, help="most messages of a topic in one batch")
+    parser.add_argument("--mask-seed", default=MASK_SEED, help="what masked registrations depend on besides the user")
+    parser.add_argument("--repeats-within", help='leave out messages repeated within such a time, like "1 hour"')
     parser.add_argument("--allow-data-loss", action="store_true", help="go on when messages expired unread")
     return parser.parse_args(argv)
 
@@ -60,11 +64,13 @@ def main(argv: list[str] | None = None) -> None:
     def start(messages, topic):
         if args.format == "csv":
             return archive_topic(messages, topic, args.lake, args.checkpoints, args.interval or None)
-        return ingest_topic(messages, topic, args.lake, args.checkpoints, args.interval or None, args.strict)
+        return ingest_topic(
+            messages, topic, args.lake, args.checkpoints, args.interval or None, args.strict, args.mask_seed, args.repeats_within
+        )
 
     overrides = source_overrides(args)
     queries = run_topics(topics, lambda topic: stream_topics(spark, args.brokers, [topic], **overrides), start)
-    wait_for(queries)
+    supervise(spark, queries, StreamWatch())
 
 
 if __name__ == "__main__":

@@ -29,7 +29,8 @@ visits AS (
     e.event_type <> 'error' AS success,
     CAST(e.ts AS DATE) AS event_date,
     date '2021-01-01' + CAST(('0x' || substr(md5('listenlake:' || e.user_id), 1, 8))::BIGINT % 365 AS INTEGER)
-      AS registration_date
+      AS registration_date,
+    CAST(datediff('day', date '1970-01-01', registration_date) AS BIGINT) * 86400000 AS masked_registration
   FROM events e
   LEFT JOIN part p ON p_partkey = CAST(e.props->>'k' AS INTEGER)
   LEFT JOIN customer c ON c_custkey = e.user_id
@@ -232,7 +233,7 @@ _UNIQUE = {
     "dim_device": ("device", "userAgent"),
     "dim_date": ("days", "DateSK"),
     "dim_date_hour": ("hours", "DateSK"),
-    "dim_user": ("user_dim", "userKey"),
+    "dim_user": ("user_dim", "userId"),
     "dim_session": ("session", "sessionId"),
 }
 
@@ -357,6 +358,12 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{measure}' AS measure, count(*) AS distinct_rows FROM (SELECT DISTINCT {columns} FROM listen)"
         for measure, columns in _PROFILE.items()
     )
+    lacking = " UNION ALL ".join(
+        f"SELECT '{topic}' AS topic, '{column}' AS column_name, count(*) FILTER ({column} IS NULL) AS null_rows FROM listen"
+        for topic in ("auth_events", "listen_events", "page_view_events", "status_change_events")
+        for column in ("ts", "sessionId", "userId", "level")
+    )
+    unique_keys = " UNION ALL ".join(_unique(name, *table) for name, table in _UNIQUE.items())
     day_star = [*_DIMENSIONS, DAYS, FACT_DAY]
     hour_star = [*_DIMENSIONS, HOURS, FACT_HOUR]
     return {
@@ -386,11 +393,13 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT event_id % 50 = 0 AS undated, count(*) AS fact_rows, {_EXACT} AS total_duration
                 FROM listen GROUP BY 1""",
         ),
-        "ingest_stream_append": _topic(f"{_LISTEN_COLUMNS}, registration_date, event_date"),
+        "ingest_stream_append": _topic(
+            f"{_LISTEN_COLUMNS}, registration_date, event_date".replace("registration,", "masked_registration AS registration,")
+        ),
         "ingest_stream_topics": _over([], arrived),
         "archive_csv": _topic(_PAGE_COLUMNS),
         "ingest_event_date": "SELECT event_id, CAST(ts AS DATE) AS event_date, CAST(hour(ts) AS INTEGER) AS event_hour FROM events",
-        "ingest_masked_registration": _topic("event_id, userId, registration, registration_date"),
+        "ingest_masked_registration": _topic("event_id, userId, masked_registration AS registration, registration_date"),
         "dim_song": _over([SONG], "SELECT * FROM song"),
         "dim_artist": _over([ARTIST], "SELECT * FROM artist"),
         "dim_city": _over([CITY], "SELECT * FROM city"),
@@ -434,7 +443,37 @@ def oracle_sql() -> dict[str, str]:
         "check_date_range": _over([], "SELECT min(event_date) AS first_date, max(event_date) AS last_date FROM listen"),
         "check_unique_keys": _over(
             [*_DIMENSIONS, DAYS, HOURS],
-            " UNION ALL ".join(_unique(name, *table) for name, table in _UNIQUE.items()),
+            unique_keys,
+        ),
+        "stream_refresh_keys": _over([*_DIMENSIONS, DAYS, HOURS], unique_keys),
+        "stream_refresh_history": _over([USER_HISTORY], "SELECT * FROM user_history"),
+        "stream_refresh_facts": _over(
+            [],
+            """SELECT ts, CAST(strftime(second, '%Y%m%d%H') AS BIGINT) AS datetime_id, userId AS user_id_fk, level, duration,
+                 song AS song_name, CASE WHEN song IS NOT NULL THEN duration END AS song_duration, artist AS artist_name,
+                 city AS city_name, zip AS zip_code, sessionId FROM listen""",
+        ),
+        "fact_plays_of_a_day": _over(
+            hour_star, "SELECT * EXCLUDE (device_id) FROM fact_hour WHERE datetime_id // 100 = 20240116"
+        ),
+        "dim_song_from_none": _over([SONG], "SELECT * FROM song"),
+        "check_required_columns": _over([], lacking),
+        "ingest_deduplicated": _over(
+            [],
+            """SELECT event_date, count(*) AS event_rows, CAST(sum(ts) AS BIGINT) AS sum_ts,
+                 CAST(sum(userId) AS BIGINT) AS sum_user_id FROM listen GROUP BY event_date""",
+        ),
+        "lake_compacted": _over(
+            [],
+            """SELECT event_date, event_date < (SELECT max(event_date) FROM listen) AS compacted, count(*) AS event_rows,
+                 CAST(sum(ts) AS BIGINT) AS sum_ts FROM listen GROUP BY event_date""",
+        ),
+        "mart_active_over_days": _over(
+            [],
+            """SELECT last_date, count(*) AS plays, count(DISTINCT userId) AS users, count(DISTINCT (song, duration)) AS songs,
+                 true AS users_near, true AS songs_near
+               FROM (SELECT *, event_date + CAST(unnest(range(7)) AS INTEGER) AS last_date FROM listen)
+               WHERE last_date <= (SELECT max(event_date) FROM listen) GROUP BY last_date""",
         ),
         "duration_by_user": _over([], f"SELECT userId, {_EXACT} AS total_duration FROM listen GROUP BY userId"),
         "duration_by_city": _over(

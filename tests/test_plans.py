@@ -8,7 +8,7 @@ from listenlake.plans import calendars, checks, dimensions, facts, marts, users
 from listenlake.plans.main import main
 from listenlake.plans.warehouse import Warehouse
 from listenlake.schemas import LISTEN_EVENTS
-from listenlake.sources.tables import replace_partitions, versions
+from listenlake.sources.tables import read_version, replace_partitions, versions
 from listenlake.streaming.ingest import enrich
 
 HOUR = 3_600_000
@@ -304,7 +304,7 @@ def test_loads_by_date_equal_one_load(spark, tmp_path, loads):
     assert store.table("dim_date_hour").count() == 72
     assert rows(store.table("dim_song").drop("song_id")) == rows(dimensions.song_members(lake))
     assert rows(store.table("dim_city").drop("city_id")) == rows(dimensions.city_members(lake))
-    facts_read = spark.read.parquet(str(tmp_path / "w" / "fact_by_hour"))
+    facts_read = store.facts(by_hour=True)
     assert facts_read.count() == 9 and facts_read.filter("song_id IS NULL OR city_id IS NULL").isEmpty()
     plan = dimensions.session_bounds(store.loaded)._jdf.queryExecution().executedPlan().toString()
     assert "event_date" in plan.split("PartitionFilters: ")[1][:60]
@@ -344,6 +344,6 @@ def test_batch_job_from_lake_to_facts(spark, plays, tmp_path):
     main([*command, "--last", "2024-01-01"])
     main([*command, "--last", "2024-01-02", "--grain", "both"])
     main([*command, "--last", "2024-01-02", "--grain", "both"])
-    facts_read = spark.read.parquet(str(tmp_path / "w" / "fact_by_hour"))
+    facts_read = read_version(spark, str(tmp_path / "w" / "fact_by_hour"))
     assert rows(facts_read.groupBy("event_date").count()) == [(date(2024, 1, 1), 5), (date(2024, 1, 2), 1)]
-    assert spark.read.parquet(str(tmp_path / "w" / "fact_by_day")).count() == 6
+    assert read_version(spark, str(tmp_path / "w" / "fact_by_day")).count() == 6
