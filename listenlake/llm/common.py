@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,9 +39,9 @@ def _ship_package(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parent.parent
-        archive = shutil.make_archive(
-            str(Path(tempfile.mkdtemp(prefix="listenlake-")) / package.name), "zip", package.parent, package.name
-        )
+        folder = tempfile.mkdtemp(prefix="listenlake-")  # of the driver, which serves the archive from it
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = shutil.make_archive(str(Path(folder) / package.name), "zip", package.parent, package.name)
         context.addPyFile(archive)
         _shipped.add(context.applicationId)
 
@@ -49,16 +54,45 @@ def _bound_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+def _give_back_memory() -> None:
+    """Return what a task has freed to the system: its Python worker lives on, beside the heap of the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # only glibc has it
+
+
+def _then_tidy(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    @wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            _give_back_memory()
+
+    return run
+
+
 def map_pandas(frame: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     _ship_package(frame.sparkSession)
     _bound_batches(frame.sparkSession)
-    return frame.mapInPandas(function, schema)
+    return frame.mapInPandas(_then_tidy(function), schema)
 
 
 def map_arrow(frame: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     _ship_package(frame.sparkSession)
     _bound_batches(frame.sparkSession)
-    return frame.mapInArrow(function, schema)
+    return frame.mapInArrow(_then_tidy(function), schema)
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``frame`` has it."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def with_fields(frame: DataFrame, ddl: str) -> StructType:
@@ -76,6 +110,14 @@ def stored(frame: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Da
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a ``stored`` frame that nothing reads any more."""
+    hadoop = frame.sparkSession._jvm.org.apache.hadoop.fs
+    for folder in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+        path = hadoop.Path(folder)
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A frame of rows the driver holds; the caller states what bounds their number."""
     return F.broadcast(spark.createDataFrame(rows, schema))

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import chain
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listenlake.llm.common import map_arrow, with_fields
+from listenlake.llm.common import free_name, map_arrow, with_fields
 
 # Labelled documents that the model is fitted on, about so many of each language: the ones
 # with the least hash of the id, whatever the size of the corpus.
@@ -20,13 +19,15 @@ SAMPLE_PER_LANGUAGE = 300
 EM_ROUNDS = 3
 # Share of each piece's probability that comes from all languages together.
 POOLED = 0.02
-# Longer stretches without blanks are scored in stretches of so many characters.
-STRETCH = 32
+# Stretches without blanks are fitted in stretches of so many characters, and scored in those of the second length:
+# no piece spans a cut, and words are not that long.
+FIT_STRETCH, STRETCH = 32, 256
 # Probability of a character that no piece of the vocabulary spells.
 UNKNOWN = 1e-7
-# Forward sums are multiplied by this for each character, so that 32 characters stay in range.
+# Forward sums are multiplied by this for each character, so that a fitted stretch stays in range; in
+# longer ones they are scaled anew after so many characters.
 SCALE = 8.0
-LONGEST_PIECE = 8
+RESCALED = 16
 WORD_START = "▁"
 UNDETERMINED = "und"
 # Words whose scores a Python worker remembers; it then starts anew.
@@ -63,6 +64,7 @@ class PieceTable:
     BITS = 17
 
     def __init__(self, pieces: list[str]) -> None:
+        self.longest = max(map(len, pieces), default=1)
         entries = {piece[:i]: 0 for piece in pieces for i in range(1, len(piece))}
         entries.update((piece, row) for row, piece in enumerate(pieces, 1))
         hashes = np.zeros(len(entries), dtype=np.uint64)
@@ -98,15 +100,24 @@ def _forward(sums, lengths, table, probability, keep=False):
     """Scaled sums over all segmentations of every beginning of every word, by language; kept: the spans used.
 
     Words must be in order of length. From each place the sum so far is handed on along every
-    piece that starts there, or along one unknown character if that is no piece.
+    piece that starts there, or along one unknown character if that is no piece. Unless spans are
+    kept, sums are divided by their largest every ``RESCALED`` characters; the third result has
+    the logarithms of what a word's sums were divided by.
     """
     n, width = sums.shape[1], len(sums) - 1
     alpha = np.zeros((width + 1, n, probability.shape[1]))
     alpha[0] = 1.0
     kept = []
+    divided = np.zeros(n)
     for start in range(width):
         on = np.arange(np.searchsorted(lengths, start, side="right"), n)
-        for size in range(1, min(LONGEST_PIECE, width - start) + 1):
+        if not keep and start and start % RESCALED == 0:
+            ahead = alpha[start : start + table.longest, on]
+            largest = ahead.max(axis=(0, 2))
+            largest[largest == 0] = 1.0
+            alpha[start : start + table.longest, on] = ahead / largest[:, None]
+            divided[on] += np.log(largest)
+        for size in range(1, min(table.longest, width - start) + 1):
             on = on[lengths[on] >= start + size] if size > 1 else on
             rows = table.rows((sums[start + size, on] - sums[start, on]) * _INVERSE[start])
             hit = np.flatnonzero(rows > 0)
@@ -120,7 +131,7 @@ def _forward(sums, lengths, table, probability, keep=False):
             on = on[rows >= 0]
             if not len(on):
                 break
-    return alpha, kept
+    return alpha, kept, divided
 
 
 def _by_width(words: list[str], cells: int = 200_000) -> Iterator[tuple[np.ndarray, list[str], int]]:
@@ -142,16 +153,16 @@ class LanguageModel:
     languages: list[str]
     table: PieceTable
     probability: np.ndarray  # piece row x language; row 0 is of no piece
-    name: str = field(default_factory=lambda: uuid4().hex)
+    usual: np.ndarray  # log of the probability of a character, on average over what was learned of each language
 
     def stretch_scores(self, words: list[str]) -> np.ndarray:
         """Natural log of the probability in each language of each stretch, over all its segmentations."""
         out = np.zeros((len(words), len(self.languages)))
         for group, part, width in _by_width(words):
             sums, lengths = _prefixes(part, width)
-            alpha, _ = _forward(sums, lengths, self.table, self.probability)
+            alpha, _, divided = _forward(sums, lengths, self.table, self.probability)
             ends = alpha[lengths, np.arange(len(part))]
-            out[group] = np.log(np.maximum(ends, 1e-300)) - (lengths * np.log(SCALE))[:, None]
+            out[group] = np.log(np.maximum(ends, 1e-300)) + (divided - lengths * np.log(SCALE))[:, None]
         return out
 
     def word_scores(self, words: list[str]) -> np.ndarray:
@@ -166,10 +177,10 @@ class LanguageModel:
         return np.add.reduceat(scores, starts, axis=0)
 
 
-def stretches(word: str) -> list[str]:
-    """A word opened by the vocabulary's mark of a word's start, in stretches of at most ``STRETCH`` characters."""
+def stretches(word: str, size: int = STRETCH) -> list[str]:
+    """A word opened by the vocabulary's mark of a word's start, in stretches of at most ``size`` characters."""
     marked = WORD_START + word
-    return [marked[i : i + STRETCH] for i in range(0, len(marked), STRETCH)]
+    return [marked[i : i + size] for i in range(0, len(marked), size)]
 
 
 def fit_pieces(pieces: list[str], languages: list[str], counts: dict[str, np.ndarray], rounds: int = EM_ROUNDS):
@@ -178,7 +189,8 @@ def fit_pieces(pieces: list[str], languages: list[str], counts: dict[str, np.nda
     ``counts`` maps a stretch to its count in each language. Expected piece counts are taken
     over all segmentations (forward and backward sums), not the best one.
     """
-    pieces = [p for p in dict.fromkeys(pieces) if 0 < len(p) <= LONGEST_PIECE and p == p.lower()]
+    # Texts are read in small letters, so a piece with a capital stands nowhere in them.
+    pieces = [p for p in dict.fromkeys(pieces) if 0 < len(p) <= FIT_STRETCH and p == p.lower()]
     table, n = PieceTable(pieces), len(languages)
     probability = np.full((len(pieces) + 1, n), 1.0 / max(1, len(pieces)))
     probability[0] = 0.0
@@ -188,7 +200,7 @@ def fit_pieces(pieces: list[str], languages: list[str], counts: dict[str, np.nda
         expected = np.zeros_like(probability)
         for group, part, width in _by_width(words):
             sums, lengths = _prefixes(part, width)
-            alpha, kept = _forward(sums, lengths, table, probability, keep=True)
+            alpha, kept, _ = _forward(sums, lengths, table, probability, keep=True)
             beta = np.zeros_like(alpha)
             beta[lengths, np.arange(len(part))] = 1.0
             total = np.maximum(alpha[lengths, np.arange(len(part))], 1e-300)
@@ -204,7 +216,11 @@ def fit_pieces(pieces: list[str], languages: list[str], counts: dict[str, np.nda
         pooled[0] = 0.0
         own = expected / np.maximum(expected.sum(axis=0), 1e-9)
         probability = (1 - POOLED) * own + POOLED * pooled / pooled.sum()
-    return LanguageModel(languages, table, probability)
+    model = LanguageModel(languages, table, probability, np.zeros(n))
+    if words:
+        characters = weight.T @ np.fromiter(map(len, words), float, len(words))
+        model.usual = (weight * model.stretch_scores(words)).sum(axis=0) / np.maximum(characters, 1.0)
+    return model
 
 
 def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
@@ -227,7 +243,7 @@ def train(labelled: DataFrame, pieces: list[str], per_language: int = SAMPLE_PER
     column = {lang: i for i, lang in enumerate(languages)}
     counts: dict[str, np.ndarray] = {}
     for row in found:
-        for stretch in stretches(row.word):
+        for stretch in stretches(row.word, FIT_STRETCH):
             if stretch not in counts:
                 counts[stretch] = np.zeros(len(languages))
             counts[stretch][column[row.lang]] += row["count"]
@@ -235,7 +251,7 @@ def train(labelled: DataFrame, pieces: list[str], per_language: int = SAMPLE_PER
 
 
 class _WordScores:
-    """Scores of the words a worker has met; many texts are scored at a time."""
+    """Scores of the words a task has met; many texts are scored at a time."""
 
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
@@ -262,17 +278,6 @@ class _WordScores:
         return totals
 
 
-# By a name that is new for each model: tasks of one worker share what it has learned.
-_worker_scores: dict[str, _WordScores] = {}
-
-
-def _known_words(model: LanguageModel) -> _WordScores:
-    if model.name not in _worker_scores:
-        _worker_scores.clear()
-        _worker_scores[model.name] = _WordScores(model)
-    return _worker_scores[model.name]
-
-
 def _in_chunks(texts: pa.Array, flags: list[bool], words_at_once: int = 200_000) -> Iterator[list[list[str]]]:
     """The words of each text in turn, some texts at a time; none for texts without a letter."""
     chunk: list[list[str]] = []
@@ -289,17 +294,20 @@ def _in_chunks(texts: pa.Array, flags: list[bool], words_at_once: int = 200_000)
 
 def _predict(model: LanguageModel, text_index: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _known_words(model)
+        known = _WordScores(model)  # as long as the task lasts
         for batch in batches:
-            langs, certain = [], []
+            langs, certain, fits = [], [], []
             flags = batch.column(batch.num_columns - 1).to_pylist()
             for chunk in _in_chunks(batch.column(text_index), [bool(f and model.languages) for f in flags]):
                 for words, total in zip(chunk, known.totals(chunk), strict=True):
                     best = int(total.argmax()) if words else 0
                     langs.append(model.languages[best] if words else UNDETERMINED)
                     certain.append(float(1.0 / np.exp(total - total[best]).sum()) if words else 0.0)
-            columns = [*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(certain, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "lang_score"])
+                    characters = sum(map(len, words)) + len(words)
+                    fits.append(float(total[best] / characters - model.usual[best]) if words else None)
+            found = [pa.array(langs, pa.string()), pa.array(certain, pa.float64()), pa.array(fits, pa.float64())]
+            names = [*batch.schema.names[:-1], "lang_pred", "lang_score", "lang_fit"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=names)
 
     return score
 
@@ -309,17 +317,20 @@ def has_letter(text: Column) -> Column:
 
 
 def with_language(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score`` after its own columns.
+    """``docs`` with ``lang_pred``, ``lang_score`` and ``lang_fit`` after its own columns.
 
     A text's probability in a language is that of its words, each summed over all ways to cut it
     into pieces. The language with the highest one is predicted, with its share of the sum over
-    all languages as score; ties go to the first in name order. Null text and text without a
-    letter give ``und`` with score 0, as does a model without languages. Whole texts are read,
+    all languages as score; ties go to the first in name order. The score only compares languages
+    that were learned; ``lang_fit`` tells whether it is any of them: by how much the logarithm of
+    a character's probability exceeds what is usual in that language (0: as usual, -2 and less:
+    characters or words that the language hardly has). Null text and text without a
+    letter give ``und`` with score 0 and no fit, as does a model without languages. Whole texts are read,
     one row at a time, so that any number of rows and copies is fine. Columns named like the
-    two new ones must be dropped before.
+    new ones must be dropped before.
     """
-    rows = docs.withColumn("_has_letter", has_letter(F.col(text_column)))
-    schema = with_fields(docs, "lang_pred string, lang_score double")
+    rows = docs.withColumn(free_name(docs, "has_letter"), has_letter(F.col(text_column)))
+    schema = with_fields(docs, "lang_pred string, lang_score double, lang_fit double")
     return map_arrow(rows, _predict(model, docs.columns.index(text_column)), schema)
 
 
