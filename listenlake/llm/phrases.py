@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listenlake.llm.common import map_arrow, stored
+from listenlake.llm.bloom import Filters, filters_of, mix
+from listenlake.llm.common import discard, map_arrow, stored
 
-SHARDS = 4
+SHARDS = 2
 LONGEST = 3
 LEAST = 10
 TOP = 2000
@@ -28,21 +29,16 @@ _BYTES = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + ENDS, b"abcdefghijklmnopqrstuvwxyz " + bytes([_END]) * len(ENDS)
 )
 
-# The filters of reached phrases have at most so many 64-bit words each (8 MB); beyond some eight
-# million phrases they let more through, which the exact join after the scan sorts out.
-LEAST_SLOTS, MOST_SLOTS = 1 << 12, 1 << 20
-SLOTS_PER_PHRASE = 0.25
-PROBES = 3
-# Words of one language that a scan counts together.
-WORDS_AT_ONCE = 2_000_000
+# Words that a scan counts together, and a task of it has at least if there are so many.
+WORDS_AT_ONCE = 3_000_000
 # Words a task of the first pass remembers to have sent.
 REMEMBERED_WORDS = 300_000
 DICTIONARY = -1
 
 
-def _words(blob: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """Words of a text: row of each in the list of different words, that list, and the number of its piece."""
-    letters = np.frombuffer(blob.translate(_BYTES), dtype=np.uint8)
+def _words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Words of texts: row of each in the list of different words, that list, and the numbers of its piece and text."""
+    letters = np.frombuffer(b".".join(texts).translate(_BYTES), dtype=np.uint8)
     ends = letters == _END
     inside = ~(ends | (letters == _BLANK))
     starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
@@ -52,53 +48,53 @@ def _words(blob: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray]:
         pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters[inside].tobytes())]
     ).dictionary_encode()
     pieces = np.cumsum(ends)[starts] if len(starts) else starts
-    return words.indices.to_numpy(zero_copy_only=False), words.dictionary.to_pylist(), pieces
+    text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
+    return words.indices.to_numpy(zero_copy_only=False), words.dictionary.to_pylist(), pieces, text
 
 
 def _encode(seed: int):
-    """Texts (text, lang, shard) to word numbers, one row a language and shard, a 0 between pieces; and to the words."""
+    """Texts (text, lang, shard) to codes of words, one row a language and shard, 0 between pieces; and to the words.
+
+    Code 1 is the first of a row's ``numbers``, the numbers of its different words.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         for batch in batches:
-            texts = batch.column(0).cast(pa.binary())
-            groups: dict[tuple[str, int], list[int]] = {}
-            for i, key in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                groups.setdefault(key, []).append(i)
+            row, different, pieces, text = _words(batch.column(0).cast(pa.binary()).to_pylist())
+            if not len(row):
+                continue
+            numbers = [xxhash.xxh64_intdigest(word, seed) for word in different]
+            signed = np.array(numbers, dtype=np.uint64).view(np.int64)
             rows: list[tuple] = []
-            new: dict[int, bytes] = {}
-            for (lang, shard), places in groups.items():
-                row, different, pieces = _words(b".".join(texts[i].as_py() for i in places))
-                if not len(row):
-                    continue
-                numbers = [xxhash.xxh64_intdigest(word, seed) or 1 for word in different]
-                new.update((n, w) for n, w in zip(numbers, different, strict=True) if n not in sent)
-                signed = np.array(numbers, dtype=np.uint64).view(np.int64)
-                cuts = np.flatnonzero(np.diff(pieces)) + 1
-                rows.append((shard, lang, np.insert(signed[row], cuts, 0), None))
+            keys = list(zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            group, groups = pd.factorize(pd.Index(keys, tupleize_cols=False))
+            for number, (shard, lang) in enumerate(groups):
+                here = np.flatnonzero(group[text] == number)
+                codes, own = pd.factorize(row[here])
+                cuts = np.flatnonzero(np.diff(pieces[here])) + 1
+                rows.append((shard, lang, np.insert(codes + 1, cuts, 0).astype(np.int32), signed[own], None, len(here)))
+            new = {n: w for n, w in zip(numbers, different, strict=True) if n not in sent}
             if new:
                 if len(sent) > REMEMBERED_WORDS:
                     sent.clear()
                 sent.update(new)
-                rows.append((DICTIONARY, None, np.array(list(new), dtype=np.uint64).view(np.int64), list(new.values())))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows], pa.int32()),
-                        pa.array([r[1] for r in rows], pa.string()),
-                        pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                        pa.array([r[3] for r in rows], pa.list_(pa.binary())),
-                    ],
-                    names=["shard", "lang", "numbers", "words"],
-                )
+                own = np.array(list(new), dtype=np.uint64).view(np.int64)
+                rows.append((DICTIONARY, None, None, own, list(new.values()), 0))
+            kinds = [pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.int64()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
+                names=["shard", "lang", "codes", "numbers", "words", "n"],
+            )
 
     return encode
 
 
 def _encoded(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored rows (shard, lang, numbers) and the words (number, word); another seed if two words share a number."""
+    """Stored rows (shard, lang, codes, numbers, n) and the words (number, word); another seed if two words share a number."""
     for seed in range(8):
-        frame = map_arrow(texts, _encode(seed), "shard int, lang string, numbers array<bigint>, words array<binary>")
+        schema = "shard int, lang string, codes array<int>, numbers array<bigint>, words array<binary>, n long"
+        frame = map_arrow(texts, _encode(seed), schema)
         rows = stored(frame, "words", partition_by=["shard"])
         pairs = rows.filter(F.col("shard") == DICTIONARY).select(F.explode(F.arrays_zip("numbers", "words")).alias("pair"))
         words = stored(
@@ -114,146 +110,109 @@ def _encoded(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     raise RuntimeError("different words share a number under every seed")
 
 
-def _mix(state: np.ndarray, number: np.ndarray) -> np.ndarray:
-    """Hashes of phrases one word longer."""
-    mixed = (state ^ number) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(31)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return mixed ^ (mixed >> np.uint64(27))
-
-
 def _language_hash(lang: str) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(lang))
 
 
-def _places(hashes: np.ndarray, n_slots: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Slot and bit of each probe; ``n_slots`` is a power of two."""
-    for probe in range(PROBES):
-        h = _mix(hashes, np.uint64(2 * probe + 1))
-        yield ((h >> np.uint64(8)) & np.uint64(n_slots - 1)).astype(np.int64), np.uint64(1) << (h & np.uint64(63))
-
-
-class _Reached:
-    """Filters of the phrases that reached the threshold: ever, and less than one cycle ago. They forget none."""
-
-    def __init__(self, marks: np.ndarray) -> None:
-        self.marks = marks  # 2 x slots
-
-    def flags(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = np.ones((2, len(hashes)), dtype=bool)
-        for slot, bit in _places(hashes, self.marks.shape[1]):
-            found &= (self.marks[:, slot] & bit) != 0
-        return found[0], found[1]
-
-
-def _mark(n_slots: int):
-    """Reached phrases (lang, phrase, recent) to their marks in the filters."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            phrases = batch.column(1)
-            offsets = phrases.offsets.to_numpy()
-            values = phrases.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            sizes = np.diff(offsets)
-            hashes = np.array([_language_hash(lang) for lang in batch.column(0).to_pylist()], dtype=np.uint64)
-            for i in range(int(sizes.max(initial=0))):
-                more = sizes > i
-                hashes[more] = _mix(hashes[more], values[offsets[:-1][more] + i])
-            recent = batch.column(2).to_numpy(zero_copy_only=False)
-            for slot, bit in _places(hashes, n_slots):
-                bits = bit.view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot), pa.array(bits), pa.array(np.where(recent, bits, 0))], names=["slot", "ever", "recent"]
-                )
-
-    return mark
-
+def _phrases(lang: str, at: np.ndarray, numbers: np.ndarray, filters: Filters | None, longest: int):
+    """By length, the different phrases of a row of words: (words, counts, keys, known, active).
 
-def _filters(state: DataFrame, step: int, shards: int, longest: int) -> _Reached | None:
-    """The filters for the scan of ``step``; None if no phrase can be active in it."""
-    reached = state.filter(F.col("reached").isNotNull() & (F.size("phrase") < longest)).select(
-        "lang", "phrase", (F.col("reached") > step - shards).alias("recent")
-    )
-    n, n_recent = reached.agg(F.count("*"), F.coalesce(F.count_if("recent"), F.lit(0))).first()
-    if not n_recent:
-        return None
-    wanted = max(LEAST_SLOTS, int(n * SLOTS_PER_PHRASE))
-    n_slots = min(MOST_SLOTS, 1 << (wanted - 1).bit_length())
-    marks = map_arrow(reached, _mark(n_slots), "slot long, ever long, recent long")
-    rows = marks.groupBy("slot").agg(F.bit_or("ever").alias("ever"), F.bit_or("recent").alias("recent")).toArrow()
-    filled = np.zeros((2, n_slots), dtype=np.uint64)
-    slots = rows["slot"].to_numpy()
-    for plane, name in enumerate(("ever", "recent")):
-        filled[plane, slots] = rows[name].to_numpy().view(np.uint64)
-    return _Reached(filled)
-
-
-def _counted(lang: str, numbers: np.ndarray, reached: _Reached | None, longest: int, singles: bool):
-    """(phrases, counts) of each length in a row of word numbers: arrays of shape n x length.
-
-    Of phrases, those whose two subphrases passed the filter of reached ones, one of them lately.
+    ``at`` has the place of each word in ``numbers``, and -1 between pieces. Of phrases longer
+    than a word, only those whose two subphrases are ``known`` to the filters, and ``active`` if
+    one of these is so lately.
     """
-    different, row = np.unique(numbers, return_inverse=True)
-    is_word = different != 0
-    if singles:
-        counts = np.bincount(row, minlength=len(different))
-        yield different[is_word][:, None], counts[is_word]
-    if reached is None:
-        return
-    at = np.where(is_word[row], row, -1)  # by place: which phrase of the present length starts there
-    hashes = _mix(np.full(len(different), _language_hash(lang)), different.view(np.uint64))
-    n = len(different)
+    words, counts = numbers[:, None], np.bincount(at[at >= 0], minlength=len(numbers))
+    keys = mix(np.full(len(numbers), _language_hash(lang)), numbers.view(np.uint64))
+    known, lately = filters.flags(keys) if filters else np.zeros((2, len(numbers)), dtype=bool)
+    yield words, counts, keys, known, np.ones(len(words), dtype=bool)
     for length in range(2, longest + 1):
-        ever, recent = reached.flags(hashes)
-        ever = np.append(ever, False)  # for -1
+        ever = np.append(known, False)  # the last one for places where no phrase starts
         starts = np.flatnonzero(ever[at[:-1]] & ever[at[1:]])
         if not len(starts):
             return
-        pair = at[starts].astype(np.int64) * n + at[starts + 1]
-        _, first, code, counts = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-        first = starts[first]
-        phrases = np.stack([numbers[first + i] for i in range(length)], axis=1)
-        active = recent[at[first]] | recent[at[first + 1]]
-        yield phrases[active], counts[active]
-        hashes = _mix(hashes[at[first]], phrases[:, -1].view(np.uint64))
-        longer = np.full(len(at), -1)
+        code, pairs = pd.factorize(at[starts].astype(np.int64) * len(known) + at[starts + 1])
+        head, tail = np.divmod(pairs, len(known))
+        words, counts = np.concatenate([words[head], words[tail, -1:]], axis=1), np.bincount(code)
+        active = lately[head] | lately[tail]
+        keys = mix(keys[head], words[:, -1].view(np.uint64))
+        known, lately = filters.flags(keys)
+        yield words, counts, keys, known, active
+        longer = np.full(len(at), -1, dtype=np.int32)
         longer[starts] = code
-        at, n = longer, len(phrases)
+        at = longer
+
+
+def _joined(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (codes, numbers) as one row of places in one array of different numbers, -1 between pieces and rows."""
+    place, numbers = pd.factorize(np.concatenate([own for _, own in rows]))
+    place = np.append(place, -1).astype(np.int32)
+    parts, before = [], 0
+    for codes, own in rows:
+        parts += [place[np.where(codes > 0, codes + (before - 1), -1)], place[-1:]]
+        before += len(own)
+    return np.concatenate(parts), numbers
+
+
+def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Words of rows (lang, codes, numbers), many rows of a language at once."""
+    waiting: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    n_waiting = 0
+    for batch in batches:
+        for lang, *row in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            codes, numbers = (part.values.to_numpy(zero_copy_only=False) for part in row)
+            waiting.setdefault(lang, []).append((codes, numbers))
+            n_waiting += len(codes)
+            if n_waiting >= WORDS_AT_ONCE:
+                while waiting:
+                    lang, rows = waiting.popitem()
+                    yield lang, *_joined(rows)
+                n_waiting = 0
+    while waiting:
+        lang, rows = waiting.popitem()
+        yield lang, *_joined(rows)
 
 
 def _scan(marks, longest: int, singles: bool):
+    """Rows of a shard to (length, key, n): its words, if wanted, and its active phrases."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = None if marks is None else _Reached(marks.value)
-        waiting: dict[str, list[np.ndarray]] = {}
-        n_waiting = 0
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            for lang, parts in waiting.items():
-                for phrases, counts in _counted(lang, np.concatenate(parts), reached, longest, singles):
-                    offsets = np.arange(len(phrases) + 1, dtype=np.int32) * phrases.shape[1]
+        filters = None if marks is None else Filters(marks.value)
+        for lang, at, numbers in _by_language(batches):
+            for words, counts, keys, _, active in _phrases(lang, at, numbers, filters, longest):
+                length = words.shape[1]
+                if (length > 1 or singles) and active.any():
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.repeat(pa.scalar(lang, pa.string()), len(phrases)),
-                            pa.ListArray.from_arrays(pa.array(offsets), pa.array(phrases.ravel())),
-                            pa.array(counts.astype(np.int64)),
+                            pa.repeat(pa.scalar(length, pa.int32()), int(active.sum())),
+                            pa.array(keys[active].view(np.int64)),
+                            pa.array(counts[active].astype(np.int64)),
                         ],
-                        names=["lang", "phrase", "n"],
+                        names=["length", "key", "n"],
                     )
-            waiting.clear()
-
-        for batch in batches:
-            for lang, numbers in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = numbers.values.to_numpy(zero_copy_only=False)
-                waiting.setdefault(lang, []).extend([words, np.zeros(1, dtype=np.int64)])
-                n_waiting += len(words) + 1
-                if n_waiting >= WORDS_AT_ONCE:
-                    yield from counted()
-                    n_waiting = 0
-        yield from counted()
 
     return scan
 
 
+def _spell(marks, longest: int):
+    """Rows of all shards to (lang, phrase, n) of the phrases that the filters know."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = Filters(marks.value)
+        for lang, at, numbers in _by_language(batches):
+            for words, counts, _, known, _ in _phrases(lang, at, numbers, filters, longest):
+                offsets = np.arange(known.sum() + 1, dtype=np.int32) * words.shape[1]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.repeat(pa.scalar(lang, pa.string()), int(known.sum())),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(words[known].ravel())),
+                        pa.array(counts[known].astype(np.int64)),
+                    ],
+                    names=["lang", "phrase", "n"],
+                )
+
+    return spell
+
+
 def _part(phrase: str, start: int | Column, size: int | Column) -> Column:
     return F.slice(phrase, start, size)
 
@@ -273,63 +232,55 @@ def phrase_counts(
     scanned in turn, again and again. Words are counted from the first scan on; a longer phrase
     from the scan after the one in which the later of its two subphrases reached ``least``, be it
     in the middle of a cycle. Each is counted through one whole cycle, so that lengths overlap in
-    time, and three lengths need between one and three cycles. A scan finds what is active by two
-    filters of fixed size that may let too much through; the sums are then joined exactly.
+    time, and three lengths need between one and three cycles.
+
+    The scans count 64-bit keys of phrases and find the active ones by filters of fixed size.
+    Either may take one phrase for another, so that a rare one passes for frequent, but never a
+    frequent one for rare. A last scan spells out what passed and counts it exactly.
     """
     lang = F.coalesce(F.col(lang_column).cast("string"), F.lit(NO_LANGUAGE))
     text = F.col(text_column).cast("string")
     shard = F.pmod(F.xxhash64(text), F.lit(shards)).cast("int")
     texts = docs.select(text.alias("text"), lang.alias("lang"), shard.alias("shard")).filter("text <> ''")
     rows, words = _encoded(texts)
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
+    n_words = rows.groupBy("lang").agg(F.sum("n").alias("n"))
+    in_shards = {r.shard: r.n for r in rows.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+
+    def scanned(part: DataFrame, n: int) -> DataFrame:
+        # Few words a task would send most phrases more often than there are different ones.
+        return part.select("lang", "codes", "numbers").coalesce(max(1, n // WORDS_AT_ONCE))
 
     state: DataFrame | None = None
-    totals: list[DataFrame] = []
     step = 0
     while True:
-        filters = None if state is None else _filters(state, step, shards, longest)
+        filters = None
+        if state is not None:
+            reached = state.filter(F.col("reached").isNotNull() & (F.col("length") < longest))
+            filters = filters_of(reached.select("key", (F.col("reached") > step - shards).alias("recent")))
         if step >= shards and filters is None:
             break
-        marks = None if filters is None else spark.sparkContext.broadcast(filters.marks)
-        here = rows.filter(F.col("shard") == step % shards).select("lang", "numbers")
-        counted = map_arrow(here, _scan(marks, longest, step < shards), "lang string, phrase array<bigint>, n long")
-        found = stored(counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "found")
+        marks = None if filters is None else context.broadcast(filters.marks)
+        here = scanned(rows.filter(F.col("shard") == step % shards), in_shards.get(step % shards, 0))
+        counted = map_arrow(here, _scan(marks, longest, step < shards), "length int, key long, n long")
+        counted = counted.select("*", F.lit(step).alias("first"), F.lit(None).cast("int").alias("reached"))
+        merged = (counted if state is None else state.unionByName(counted)).groupBy("length", "key")
+        merged = merged.agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("reached").alias("reached"))
+        merged = merged.withColumn("reached", F.coalesce("reached", F.when(F.col("n") >= least, F.lit(step + 1))))
+        # A cycle after a phrase was first met nothing of it can be missing.
+        started = F.when(F.col("length") == 1, 0).otherwise(F.col("first"))
+        before, state = state, stored(merged.filter(F.col("reached").isNotNull() | (started + shards > step + 1)), "state")
+        if before is not None:
+            discard(before)
         if marks is not None:
             marks.unpersist()
-        singles = found.filter(F.size("phrase") == 1)
-        if step < shards:
-            totals.append(singles.groupBy("lang").agg(F.sum("n").alias("n")))
-        active = singles.withColumn("started", F.lit(0))
-        if filters is not None:
-            active = active.unionByName(_activated(found, state, step, shards))
-        active = active.withColumn("reached", F.lit(None).cast("int"))
-        merged = (active if state is None else state.unionByName(active)).groupBy("lang", "phrase")
-        merged = merged.agg(F.sum("n").alias("n"), F.min("started").alias("started"), F.max("reached").alias("reached"))
-        reached = F.coalesce("reached", F.when(F.col("n") >= least, F.lit(step + 1)))
-        complete = F.col("started") + shards <= step + 1
-        state = stored(merged.withColumn("reached", reached).filter(~complete | F.col("reached").isNotNull()), "state")
         step += 1
-    frequent = state.filter(F.col("n") >= least).select("lang", "phrase", "n")
-    n_words = reduce(DataFrame.unionByName, totals).groupBy("lang").agg(F.sum("n").alias("n"))
-    return frequent, words, n_words
-
-
-def _activated(found: DataFrame, state: DataFrame, step: int, shards: int) -> DataFrame:
-    """Counts of longer phrases that are active in the scan of ``step``, with the scan they started at."""
-    parents = state.filter(F.col("reached").isNotNull()).select("lang", "phrase", "reached")
-    shorter = F.size("phrase") - 1
-    longer = found.filter(F.size("phrase") > 1).select(
-        "lang", "phrase", "n", _part("phrase", 1, shorter).alias("head"), _part("phrase", 2, shorter).alias("tail")
-    )
-    heads = parents.select("lang", F.col("phrase").alias("head"), F.col("reached").alias("head_reached"))
-    tails = parents.select("lang", F.col("phrase").alias("tail"), F.col("reached").alias("tail_reached"))
-    started = F.greatest("head_reached", "tail_reached")
-    return (
-        longer.join(heads, ["lang", "head"])
-        .join(tails, ["lang", "tail"])
-        .select("lang", "phrase", "n", started.alias("started"))
-        .filter(F.col("started") > step - shards)
-    )
+    passed = filters_of(state.filter(F.col("reached").isNotNull()).select("key", F.lit(True).alias("recent")))
+    marks = context.broadcast(np.zeros((2, 1), dtype=np.uint64) if passed is None else passed.marks)
+    every = scanned(rows, sum(in_shards.values()))
+    spelt = map_arrow(every, _spell(marks, longest), "lang string, phrase array<bigint>, n long")
+    counts = spelt.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return stored(counts, "frequent"), words, n_words
 
 
 def collocations(
