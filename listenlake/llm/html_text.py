@@ -197,9 +197,23 @@ def number(root: Element) -> list[Element]:
     return out
 
 
+def _inner(node: Element) -> list[Element]:
+    return [c for c in node.children if not isinstance(c, str)]
+
+
 def shape(root: Element) -> str:
     """The tree without its text, as a string."""
-    return f"{root.label}({','.join(shape(c) for c in root.children if not isinstance(c, str))})"
+    out: list[str] = []
+    stack: list[Element | None] = [root]
+    while stack:
+        node = stack.pop()
+        if node is None:
+            out.append(")")
+        else:
+            out.append(f"{node.label}(")
+            stack.append(None)
+            stack.extend(reversed(_inner(node)))
+    return "".join(out)
 
 
 def layout(root: Element) -> int:
@@ -256,32 +270,38 @@ def match_trees(a: Element, b: Element) -> list[tuple[int, int]]:
     For two elements of one label, the best order-keeping assignment of their children is found
     by dynamic programming over the scores of all pairs of children.
     """
-    scores: dict[tuple[int, int], int] = {}
-    tables: dict[tuple[int, int], list[list[int]]] = {}
+    if a.label != b.label:
+        return []
+    # Pairs of elements of one label at one depth, children after their parents; pages may be thousands of levels deep.
+    below: dict[tuple[int, int], tuple[list[Element], list[Element]]] = {}
+    open_ = [(a, b)]
+    while open_:
+        x, y = open_.pop()
+        if (x.number, y.number) in below:
+            continue
+        xs, ys = _inner(x), _inner(y)
+        below[x.number, y.number] = xs, ys
+        open_ += [(cx, cy) for cx in xs for cy in ys if cx.label == cy.label]
 
-    def inner(node: Element) -> list[Element]:
-        return [c for c in node.children if not isinstance(c, str)]
-
-    def score(x: Element, y: Element) -> int:
-        if x.label != y.label:
-            return 0
-        key = (x.number, y.number)
-        if key not in scores:
-            xs, ys = inner(x), inner(y)
-            table = [[0] * (len(ys) + 1)]
-            for cx in xs:
-                above, row = table[-1], [0]
-                for j, cy in enumerate(ys):
-                    row.append(max(above[j + 1], row[j], above[j] + score(cx, cy)))
-                table.append(row)
-            tables[key], scores[key] = table, table[-1][-1] + 1
-        return scores[key]
+    tables: dict[tuple[int, int], list[list[int]]] = {}
+    # Elements are numbered in page order, so children have the greater numbers: they are scored first.
+    for key in sorted(below, reverse=True):
+        xs, ys = below[key]
+        table = [[0] * (len(ys) + 1)]
+        for cx in xs:
+            above, row = table[-1], [0]
+            for j, cy in enumerate(ys):
+                pair = tables.get((cx.number, cy.number))
+                row.append(max(above[j + 1], row[j], above[j] + pair[-1][-1] + 1 if pair else 0))
+            table.append(row)
+        tables[key] = table
 
     pairs: list[tuple[int, int]] = []
-
-    def trace(x: Element, y: Element) -> None:
+    traced = [(a, b)]
+    while traced:
+        x, y = traced.pop()
         pairs.append((x.number, y.number))
-        xs, ys, table = inner(x), inner(y), tables[x.number, y.number]
+        (xs, ys), table = below[x.number, y.number], tables[x.number, y.number]
         i, j = len(xs), len(ys)
         while i and j:
             if table[i][j] == table[i - 1][j]:
@@ -290,10 +310,7 @@ def match_trees(a: Element, b: Element) -> list[tuple[int, int]]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                trace(xs[i], ys[j])
-
-    if score(a, b):
-        trace(a, b)
+                traced.append((xs[i], ys[j]))
     return pairs
 
 
