@@ -137,13 +137,18 @@ def mixed_documents(docs: DataFrame, plan: DataFrame | None = None) -> DataFrame
     """The rows of ``docs`` in training order, repeated as the mix takes them, with their columns alone.
 
     Rows are sorted over the whole output by range partitions of their training time; ties fall
-    to the id. Rows equal in id and text are taken alike.
+    to the id. Rows equal in id and text are taken alike, as the least of their plans has it.
     """
     plan = mixing_plan(docs) if plan is None else plan
-    due = plan.select(
-        F.col("doc_id").alias("_mix_id"), F.col("text_hash").alias("_mix_text"), F.col("positions").alias("_mix_times")
-    ).filter(F.size("_mix_times") > 0)
-    due = due.dropDuplicates(["_mix_id", "_mix_text"])
-    same = F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.xxhash64("text") == F.col("_mix_text"))
-    taken = docs.join(due, same).withColumn("_mix_at", F.explode("_mix_times"))
-    return taken.repartitionByRange("_mix_at", "doc_id").sortWithinPartitions("_mix_at", "doc_id").select(*docs.columns)
+    due = plan.filter(F.size("positions") > 0).groupBy("doc_id", "text_hash").agg(F.min("positions").alias("positions"))
+    # The rows travel as one column, so that no name of theirs can clash with those used here.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_hash"))
+    taken = rows.join(due, same).select("row", F.explode("positions").alias("position"))
+    return taken.repartitionByRange("position", "row.doc_id").sortWithinPartitions("position", "row.doc_id").select("row.*")
+
+
+def in_training_order(plan: DataFrame) -> DataFrame:
+    """``plan`` sorted over the whole output by the first position of each row, rows that are not taken last."""
+    order = [F.get("positions", F.lit(0)).asc_nulls_last(), F.col("doc_id"), F.col("text_hash")]
+    return plan.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -20,9 +20,9 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.mixing_plan(table(spark, sf_dir, "documents"))
-    first = F.when(F.size("positions") > 0, F.get("positions", F.lit(0))).alias("first_position")
-    return plan.select("doc_id", "size", "source_size", "target", "taken", first)
+    plan = mixing.in_training_order(mixing.mixing_plan(table(spark, sf_dir, "documents")))
+    first = F.get("positions", F.lit(0)).alias("first_position")
+    return plan.select("doc_id", "size", "source_size", "target", "taken", first, "positions")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
