@@ -145,3 +145,50 @@ WITH RECURSIVE crc_table AS (
 )
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
 """
+
+ORACLES["op3_secrets"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t FROM documents
+), kinds(kind, name, pattern, least) AS (
+  VALUES
+    (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 12),
+    (1, 'access', '(AKIA)([A-Z0-9]{14,})', 0),
+    (2, 'hex', '([0-9a-f]{16})([0-9a-f]*)', 0),
+    (3, 'entropy', '([A-Za-z0-9+/_-]{20,})(={0,2})', 0)
+), found AS (
+  SELECT row_number() OVER () AS row, doc_id, k.kind, k.name, k.least,
+    list_transform(string_split_regex(t, k.pattern), lambda x: length(x)) AS gaps,
+    regexp_extract_all(t, k.pattern, 0) AS matches, regexp_extract_all(t, k.pattern, 2) AS parts
+  FROM texts, kinds k
+), spans AS (
+  SELECT doc_id, row, kind, name, match, length(part) >= least AS long_enough,
+    list_sum(gaps[1 : i]) + coalesce(list_sum(list_transform(matches[1 : i - 1], lambda x: length(x))), 0) AS first, length(match) AS n
+  FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i, unnest(matches) AS match, unnest(parts) AS part FROM found)
+), base AS (
+  SELECT doc_id, kind, name, first, first + n AS stop FROM spans WHERE kind < 3 AND long_enough
+), apart AS (
+  SELECT * FROM spans s WHERE kind = 3
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = s.doc_id AND b.first < s.first + s.n AND s.first < b.stop)
+    AND NOT regexp_full_match(match, '[0-9]+|[+/_=-]+|[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[0-9]{4}-[0-9]{2}-[0-9]{2}[0-9_-]*')
+    AND NOT regexp_matches(match, '(?i)example|placeholder|changeme|dummy|your_|xxxx|abcdefgh|01234567')
+), windows AS (
+  SELECT doc_id, row, first, n, match, list_max(list_transform(range(1, n - 18),
+    lambda i: list_aggregate(string_split(match[i : i + 19], ''), 'entropy'))) AS bits
+  FROM apart
+), extra AS (
+  SELECT doc_id, 3 AS kind, 'entropy' AS name, first, first + n AS stop FROM windows
+  WHERE bits >= CASE WHEN regexp_full_match(match, '[0-9a-f]+') THEN 2.9
+    WHEN regexp_full_match(match, '[a-z]+|[A-Z]+|[A-Z]?[a-z]+') THEN 4.25
+    WHEN regexp_full_match(match, '[A-Za-z0-9]+=*') THEN 3.6 ELSE 3.8 END
+), of_base AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(name || ':' || first || ':' || stop, ',' ORDER BY first, kind) AS shown
+  FROM base GROUP BY doc_id
+), of_all AS (
+  SELECT doc_id, string_agg(name || ':' || first || ':' || stop, ',' ORDER BY first, kind) AS spans
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM extra) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(shown, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN of_base USING (doc_id) LEFT JOIN of_all USING (doc_id)
+"""

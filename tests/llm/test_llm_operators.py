@@ -10,12 +10,14 @@ import struct
 import time
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from listenlake.llm import (
+    bloom,
     common,
     components,
     cover_tree,
@@ -49,7 +51,7 @@ def odd_docs(spark, extra="", rows=None):
         (None, None, None, None, None),
     ]
     frame = spark.createDataFrame(rows, DOCS)
-    for name in ("rank", "key", "size", "shard", "bands", "component", "_word"):
+    for name in ("rank", "key", "size", "shard", "bands", "component", "_word", "has_letter", "position", "row", "_near_id", "n", "word"):
         frame = frame.selectExpr("*", f"'clash' AS {name}")
     return frame
 
@@ -340,7 +342,7 @@ def test_forward_sums_all_segmentations():
         if not word:
             return 1.0
         total = 0.0
-        for n in range(1, min(len(word), language_id.LONGEST_PIECE) + 1):
+        for n in range(1, min(len(word), model.table.longest) + 1):
             row = int(model.table.rows(language_id._prefixes([word[:n]], n)[0][-1])[0])
             p = model.probability[row, lang] if row > 0 else (language_id.UNKNOWN if n == 1 else 0.0)
             total += p * brute(word[n:], lang) if p else 0.0
@@ -349,7 +351,19 @@ def test_forward_sums_all_segmentations():
     for word in ("aba", "abbab", "zab", "b"):
         for lang in (0, 1):
             assert model.word_scores([word])[0, lang] == pytest.approx(math.log(brute("▁" + word, lang)))
-    long = "ab" * 40
+    for word in ("ab" * 20 + "z" * 9, "z" * 70):  # beyond what a double holds unscaled
+        marked, exact = "▁" + word, np.zeros(2)
+        for lang in (0, 1):
+            sums = [Fraction(1)] + [Fraction(0)] * len(marked)
+            for end in range(1, len(marked) + 1):
+                for n in range(1, min(end, model.table.longest) + 1):
+                    row = int(model.table.rows(language_id._prefixes([marked[end - n : end]], n)[0][-1])[0])
+                    p = model.probability[row, lang] if row > 0 else (language_id.UNKNOWN if n == 1 else 0.0)
+                    sums[end] += Fraction(float(p)) * sums[end - n]
+            top = sums[-1]
+            exact[lang] = math.log(top.numerator) - math.log(top.denominator)
+        assert model.word_scores([word])[0] == pytest.approx(exact, rel=1e-9)
+    long = "ab" * 400
     assert model.word_scores([long, "a"])[0, 0] == pytest.approx(
         sum(model.stretch_scores([s])[0, 0] for s in language_id.stretches(long))
     )
@@ -361,7 +375,17 @@ def test_held_out_documents_are_told_apart(spark):
     found = language_id.with_language(docs, model).filter(language_id.is_held_out(F.col("doc_id"))).collect()
     assert sum(r.lang_pred == r.lang for r in found) >= 0.97 * len(found)
     blind = language_id.with_language(docs.limit(50), language_id.train(docs.limit(0), ["a"]))
-    assert {(r.lang_pred, r.lang_score) for r in blind.collect()} == {("und", 0.0)}
+    assert {(r.lang_pred, r.lang_score, r.lang_fit) for r in blind.collect()} == {("und", 0.0, None)}
+
+
+def test_fit_tells_learned_languages_from_others(spark):
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents")
+    model = language_id.learned_model(docs, tokenizer_file("piece_bpe_32k.model"))
+    fits = [r.lang_fit for r in language_id.with_language(docs.filter("length(text) > 200"), model).collect()]
+    assert min(fits) > -5
+    foreign = [("το σπίτι είναι δίπλα στο ποτάμι",), ("дом стоит у реки и леса",), ("房子在河邊森林旁邊",), ("house 家" * 30,)]
+    frame = spark.createDataFrame([(i, t) for i, (t,) in enumerate(foreign)], "doc_id long, text string")
+    assert all(r.lang_fit < -6 for r in language_id.with_language(frame, model).filter("doc_id < 3").collect())
 
 
 # --- 6 exact dedup --------------------------------------------------------------------
@@ -508,6 +532,16 @@ def test_each_layout_of_a_host_has_its_reference(spark, odd, hosts):
     assert all(texts[i] == (f"Entry {i}" if i % 2 else f"Story {i}") for i in range(1, 13))
 
 
+@pytest.mark.parametrize("levels", [600, 5000])
+def test_pages_nested_thousands_of_levels_deep(spark, levels):
+    page = lambda i: f"<body><div class='top'>Our site</div>{'<div>' * levels}<p>Story {i}</p>{'</div>' * (levels // 2)}<p>More {i}"
+    rows = [(i, "https://h/", page(i)) for i in range(6)] + [(9, "https://h/", "<ul>" + "<li><ul>" * levels + "Item")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'c' AS layout", "'c' AS host")
+    texts = {r.page_id: r.text for r in html_text.main_texts(frame).collect()}
+    assert [texts[i] for i in range(6)] == [f"Story {i}\nMore {i}" for i in range(6)]
+    assert texts[9] == "Item"
+
+
 def test_simple_tree_matching_equals_brute_force():
     rng = random.Random(6)
 
@@ -561,6 +595,38 @@ def test_branch_and_bound_beats_best_fit_where_it_can():
     assert sum(t for _, t in packing.solve(hard, 100)) == packing.lower_bound(hard, 100)
 
 
+def fewest_bins(pieces: tuple[int, ...], capacity: int) -> int:
+    """By brute force: the fewest bins, over all assignments."""
+    best = len(pieces)
+
+    def place(at: int, rooms: tuple[int, ...]) -> None:
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(pieces):
+            best = len(rooms)
+            return
+        for i in {room: i for i, room in enumerate(rooms) if room >= pieces[at]}.values():
+            place(at + 1, tuple(sorted((*rooms[:i], rooms[i] - pieces[at], *rooms[i + 1 :]))))
+        place(at + 1, tuple(sorted((*rooms, capacity - pieces[at]))))
+
+    place(0, ())
+    return best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_small_packings_are_the_fewest(seed):
+    rng = random.Random(seed)
+    for _ in range(25):
+        pieces = sorted((rng.choice([rng.randint(3, 20), rng.randint(7, 11)]) for _ in range(rng.randint(1, 11))), reverse=True)
+        fewest = fewest_bins(tuple(pieces), 20)
+        assert sum(n for _, n in packing.solve(Counter(pieces), 20)) == fewest, pieces
+        found, settled = packing.complete_bins(Counter(pieces), 20, fewest - 1, 100_000)
+        assert (found, settled) == (None, True)
+        assert packing.complete_bins(Counter(pieces), 20, fewest, 100_000)[1]
+    assert packing.complete_bins({9: 8, 7: 8, 6: 8, 5: 8}, 20, 11, 1) == (None, False)  # not settled in one step
+
+
 def test_packed_documents_round_trip(spark):
     path = tokenizer_file("word_bpe_49k.json")
     from tokenizers import Tokenizer
@@ -686,7 +752,7 @@ def test_filters_of_reached_phrases_may_be_full(spark, monkeypatch):
     """Filters that let everything through cost work, never a result."""
     rows = phrase_texts(9, 60)
     docs = spark.createDataFrame(rows, DOCS)
-    monkeypatch.setattr(phrases, "_mark", lambda n_slots: _all_marked(n_slots))
+    monkeypatch.setattr(bloom, "_mark", lambda n_slots: _all_marked(n_slots))
     assert sorted(map(tuple, phrases.collocations(docs, least=4, top=50).collect())) == brute_collocations(rows, 4, 50)
 
 

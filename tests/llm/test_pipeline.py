@@ -25,6 +25,8 @@ def made_documents() -> list[tuple]:
         rows.append((i, text, lang, f"s{i % 3}", None))
     rows += [(200 + i, rows[i][1].replace(" ", "\n", 2), "en", "s1", None) for i in range(10)]  # equal but for white space
     rows += [(300 + i, f"{rows[i][1]} again", "en", "s2", None) for i in range(10)]  # near copies of the longer ones
+    greek = " ".join("το σπίτι είναι δίπλα στο ποτάμι και το δάσος".split() * 4)
+    rows += [(403, greek, None, "s1", None), (404, "дом стоит у реки и леса " * 5, None, "s1", None)]
     return [*rows, (400, None, None, None, None), (401, "12 34 --", "en", "s0", 8), (402, "", "de", None, 0)]
 
 
@@ -59,8 +61,8 @@ def test_pipeline_run_equals_plain_stages(spark, tmp_path):
     model_file = tokenizer_file("piece_bpe_32k.model")
     read = common.table(spark, str(tmp_path), "documents")
     found = language_id.with_language(read, language_id.learned_model(read, model_file)).collect()
-    sure = [r for r in found if r.lang_pred != "und" and r.lang_score >= corpus_pipeline.LEAST_SCORE]
-    assert {r.doc_id for r in found} - {r.doc_id for r in sure} == {400, 401, 402}
+    sure = [r for r in found if r.lang_pred != "und" and r.lang_fit >= corpus_pipeline.LEAST_FIT]
+    assert {r.doc_id for r in found} - {r.doc_id for r in sure} == {400, 401, 402, 403, 404}
     left = after_copies(sure)
     assert set(left) < {r.doc_id for r in sure} and not any(200 <= i < 210 for i in left)
 
