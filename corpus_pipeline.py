@@ -15,16 +15,18 @@ from listenlake.llm import exact_dedup, language_id, mixing, near_dedup, packing
 from listenlake.llm.common import stored, table
 from listenlake.llm.queries import tokenizer_file
 
-# A document whose best language has less than this share of its probability is rejected.
-LEAST_SCORE = 0.5
+# A document is rejected if the logarithm of a character's probability in its best language is so much
+# below what is usual there: texts in other scripts lie 6.5 to 19 below, learned ones within 1, and within 5 if most of
+# a short one is numbers.
+LEAST_FIT = -6.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or that no language claims, go; the others get the language they are in."""
     model = language_id.learned_model(docs, tokenizer_file("piece_bpe_32k.model"))
     found = language_id.with_language(docs, model)
-    sure = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("lang_score") >= LEAST_SCORE)
-    return found.filter(sure).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    claimed = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("lang_fit") >= LEAST_FIT)
+    return found.filter(claimed).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
