@@ -1,16 +1,18 @@
-"""Line de-duplication by winnowing: passages that stand earlier in the corpus are deleted, word by word."""
+"""Line de-duplication by winnowing: matches between marks, extended word by word, are deleted where they stand later."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from listenlake.llm.bloom import Filters, filters_of
 from listenlake.llm.common import map_arrow, stored
 
 # A repeated passage has so many words at least.
@@ -20,92 +22,264 @@ MARK_SHARE = 3
 # Lists of up to so many documents and places in all are broadcast to the texts; else both are joined by shuffle.
 BROADCAST_DOCS = 200_000
 BROADCAST_PLACES = 5_000_000
-# Hashes of words that a Python worker remembers; it then starts anew.
-REMEMBERED_WORDS = 200_000
+# Passages whose marks are found at once; places among them fit into the low bits of a number.
+PLACE_BITS = 24
+AT_ONCE = 1 << 22
 
 _PLACES = "doc_id long, version long, hash long, place int"
+_BORDERS = (
+    "doc_id long, version long, marks array<struct<hash:bigint,place:int,low:int,n:int>>, "
+    "spans array<struct<hash:bigint,first:int,stop:int>>"
+)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _WORD = re.compile(r"\S+")
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        self[word] = found = xxhash.xxh64_intdigest(word.encode())
-        return found
+# White space as str.split() has it: these bytes, and these characters beyond ASCII, in UTF-8.
+_SPACE = np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)])
+_OTHER_SPACE = re.compile("|".join("\x85 \xa0 \u1680 \u2028 \u2029 \u202f \u205f \u3000".split(" ")).encode() + rb"|\xe2\x80[\x80-\x8a]")
+_OTHER_HEADS = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+# Numbers for the letters of words, and texts that are hashed at once.
+_LETTERS = np.random.default_rng(3).integers(0, 1 << 64, 256, dtype=np.uint64)
+BYTES_AT_ONCE = 1 << 18
 
-    def of(self, text: str) -> np.ndarray:
-        if len(self) > REMEMBERED_WORDS:
-            self.clear()
-        words = text.split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+@lru_cache(maxsize=2)
+def _first_powers(base: int) -> np.ndarray:
+    out = np.full(2 * BYTES_AT_ONCE, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ...: ``n`` of them, the usual ones kept (4 MB a base)."""
+    if n <= 2 * BYTES_AT_ONCE:
+        return _first_powers(base)[:n]
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.cumprod(out)
 
 
-def _stretches(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hash of each stretch of ``n`` words, from differences of a running polynomial, mixed."""
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * _powers(_BASE, len(hashes)), out=sums[1:])
-    out = (sums[n:] - sums[:-n]) * _powers(_INVERSE, len(hashes) - n + 1)
-    out ^= out >> np.uint64(32)
-    out *= np.uint64(0xD6E8FEB86659FD93)
-    out ^= out >> np.uint64(32)
-    return out
+def _first_least(values: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width`` values, the first place of its least one. Values have 64 - PLACE_BITS bits."""
+    found = []
+    n = len(values) - width + 1
+    for at in range(0, n, AT_ONCE):
+        part = values[at : min(at + AT_ONCE, n) + width - 1]
+        least, size = (part << np.uint64(PLACE_BITS)) | np.arange(len(part), dtype=np.uint64), 1
+        while 2 * size <= width:
+            least, size = np.minimum(least[:-size], least[size:]), 2 * size
+        if size < width:
+            least = np.minimum(least[: len(least) - (width - size)], least[width - size :])
+        found.append((least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64) + at)
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def _blobs(texts: pa.Array) -> Iterator[tuple[bytes, list[int]]]:
+    """Texts, each with a blank after it, together as long as they are short, and their lengths with the blanks."""
+    group: list[bytes] = []
+    size = 0
+    for text in texts.cast(pa.binary()).to_pylist():
+        text = text or b""
+        if any(head in text for head in _OTHER_HEADS):
+            text = _OTHER_SPACE.sub(b" ", text)
+        group.append(text)
+        size += len(text) + 1
+        if size >= BYTES_AT_ONCE:
+            yield b" ".join([*group, b""]), [len(t) + 1 for t in group]
+            group, size = [], 0
+    if group:
+        yield b" ".join([*group, b""]), [len(t) + 1 for t in group]
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= np.uint64(0xD6E8FEB86659FD93)
+    hashes ^= hashes >> np.uint64(32)
+    return hashes
+
+
+def _word_hashes(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and place of each word, from differences of a running polynomial of its letters."""
+    letters = np.frombuffer(blob, dtype=np.uint8)
+    inside = ~_SPACE[letters]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, stops = edges[::2], edges[1::2]
+    sums = np.zeros(len(letters) + 1, np.uint64)
+    np.cumsum(_LETTERS[letters] * _powers(_BASE, len(letters)), out=sums[1:])
+    shift = _powers(_INVERSE, len(letters))
+    return _mixed((sums[stops] - sums[starts]) * shift[starts] + (stops - starts).astype(np.uint64)), starts
+
+
+class _Words:
+    """The words of many texts, laid end to end, by hash; places count through all of them.
+
+    ``begin`` and ``end`` are where each text's words stand. Marks and the passages that they are
+    the mark of follow from the words of one text alone, however many others stand around it.
+    """
 
+    def __init__(self, texts: pa.Array, least_words: int) -> None:
+        self.least = least_words
+        self.size = max(least_words // MARK_SHARE, 1)
+        hashes, sizes = [], [0]
+        for blob, texts_in_it in _blobs(texts):
+            found, starts = _word_hashes(blob)
+            hashes.append(found)
+            ends = np.cumsum(texts_in_it)
+            sizes += np.diff(np.searchsorted(starts, ends), prepend=0).tolist()
+        hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        borders = np.cumsum(sizes)
+        self.begin, self.end = borders[:-1], borders[1:]
+        self.text = np.repeat(np.arange(len(texts)), sizes[1:])
+        self.sums = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * _powers(_BASE, len(hashes)), out=self.sums[1:])
+        self.shift = _powers(_INVERSE, len(hashes) + 1)
+
+    def stretches(self, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Hashes of stretches of words, from differences of a running polynomial, mixed."""
+        return _mixed((self.sums[stop] - self.sums[first]) * self.shift[first] + (stop - first).astype(np.uint64))
+
+    def marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash and place of each mark, the first passage that it is the mark of, and how many (they follow each other).
+
+        The mark of a passage is the first place of the least of its short stretches.
+        """
+        first = np.arange(max(0, len(self.text) - self.size + 1))
+        short = self.stretches(first, first + self.size)
+        place = _first_least(short >> np.uint64(PLACE_BITS), self.least - self.size + 1)
+        low = np.flatnonzero(np.arange(len(place)) + self.least <= self.end[self.text[: len(place)]])
+        new = np.flatnonzero(np.diff(place[low], prepend=-1))
+        n = np.diff(np.append(new, len(low)))
+        return short[place[low[new]]], place[low[new]], low[new], n
+
+    def spans(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first word and stop of the spans between marks; a text's ends are borders as well.
+
+        A span begins at a border and holds every passage that begins before the next one. So
+        what two texts share from border to border is cut alike in both, spans tell of long
+        matches by few hashes, and no passage inside a match falls between two spans.
+        """
+        some = np.unique(self.text[places])
+        first = np.unique(np.concatenate([places, self.begin[some]]))
+        stops = np.unique(np.concatenate([places + self.size, self.end[some]]))
+        end = self.end[self.text[first]]
+        following = np.minimum(np.append(first[1:], len(self.text)) + self.least - 1, end)
+        stop = stops[np.searchsorted(stops, following)] if len(first) else first
+        whole = stop - first >= self.least
+        return self.stretches(first[whole], stop[whole]), first[whole], stop[whole]
+
+
+def _passages(low: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``n`` places each from ``low`` on."""
+    return np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def _inside(at: np.ndarray, first: np.ndarray, stop: np.ndarray, least_words: int) -> np.ndarray:
+    """Which of the passages that begin at ``at`` lie in one of the spans."""
+    order = np.argsort(first, kind="stable")
+    furthest = np.append(0, np.maximum.accumulate(stop[order])) if len(first) else np.zeros(1, np.int64)
+    return furthest[np.searchsorted(first[order], at, side="right")] >= at + least_words
+
+
+def _lists(owner: np.ndarray, n: int, names: list[str], columns: list[np.ndarray]) -> pa.Array:
+    """Rows of structs as a list for each of ``n`` owners, which must come in order; the first column has hashes."""
+    offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
+    arrays = [pa.array(columns[0].view(np.int64)), *(pa.array(c.astype(np.int32)) for c in columns[1:])]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(arrays, names=names))
+
+
+def _read_borders(least_words: int):
+    """The marks of each document and the spans between them; none of documents that are too short."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, n = _Words(batch.column(2), least_words), batch.num_rows
+            hashes, places, low, many = words.marks()
+            begin = words.begin[words.text[places]]
+            marks = _lists(words.text[places], n, ["hash", "place", "low", "n"], [hashes, places - begin, low - begin, many])
+            hashes, first, stop = words.spans(places)
+            begin = words.begin[words.text[first]]
+            spans = _lists(words.text[first], n, ["hash", "first", "stop"], [hashes, first - begin, stop - begin])
+            rows = pa.RecordBatch.from_arrays([*batch.columns[:2], marks, spans], names=["doc_id", "version", "marks", "spans"])
+            yield rows.filter(pa.array(words.end - words.begin >= least_words))
 
-def _marks_of(hashes: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all short stretches; for each passage of ``least_words``, the first place of the least of its own."""
-    size = max(least_words // MARK_SHARE, 1)
-    short = _stretches(hashes, size)
-    inside = np.lib.stride_tricks.sliding_window_view(short, least_words - size + 1)
-    return short, inside.argmin(axis=1) + np.arange(len(inside))
+    return read
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    """Rows of a document each: doc_id, version, hashes, places."""
-    sizes = [len(places) for _, _, _, places in rows]
-    ids = [np.repeat(np.array([row[i] for row in rows], np.int64), sizes) for i in (0, 1)]
-    hashes = np.concatenate([h for _, _, h, _ in rows] or [np.zeros(0, np.uint64)]).view(np.int64)
-    places = np.concatenate([p for _, _, _, p in rows] or [np.zeros(0, np.int64)]).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in (*ids, hashes, places)], names=["doc_id", "version", "hash", "place"])
+def _kept(lists: pa.Array, keep: np.ndarray) -> pa.Array:
+    """Lists of structs without the elements that ``keep`` (one for each, laid end to end) leaves out."""
+    before = np.concatenate([[0], np.cumsum(keep)])
+    offsets = pa.array(before[lists.offsets.to_numpy() - lists.offsets[0].as_py()].astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, lists.flatten().filter(pa.array(keep)))
 
 
-def _read_marks(least_words: int):
-    """Hash and place of each document's marks."""
+def _only_repeated(filters):
+    """Rows of borders without marks and spans whose hash the filter has not met twice."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
+    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Filters(filters.value)
         for batch in batches:
-            rows = []
-            for doc_id, version, text in zip(*(batch.column(i) for i in range(3)), strict=True):
-                hashes = known.of(text.as_py() or "")
-                if len(hashes) >= least_words:
-                    short, marks = _marks_of(hashes, least_words)
-                    marks = np.unique(marks)
-                    rows.append((doc_id.as_py(), version.as_py(), short[marks], marks))
-            yield _batch(rows)
+            columns = list(batch.columns[:2])
+            for lists in batch.columns[2:]:
+                hashes = lists.flatten().field("hash").to_numpy(zero_copy_only=False).view(np.uint64)
+                columns.append(_kept(lists, known.flags(hashes)[0]))
+            rows = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield rows.filter(pc.greater(pc.add(pc.list_value_length(columns[2]), pc.list_value_length(columns[3])), 0))
 
-    return read
+    return only
+
+
+# Places of different texts are told apart by this distance, which no text reaches.
+_APART = 1 << 40
+
+
+def _flat(lists: pa.Array, *names: str) -> list[np.ndarray]:
+    """Owner of each struct of the lists (null ones are empty), and its fields."""
+    lists = pc.fill_null(lists, pa.scalar([], lists.type))
+    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    structs = lists.flatten()
+    return [owner, *(structs.field(name).to_numpy(zero_copy_only=False) for name in names)]
+
+
+def _places(ids: pa.Array, versions: pa.Array, owner: np.ndarray, hashes: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    columns = [ids.take(pa.array(owner)), versions.take(pa.array(owner))]
+    columns += [pa.array(hashes.view(np.int64)), pa.array(places.astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "hash", "place"])
+
+
+def _open_marks(least_words: int):
+    """Marks (doc_id, version, marks, gone) that are those of a passage in none of the spans that are gone."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, hashes, places, low, n = _flat(batch.column(2), "hash", "place", "low", "n")
+            of, first, stop = _flat(batch.column(3), "first", "stop")
+            if not len(owner):
+                continue
+            at = _passages(low.astype(np.int64) + owner * _APART, n)
+            inside = _inside(at, first + of * _APART, stop + of * _APART, least_words)
+            open_ = np.add.reduceat(inside.astype(np.int64), np.cumsum(n) - n) < n
+            yield _places(batch.column(0), batch.column(1), owner[open_], hashes[open_], places[open_])
+
+    return find
 
 
 def _read_passages(least_words: int):
-    """Hash and place of each passage of ``least_words`` whose mark is among the document's ``places``."""
+    """Hash and place of each passage whose mark is among the document's ``places`` and that lies in no span that is gone."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
         for batch in batches:
-            rows = []
-            for doc_id, version, text, places in zip(*(batch.column(i) for i in range(4)), strict=True):
-                hashes = known.of(text.as_py() or "")
-                _, marks = _marks_of(hashes, least_words)
-                at = np.flatnonzero(np.isin(marks, np.array(places.as_py(), np.int64)))
-                rows.append((doc_id.as_py(), version.as_py(), _stretches(hashes, least_words)[at], at))
-            yield _batch(rows)
+            words = _Words(batch.column(2), least_words)
+            _, marks, low, n = words.marks()
+            own = batch.column(3)
+            owner = np.repeat(np.arange(len(own)), pc.list_value_length(own).to_numpy(zero_copy_only=False))
+            wanted = np.isin(marks, own.flatten().to_numpy(zero_copy_only=False) + words.begin[owner])
+            at = _passages(low[wanted], n[wanted])
+            of, first, stop = _flat(batch.column(4), "first", "stop")
+            at = at[~_inside(at, first + words.begin[of], stop + words.begin[of], least_words)]
+            text = words.text[at]
+            yield _places(batch.column(0), batch.column(1), text, words.stretches(at, at + least_words), at - words.begin[text])
 
     return read
 
@@ -115,10 +289,11 @@ def _versioned(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
 
 
-def _beside(lists: DataFrame, column: str, label: str) -> DataFrame:
-    """``lists`` stored, and broadcast if its documents and places are few."""
+def _beside(lists: DataFrame, columns: list[str], label: str) -> DataFrame:
+    """``lists`` stored, and broadcast if its documents and what its list columns hold are few."""
     lists = stored(lists, label)
-    docs, places = lists.agg(F.count("*"), F.coalesce(F.sum(F.size(column)), F.lit(0))).first()
+    held = reduce(lambda a, b: a + b, [F.coalesce(F.array_size(c), F.lit(0)) for c in columns])
+    docs, places = lists.agg(F.count("*"), F.coalesce(F.sum(held), F.lit(0))).first()
     return F.broadcast(lists) if docs <= BROADCAST_DOCS and places <= BROADCAST_PLACES else lists
 
 
@@ -130,43 +305,74 @@ def repeated_runs(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFrame:
     (a hash of the text) and word, wherever both begin and end: passages cross lines. As every
     passage inside a longer match stands earlier, too, runs are matches extended word by word.
 
-    Equal passages have the same mark, the least hash of their short stretches. Only passages
-    whose mark occurs more than once are hashed whole and compared with the first place of
-    their hash, never with each other; so none of them is missed. Rows of one id and text are
-    one document; rows without id or text have no runs. Runs may overlap. Other columns are ignored.
+    Equal passages have the same mark, the least hash of their short stretches, so what two texts
+    share is cut by marks at the same words. First the spans between marks are compared with
+    the first place of their hash: each that stands earlier is gone, and with the next ones makes
+    up all of a match but its ends. To extend matches to their ends, the
+    passages that lie in no such span are hashed one by one, if their mark has two places or more
+    that are left open like this, and compared with the first place of their hash. A passage's
+    first place is never inside a span that is gone, or it would not be the first: so none is
+    missed. Hashes that stand once are known by a filter of bounded size and go no further.
+
+    Rows of one id and text are one document; rows without id or text have no runs. Runs may
+    overlap. Other columns are ignored.
     """
     doc = ["doc_id", "version"]
     rows = _versioned(docs).filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    marks = stored(map_arrow(rows, _read_marks(least_words), _PLACES), "line-marks")
-    often = marks.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
-    places = marks.join(often, "hash", "left_semi").groupBy(*doc).agg(F.collect_set("place").alias("places"))
-    marked = rows.join(_beside(places, "places", "line-places"), doc).select(*doc, "text", "places")
-    passages = stored(map_arrow(marked, _read_passages(least_words), _PLACES), "line-passages")
+    borders = stored(map_arrow(rows, _read_borders(least_words), _BORDERS), "line-borders")
+    # Not deduplicated by document: rows of one id and text are the same document, whose spans stand once.
+    hashes = borders.select(*doc, F.explode(F.concat("marks.hash", "spans.hash")).alias("key"))
+    often = hashes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    filters = filters_of(stored(often.select("key", F.lit(True).alias("recent")), "line-often"))
+    if filters is None:
+        return rows.limit(0).select(*doc, F.lit(0).alias("first_word"), F.lit(0).alias("last_word"))
+    shared = docs.sparkSession.sparkContext.broadcast(filters.marks)
+    repeated = stored(map_arrow(borders, _only_repeated(shared), _BORDERS), "line-repeated").dropDuplicates(doc)
+
+    spans = repeated.select(*doc, F.explode("spans").alias("span")).select(*doc, "span.*")
+    start = F.struct(*doc, F.col("first"))
+    # First places are stored before they are joined: Spark then knows their size, and splits a hash that is everywhere.
+    known = spans.groupBy("hash").agg(F.min(start).alias("earliest"), F.max(start).alias("latest")).filter("earliest < latest")
+    gone = spans.join(stored(known.select("hash", "earliest"), "line-earliest"), "hash").filter(start > F.col("earliest"))
+    gone = stored(gone.groupBy(*doc).agg(F.collect_list(F.struct("first", "stop")).alias("gone")), "line-gone")
+
+    marked = repeated.filter(F.size("marks") > 0).select(*doc, "marks").join(gone, doc, "left").select(*doc, "marks", "gone")
+    open_ = stored(map_arrow(marked, _open_marks(least_words), _PLACES), "line-open")
+    twice = stored(open_.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "line-twice")
+    places = open_.join(twice, "hash", "left_semi").groupBy(*doc).agg(F.collect_list("place").alias("places"))
+    places = _beside(places.join(gone, doc, "left"), ["places", "gone"], "line-places")
+    left = rows.join(places, doc).select(*doc, "text", "places", "gone")
+    passages = stored(map_arrow(left, _read_passages(least_words), _PLACES), "line-passages")
 
     here = F.struct(*doc, "place")
     first = passages.groupBy("hash").agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("first < last")
-    later = passages.join(first.select("hash", "first"), "hash").filter(here > F.col("first")).select(*doc, "place").distinct()
+    later = passages.join(stored(first.select("hash", "first"), "line-first"), "hash").filter(here > F.col("first")).select(*doc, "place").distinct()
     islands = later.withColumn("island", F.col("place") - F.row_number().over(Window.partitionBy(*doc).orderBy("place")))
     runs = islands.groupBy(*doc, "island").agg(F.min("place").alias("first_word"), F.max("place").alias("last_word"))
-    return runs.select(*doc, "first_word", (F.col("last_word") + (least_words - 1)).alias("last_word"))
+    ends = runs.select(*doc, "first_word", (F.col("last_word") + (least_words - 1)).alias("last_word"))
+    whole = gone.select(*doc, F.explode("gone").alias("run"))
+    return ends.unionByName(whole.select(*doc, F.col("run.first").alias("first_word"), (F.col("run.stop") - 1).alias("last_word")))
 
 
 def _without(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[int], int]:
     """``text`` without the words of ``runs``, the lines that went whole, and the number of words deleted."""
     lines = text.split("\n")
-    spans = [[m.span() for m in _WORD.finditer(line)] for line in lines]
-    n = sum(map(len, spans))
+    sizes = [len(line.split()) for line in lines]
+    n = sum(sizes)
     gone = np.zeros(n + 1, bool)
     for first, last in runs:
         gone[first : last + 1] = True
+    before = np.concatenate([[0], np.cumsum(gone)]).tolist()  # words deleted before a word
     kept, whole, at = [], [], 0
-    for i, (line, words) in enumerate(zip(lines, spans, strict=True)):
-        left = [j for j in range(len(words)) if not gone[at + j]]
-        if not words and 0 < at < n and gone[at - 1] and gone[at] or words and not left:
+    for i, (line, size) in enumerate(zip(lines, sizes, strict=True)):
+        deleted = before[at + size] - before[at]
+        if not size and 0 < at < n and gone[at - 1] and gone[at] or size and deleted == size:
             whole.append(i)
-        elif len(left) == len(words):
+        elif not deleted:
             kept.append(line)
         else:
+            words = [m.span() for m in _WORD.finditer(line)]
+            left = [j for j in range(size) if not gone[at + j]]
             stretches: list[list[int]] = []
             for j in left:
                 if stretches and stretches[-1][1] == j - 1:
@@ -174,7 +380,7 @@ def _without(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[int], in
                 else:
                     stretches.append([j, j])
             kept.append(" ".join(line[words[a][0] : words[b][1]] for a, b in stretches))
-        at += len(words)
+        at += size
     return "\n".join(kept), whole, int(gone[:n].sum())
 
 
@@ -217,6 +423,6 @@ def drop_repeated_lines(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFr
         F.array_sort(F.collect_set(F.struct("first_word", "last_word"))).alias("runs")
     )
     own = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = own.withColumn("version", F.xxhash64("text")).join(_beside(runs, "runs", "runs"), doc, "left").select("id", "text", "runs")
+    rows = own.withColumn("version", F.xxhash64("text")).join(_beside(runs, ["runs"], "runs"), doc, "left").select("id", "text", "runs")
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, n_lines long, n_deleted long, deleted string, words_deleted long"
     return map_arrow(rows, _delete, schema)
