@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,12 +22,11 @@ from listenlake.llm.common import map_arrow, map_pandas, running, stored, with_f
 SEQUENCE_TOKENS = 2048
 # Search steps of the branch and bound; when they are used up, the best solution so far stands.
 SEARCH_NODES = 3_000
-# Fillings that are compared at one node before the search goes deeper.
-FILLINGS_AT_NODE = 8
-# Steps in which they are enumerated.
-FILLING_STEPS = 1_000
-# Distinct words whose ids a Python worker remembers (some 200 bytes each); it then starts anew.
-REMEMBERED_WORDS = 200_000
+# Steps in which the fillings of one node are enumerated, up to the first without waste or all of them, before they
+# are sorted by waste.
+FILLING_STEPS = 200
+# Distinct words whose ids a task remembers (some 200 bytes each); it then starts anew.
+REMEMBERED_WORDS = 300_000
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how often), longest first
 Solution = list[tuple[Pattern, int]]  # pattern, number of sequences
@@ -72,26 +74,28 @@ def best_fit(counts: dict[int, int], capacity: int) -> Solution:
     return [(tuple(sorted(kind.items(), reverse=True)), n) for kinds in open_.values() for kind, n in kinds]
 
 
-def fillings(lengths: list[int], left: dict[int, int], room: int) -> Iterator[tuple[dict[int, int], int]]:
+def fillings(lengths: list[int], left: dict[int, int], room: int, steps: Iterator[int]) -> Iterator[tuple[dict[int, int], int]]:
     """Undominated ways to fill ``room``, longest pieces first, each with the room it wastes.
 
     A filling is dominated if it has room for one more piece, or for a longer piece in place of
     one of its own: what then stands there can take the place of what stood there before. The
-    enumeration ends after ``FILLING_STEPS`` steps.
+    enumeration ends when ``steps`` are used up.
     """
-    steps = iter(range(FILLING_STEPS))
+    ascending = lengths[::-1]
     if left.get(room):  # one piece that fills the room exactly dominates all else
         yield {room: 1}, 0
         return
 
     def undominated(chosen: dict[int, int], waste: int) -> bool:
+        # Whether some piece left is as short as the waste, or longer than a chosen one by no more than it.
         if not waste:
             return True
-        for length in lengths:
-            if left[length] > chosen.get(length, 0) and (
-                length <= waste or any(0 < length - own <= waste for own in chosen)
-            ):
-                return False
+        for start in (0, *chosen):
+            at = bisect_left(ascending, start + 1)
+            while at < len(ascending) and ascending[at] <= start + waste:
+                if left[ascending[at]] > chosen.get(ascending[at], 0):
+                    return False
+                at += 1
         return True
 
     def extend(at: int, chosen: dict[int, int], free: int) -> Iterator[tuple[dict[int, int], int]]:
@@ -114,78 +118,103 @@ def fillings(lengths: list[int], left: dict[int, int], room: int) -> Iterator[tu
     yield from extend(0, {}, room)
 
 
-def complete_bins(counts: dict[int, int], capacity: int, allowed: int, nodes: int) -> Solution | None:
-    """Branch and bound for a packing into at most ``allowed`` sequences; None if none is found in ``nodes`` steps.
+def complete_bins(
+    counts: dict[int, int], capacity: int, allowed: int, nodes: int, filling_steps: int = FILLING_STEPS
+) -> tuple[Solution | None, bool]:
+    """Branch and bound for a packing into at most ``allowed`` sequences.
+
+    Returns the packing, if one is found, and whether the question is settled: with a packing it
+    is; without one, only if the whole tree was searched, not if ``nodes`` or the steps for the
+    fillings of a node ran out.
 
     The longest piece left is completed by each of its undominated fillings, least waste first,
-    for as many sequences as the counts allow. A branch ends when its waste exceeds what
-    ``allowed`` sequences may waste.
+    for as many sequences as the counts allow, then for one. A branch ends when its waste
+    exceeds what ``allowed`` sequences may waste.
     """
     may_waste = allowed * capacity - sum(length * n for length, n in counts.items())
     if may_waste < 0:
-        return None
-    left, solution = dict(counts), []
+        return None, True
+    left, solution, whole = dict(counts), [], True
     order = sorted(counts, reverse=True)
 
-    def choices(wasted: int) -> tuple[int, Iterator[tuple[dict[int, int], int]]]:
+    def choices(wasted: int) -> Iterator[tuple[Pattern, int, int]]:
+        nonlocal whole
         longest = next(length for length in order if left[length])
         left[longest] -= 1
-        found, lengths = [], [x for x in order if x <= capacity - longest and left[x]]
-        for tried, (filling, waste) in enumerate(fillings(lengths, left, capacity - longest)):
+        lengths = [x for x in order if x <= capacity - longest and left[x]]
+        steps = iter(range(filling_steps))
+        all_fillings = fillings(lengths, left, capacity - longest, steps)
+
+        def options(found: list[tuple[dict[int, int], int]]) -> Iterator[tuple[Pattern, int, int]]:
+            for filling, waste in sorted(found, key=lambda f: f[1]):
+                pattern = dict(filling)
+                pattern[longest] = pattern.get(longest, 0) + 1
+                times = min(left[length] // n for length, n in pattern.items())
+                if waste:
+                    times = min(times, (may_waste - wasted) // waste)
+                for n in dict.fromkeys((times, 1)):
+                    yield tuple(sorted(pattern.items(), reverse=True)), waste, n
+
+        # The first filling without waste is tried before the others are looked for.
+        exact, found = None, []
+        for filling, waste in all_fillings:
+            if waste == 0:
+                exact = (filling, 0)
+                break
             if wasted + waste <= may_waste:
                 found.append((filling, waste))
-            if waste == 0 or tried >= FILLINGS_AT_NODE:
-                break
         left[longest] += 1
-        return longest, iter(sorted(found, key=lambda f: f[1]))
-
-    stack = [(*choices(0), 0)]
-    undo: list[dict[int, int]] = []
+        if exact:
+            yield from options([exact])
+            # Back here all that was taken since has been put back: the enumeration goes on where it stopped.
+            left[longest] -= 1
+            found += [f for f in all_fillings if wasted + f[1] <= may_waste]
+            left[longest] += 1
+        whole = whole and next(steps, None) is not None
+        yield from options(found)
+
+    stack = [(choices(0), 0)]
     for _ in range(nodes):
         if not stack:
-            return None
-        longest, options, wasted = stack[-1]
+            return None, whole
+        options, wasted = stack[-1]
         option = next(options, None)
         if option is None:
             stack.pop()
-            if undo:
-                for length, n in undo.pop().items():
-                    left[length] += n
+            if solution:
+                for length, n in solution[-1][0]:
+                    left[length] += n * solution[-1][1]
                 solution.pop()
             continue
-        filling, waste = option
-        pattern = dict(filling)
-        pattern[longest] = pattern.get(longest, 0) + 1
-        times = min(left[length] // n for length, n in pattern.items())
-        if waste:
-            times = min(times, (may_waste - wasted) // waste)
-        for length, n in pattern.items():
+        pattern, waste, times = option
+        for length, n in pattern:
             left[length] -= n * times
-        solution.append((tuple(sorted(pattern.items(), reverse=True)), times))
-        undo.append({length: n * times for length, n in pattern.items()})
+        solution.append((pattern, times))
         if not any(left.values()):
-            return solution
-        stack.append((*choices(wasted + waste * times), wasted + waste * times))
-    return None
+            return solution, True
+        stack.append((choices(wasted + waste * times), wasted + waste * times))
+    return None, False
 
 
 def solve(counts: dict[int, int], capacity: int, nodes: int = SEARCH_NODES) -> Solution:
     """As few sequences of ``capacity`` as the search finds for so many pieces of each length.
 
-    The best-fit packing is the first incumbent; bin completion then looks for one sequence
-    fewer until the lower bound is met or ``nodes`` steps don't find any. There are at most
-    ``capacity`` lengths, so the problem has the same size for any corpus.
+    The best-fit packing is the first incumbent; bin completion then looks for packings between
+    the lower bound and the incumbent, halving the gap. A number that the search cannot settle
+    with the ``nodes`` steps left is no bound: the next one is tried nearer to the incumbent, and
+    what stands in the end is the best packing found, the least there is if every number was
+    settled. There are at most ``capacity`` lengths, so the problem has the same size for any corpus.
     """
     counts = {length: n for length, n in counts.items() if n}
     if not counts:
         return []
-    incumbent, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
-    low, high = bound, sum(n for _, n in incumbent)
+    incumbent = best_fit(counts, capacity)
+    low, high = lower_bound(counts, capacity), sum(n for _, n in incumbent)
     while low < high:
         middle = (low + high) // 2
-        better = complete_bins(counts, capacity, middle, nodes)
+        better, _ = complete_bins(counts, capacity, middle, nodes)
         if better is None:
-            low = middle + 1
+            low = middle + 1  # not packed into so few: proven or given up
         else:
             incumbent, high = better, sum(n for _, n in better)
     return incumbent
@@ -201,7 +230,15 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
-class TokenBytes(dict):
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+class TokenBytes:
     """Ids of a stretch without blanks as little-endian 32-bit numbers.
 
     The tokenizer never joins what white space parts, so a text's ids are those of its
@@ -211,73 +248,79 @@ class TokenBytes(dict):
     """
 
     def __init__(self, tokenizer_path: str) -> None:
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.ids: dict[str, bytes] = {}
+        self._tokenizer = _tokenizer(tokenizer_path)
         self._letters = _byte_letters()
         self._reset()
 
     def _reset(self) -> None:
-        self.clear()
+        self.ids.clear()
         self._learn_by_text(["", ".", ","])
 
     def _learn_by_text(self, stretches: list[str]) -> None:
         for stretch, found in zip(
             stretches, self._tokenizer.encode_batch_fast(stretches, add_special_tokens=False), strict=True
         ):
-            self[stretch] = struct.pack(f"<{len(found.ids)}I", *found.ids)
-
-    def _word(self, lower: str) -> bytes:
-        spelt = lower if lower.isascii() else "".join([self._letters[b] for b in lower.encode()])
-        return b"".join([t.id.to_bytes(4, "little") for t in self._tokenizer.model.tokenize(spelt)])
+            self.ids[stretch] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+
+    def _learn_words(self, words: set[str]) -> None:
+        tokens = self._tokenizer.model.tokenize
+        every: list[int] = []
+        sizes: list[int] = []
+        for word in words:
+            spelt = word if word.isascii() else "".join([self._letters[b] for b in word.encode()])
+            found = [t.id for t in tokens(spelt)]
+            every += found
+            sizes.append(4 * len(found))
+        packed, at = struct.pack(f"<{len(every)}I", *every), 0
+        for word, size in zip(words, sizes, strict=True):
+            self.ids[word] = packed[at : at + size]
+            at += size
 
     def learn(self, stretches: set[str]) -> None:
-        if len(self) > REMEMBERED_WORDS:
+        """Encode those of ``stretches`` that are new; afterwards all of them are there."""
+        if len(self.ids) > REMEMBERED_WORDS:
             self._reset()
-        other = []
-        for stretch in stretches:
-            if stretch in self:
-                continue
-            ending = stretch[-1]
-            word, end = (stretch[:-1], self[ending]) if ending in ".," else (stretch, b"")
-            if word.isalpha() and max(word) < "\u0100":
-                lower = word.lower()
-                ids = self.get(lower)
-                if ids is None:
-                    ids = self[lower] = self._word(lower)
-                self[stretch] = ids + end
+        ids = self.ids
+        ends = {mark: ids[mark] for mark in ".,"}
+        plain, other = [], []
+        for stretch in stretches.difference(ids):
+            end = ends.get(stretch[-1])
+            word = stretch if end is None else stretch[:-1]
+            if word.isalpha() and (word.isascii() or max(word) < "\u0100"):
+                plain.append((stretch, word.lower(), end))
             else:
                 other.append(stretch)
+        self._learn_words({lower for _, lower, _ in plain}.difference(ids))
+        for stretch, lower, end in plain:
+            ids[stretch] = ids[lower] if end is None else ids[lower] + end
         self._learn_by_text(other)
 
 
-_workers_words: dict[str, TokenBytes] = {}
 _BLANKS = re.compile(r"[ \t\n\r\x0b\x0c]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")  # split() takes them for white space, the tokenizer does not
 
 
+def _stretches(text: str) -> list[str]:
+    return _BLANKS.split(text) if _SEPARATORS.search(text) else text.split()
+
+
 def token_bytes(text: str, words: TokenBytes) -> bytes:
-    stretches = _BLANKS.split(text) if _SEPARATORS.search(text) else text.split()
-    try:
-        return b"".join(map(words.__getitem__, stretches))
-    except KeyError:
-        words.learn(set(stretches))
-        return b"".join(map(words.__getitem__, stretches))
+    stretches = _stretches(text)
+    words.learn(set(stretches))
+    return b"".join(map(words.ids.__getitem__, stretches))
 
 
 def _cut(tokenizer_path: str, capacity: int, end_id: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _workers_words:
-            _workers_words[tokenizer_path] = TokenBytes(tokenizer_path)
-        words = _workers_words[tokenizer_path]
+        words = TokenBytes(tokenizer_path)
         end = struct.pack("<I", end_id)
+        # Hundreds of thousands of remembered words, none in a cycle: looking for cycles would take a third of the time.
+        gc.disable()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
             out: list[list] = [[], [], [], [], []]
-            for i, doc_id in enumerate(ids):
-                tokens = token_bytes(texts[i].as_py() or "", words) + end
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                tokens = token_bytes(text.as_py() or "", words) + end
                 for piece, at in enumerate(range(0, len(tokens), 4 * capacity)):
                     part = tokens[at : at + 4 * capacity]
                     for column, value in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
@@ -285,7 +328,13 @@ def _cut(tokenizer_path: str, capacity: int, end_id: int):
             types = [batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=NAMES)
 
-    return pieces
+    def without_collector(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from pieces(batches)
+        finally:
+            gc.enable()
+
+    return without_collector
 
 
 NAMES = ["doc_id", "piece", "start", "length", "ids_crc32"]
