@@ -26,7 +26,7 @@ from listenlake.operators.scd2 import append_members
 from listenlake.operators.scratch import materialise, on_clear, scratch_path
 from listenlake.plans import calendars, checks, dimensions, facts, marts, sketches, users
 from listenlake.plans.warehouse import Warehouse
-from listenlake.schemas import TOPIC_SCHEMAS, require_columns
+from listenlake.schemas import TOPIC_SCHEMAS, lake_schema, require_columns
 from listenlake.sources import messages, playlog
 from listenlake.sources.tables import between_dates, read_version
 from listenlake.streaming import compact, ingest, refresh
@@ -129,7 +129,7 @@ def ingest_bad_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent.withColumn("value", spoilt.cast("binary")).drop("text").write.parquet(f"{sent_to}/{topic}")
     stream = messages.stream_messages(spark, f"{sent_to}/{topic}")
     ingest.wait_for([ingest.ingest_topic(stream, topic, output, state, None)])
-    lake = spark.read.schema(ingest.lake_schema(TOPIC_SCHEMAS[topic])).parquet(f"{output}/{topic}")
+    lake = spark.read.schema(lake_schema(TOPIC_SCHEMAS[topic])).parquet(f"{output}/{topic}")
     return lake.groupBy("quality", F.coalesce("bad_reason", F.lit("none")).alias("reason")).agg(
         F.count("*").alias("message_rows"), F.count("raw_value").alias("kept_texts"), F.sum("ts").alias("sum_ts")
     )
