@@ -272,36 +272,45 @@ def match_trees(a: Element, b: Element) -> list[tuple[int, int]]:
     """
     if a.label != b.label:
         return []
-    # Pairs of elements of one label at one depth, children after their parents; pages may be thousands of levels deep.
-    below: dict[tuple[int, int], tuple[list[Element], list[Element]]] = {}
+    # Pairs of elements of one label at one depth that both have children; pages may be thousands of levels deep.
+    mine: dict[int, list[Element]] = {}
+    other: dict[int, list[Element]] = {}
+    found: set[tuple[int, int]] = set()
     open_ = [(a, b)]
     while open_:
         x, y = open_.pop()
-        if (x.number, y.number) in below:
-            continue
-        xs, ys = _inner(x), _inner(y)
-        below[x.number, y.number] = xs, ys
-        open_ += [(cx, cy) for cx in xs for cy in ys if cx.label == cy.label]
+        xs, ys = mine.setdefault(x.number, _inner(x)), other.setdefault(y.number, _inner(y))
+        if xs and ys:
+            found.add((x.number, y.number))
+            open_ += [(cx, cy) for cx in xs for cy in ys if cx.label == cy.label and cx.children and cy.children]
 
     tables: dict[tuple[int, int], list[list[int]]] = {}
+
+    def score(x: Element, y: Element) -> int:
+        if x.label != y.label:
+            return 0
+        table = tables.get((x.number, y.number))
+        return table[-1][-1] + 1 if table else 1
+
     # Elements are numbered in page order, so children have the greater numbers: they are scored first.
-    for key in sorted(below, reverse=True):
-        xs, ys = below[key]
-        table = [[0] * (len(ys) + 1)]
-        for cx in xs:
+    for i, j in sorted(found, reverse=True):
+        table = [[0] * (len(other[j]) + 1)]
+        for cx in mine[i]:
             above, row = table[-1], [0]
-            for j, cy in enumerate(ys):
-                pair = tables.get((cx.number, cy.number))
-                row.append(max(above[j + 1], row[j], above[j] + pair[-1][-1] + 1 if pair else 0))
+            for k, cy in enumerate(other[j]):
+                row.append(max(above[k + 1], row[k], above[k] + score(cx, cy)))
             table.append(row)
-        tables[key] = table
+        tables[i, j] = table
 
     pairs: list[tuple[int, int]] = []
     traced = [(a, b)]
     while traced:
         x, y = traced.pop()
         pairs.append((x.number, y.number))
-        (xs, ys), table = below[x.number, y.number], tables[x.number, y.number]
+        table = tables.get((x.number, y.number))
+        if table is None:
+            continue
+        xs, ys = mine[x.number], other[y.number]
         i, j = len(xs), len(ys)
         while i and j:
             if table[i][j] == table[i - 1][j]:
