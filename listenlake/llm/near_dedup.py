@@ -23,6 +23,9 @@ REGISTERS = BANDS * BAND_ROWS
 SKETCH_LONGS = 32
 # Ids of documents to verify up to this number (16 MB) are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
+# Rows of members outside the largest groups of their bands, with their sketches, up to this number (12 MB) are
+# broadcast to the other members; more are joined by shuffle.
+BROADCAST_SKETCHES = 40_000
 # Texts are hashed in stretches of about so many bytes, which bounds a worker's memory.
 BYTES_AT_ONCE = 1 << 20
 # Most texts whose signatures are drawn together; fewer if they have more bytes than that.
@@ -349,20 +352,27 @@ def near_duplicates(
     differ = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(SKETCH_LONGS)), F.lit(0))
     # Sets that overlap by p percent of their union differ by (100 - p) / (100 + p) of their sizes.
     may_link = differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+    outside = side("a").filter("ca <> main_a")
+    if open_.filter("component <> main").count() <= BROADCAST_SKETCHES:
+        outside = F.broadcast(outside)
     rest = (
-        side("a")
-        .filter("ca <> main_a")
-        .join(side("b"), ["band", "value"])
+        side("b")
+        .join(outside, ["band", "value"])
         .filter(F.expr("ca <> cb AND (cb = main_b OR a < b)") & _near_in_size(percent) & may_link)
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
     more = stored(_verified(rows, stored(rest, "rest-pairs"), percent, broadcast_ids), "more-links")
     # Ids with several texts belong to several classes.
-    same_id = real.join(classes, key).filter("doc_id <> class_id")
-    twice = real.groupBy("doc_id").agg(F.countDistinct(*key).alias("sets")).filter("sets > 1")
-    same_id = same_id.join(twice, "doc_id", "left_semi").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
-    final = stored(components(links.union(more).union(same_id)), "components")
+    sets = F.struct(*key)
+    twice = real.groupBy("doc_id").agg(F.min(sets).alias("least"), F.max(sets).alias("most")).filter("least <> most")
+    twice = stored(twice.select("doc_id"), "twice")
+    # The groups stand for the links that made them.
+    edges = grouped.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more)
+    if not twice.isEmpty():
+        same_id = real.join(classes, key).filter("doc_id <> class_id").join(twice, "doc_id", "left_semi")
+        edges = edges.union(same_id.select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
+    final = stored(components(edges), "components")
 
     known = signed.join(classes, key, "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     found = known.join(final, F.col("class_id") == F.col("node"), "left")
