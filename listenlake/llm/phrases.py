@@ -52,10 +52,16 @@ def _words(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.
     return words.indices.to_numpy(zero_copy_only=False), words.dictionary.to_pylist(), pieces, text
 
 
+def _code_type(n: int) -> type:
+    """What holds the codes of ``n`` different words."""
+    return np.uint16 if n < 1 << 16 else np.int32
+
+
 def _encode(seed: int):
     """Texts (text, lang, shard) to codes of words, one row a language and shard, 0 between pieces; and to the words.
 
-    Code 1 is the first of a row's ``numbers``, the numbers of its different words.
+    Code 1 is the first of a row's ``numbers``, the numbers of its different words. Both go as
+    bytes, which pass through Spark uncounted, while elements of arrays are copied one by one.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,18 +79,19 @@ def _encode(seed: int):
                 here = np.flatnonzero(group[text] == number)
                 codes, own = pd.factorize(row[here])
                 cuts = np.flatnonzero(np.diff(pieces[here])) + 1
-                rows.append((shard, lang, np.insert(codes + 1, cuts, 0).astype(np.int32), signed[own], None, len(here)))
+                codes = np.insert(codes + 1, cuts, 0).astype(_code_type(len(own)))
+                rows.append((shard, lang, codes.tobytes(), signed[own].tobytes(), None, None, len(here)))
             new = {n: w for n, w in zip(numbers, different, strict=True) if n not in sent}
             if new:
                 if len(sent) > REMEMBERED_WORDS:
                     sent.clear()
                 sent.update(new)
                 own = np.array(list(new), dtype=np.uint64).view(np.int64)
-                rows.append((DICTIONARY, None, None, own, list(new.values()), 0))
-            kinds = [pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.int64()]
+                rows.append((DICTIONARY, None, None, None, own, list(new.values()), 0))
+            kinds = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["shard", "lang", "codes", "numbers", "words", "n"],
+                names=["shard", "lang", "codes", "numbers", "new", "words", "n"],
             )
 
     return encode
@@ -93,18 +100,18 @@ def _encode(seed: int):
 def _encoded(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored rows (shard, lang, codes, numbers, n) and the words (number, word); another seed if two words share a number."""
     for seed in range(8):
-        schema = "shard int, lang string, codes array<int>, numbers array<bigint>, words array<binary>, n long"
+        schema = "shard int, lang string, codes binary, numbers binary, new array<bigint>, words array<binary>, n long"
         frame = map_arrow(texts, _encode(seed), schema)
         rows = stored(frame, "words", partition_by=["shard"])
-        pairs = rows.filter(F.col("shard") == DICTIONARY).select(F.explode(F.arrays_zip("numbers", "words")).alias("pair"))
+        pairs = rows.filter(F.col("shard") == DICTIONARY).select(F.explode(F.arrays_zip("new", "words")).alias("pair"))
         words = stored(
-            pairs.groupBy(F.col("pair.numbers").alias("number")).agg(
+            pairs.groupBy(F.col("pair.new").alias("number")).agg(
                 F.min("pair.words").alias("word"), F.max("pair.words").alias("other")
             ),
             "dictionary",
         )
         if words.filter("word <> other").isEmpty():
-            return rows.filter(F.col("shard") != DICTIONARY).drop("words"), words.select(
+            return rows.filter(F.col("shard") != DICTIONARY).drop("new", "words"), words.select(
                 "number", F.col("word").cast("string").alias("word")
             )
     raise RuntimeError("different words share a number under every seed")
@@ -159,7 +166,9 @@ def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.nd
     n_waiting = 0
     for batch in batches:
         for lang, *row in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-            codes, numbers = (part.values.to_numpy(zero_copy_only=False) for part in row)
+            codes, numbers = (part.as_buffer() for part in row)
+            numbers = np.frombuffer(numbers, dtype=np.int64)
+            codes = np.frombuffer(codes, dtype=_code_type(len(numbers))).astype(np.int32)
             waiting.setdefault(lang, []).append((codes, numbers))
             n_waiting += len(codes)
             if n_waiting >= WORDS_AT_ONCE:
@@ -193,21 +202,27 @@ def _scan(marks, longest: int, singles: bool):
     return scan
 
 
+def _word_columns(longest: int) -> list[str]:
+    return [f"word_{k}" for k in range(1, longest + 1)]
+
+
 def _spell(marks, longest: int):
-    """Rows of all shards to (lang, phrase, n) of the phrases that the filters know."""
+    """Rows of all shards to (lang, a column for each word, n) of the phrases that the filters know; nulls after the last word."""
+    names = ["lang", *_word_columns(longest), "n"]
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = Filters(marks.value)
         for lang, at, numbers in _by_language(batches):
             for words, counts, _, known, _ in _phrases(lang, at, numbers, filters, longest):
-                offsets = np.arange(known.sum() + 1, dtype=np.int32) * words.shape[1]
+                n, own = int(known.sum()), words[known]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.repeat(pa.scalar(lang, pa.string()), int(known.sum())),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(words[known].ravel())),
+                        pa.repeat(pa.scalar(lang, pa.string()), n),
+                        *(pa.array(np.ascontiguousarray(own[:, k])) for k in range(own.shape[1])),
+                        *(pa.nulls(n, pa.int64()) for _ in range(longest - own.shape[1])),
                         pa.array(counts[known].astype(np.int64)),
                     ],
-                    names=["lang", "phrase", "n"],
+                    names=names,
                 )
 
     return spell
@@ -278,8 +293,11 @@ def phrase_counts(
     passed = filters_of(state.filter(F.col("reached").isNotNull()).select("key", F.lit(True).alias("recent")))
     marks = context.broadcast(np.zeros((2, 1), dtype=np.uint64) if passed is None else passed.marks)
     every = scanned(rows, sum(in_shards.values()))
-    spelt = map_arrow(every, _spell(marks, longest), "lang string, phrase array<bigint>, n long")
-    counts = spelt.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    # Words are columns until phrases are counted: numbers group faster than arrays.
+    columns = _word_columns(longest)
+    spelt = map_arrow(every, _spell(marks, longest), ", ".join(["lang string", *(f"{c} long" for c in columns), "n long"]))
+    counts = spelt.groupBy("lang", *columns).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    counts = counts.select("lang", F.array_compact(F.array(*columns)).alias("phrase"), "n")
     return stored(counts, "frequent"), words, n_words
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import xxhash
 from conftest import settings
 
-from listenlake.llm import components, near_dedup
+from listenlake.llm import components, near_dedup, phrases
 
 UNCOALESCED = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
@@ -50,3 +54,16 @@ def test_near_duplicates_with_broadcast_and_joined_sketches_agree(spark, monkeyp
         monkeypatch.setattr(near_dedup, "BROADCAST_SKETCHES", most, raising=False)
         found.append(sorted(tuple(r) for r in near_dedup.near_duplicates(docs).collect()))
     assert found[0] == found[1] and len({row[2] for row in found[0]}) > 1
+
+
+def test_codes_of_words_pass_through_spark_as_bytes():
+    """Elements of arrays were converted one by one, by every scan again."""
+    texts = ["b a. b", "c", "a"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["x", "x", "y"]), pa.array([0, 0, 0], pa.int32())], names=["text", "lang", "shard"])
+    (rows,) = phrases._encode(0)(iter([batch]))
+    assert pa.types.is_binary(rows.schema.field("codes").type) and pa.types.is_binary(rows.schema.field("numbers").type)
+    coded = rows.filter(pa.compute.not_equal(rows["shard"], phrases.DICTIONARY)).select(["lang", "codes", "numbers"])
+    number = {word: np.uint64(xxhash.xxh64_intdigest(word, 0)).astype(np.int64) for word in "abc"}
+    found = {lang: [numbers[i] if i >= 0 else None for i in at] for lang, at, numbers in phrases._by_language(iter([coded]))}
+    a, b, c = (number[word] for word in "abc")
+    assert found == {"x": [b, a, None, b, None, c, None], "y": [a, None]}
