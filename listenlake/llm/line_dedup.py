@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,10 @@ PLACE_BITS = 24
 AT_ONCE = 1 << 22
 
 _PLACES = "doc_id long, version long, hash long, place int"
+# Most marks and spans stand once: all of them go as bytes, which Spark need not take apart, beside their hashes.
+_MARK = np.dtype([("hash", "<i8"), ("place", "<i4"), ("low", "<i4"), ("n", "<i4")])
+_SPAN = np.dtype([("hash", "<i8"), ("first", "<i4"), ("stop", "<i4")])
+_PACKED = "doc_id long, version long, marks binary, spans binary, hashes array<bigint>"
 _BORDERS = (
     "doc_id long, version long, marks array<struct<hash:bigint,place:int,low:int,n:int>>, "
     "spans array<struct<hash:bigint,first:int,stop:int>>"
@@ -82,7 +87,7 @@ def _blobs(texts: pa.Array) -> Iterator[tuple[bytes, list[int]]]:
     size = 0
     for text in texts.cast(pa.binary()).to_pylist():
         text = text or b""
-        if any(head in text for head in _OTHER_HEADS):
+        if not text.isascii() and any(head in text for head in _OTHER_HEADS):
             text = _OTHER_SPACE.sub(b" ", text)
         group.append(text)
         size += len(text) + 1
@@ -189,42 +194,55 @@ def _lists(owner: np.ndarray, n: int, names: list[str], columns: list[np.ndarray
     return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(arrays, names=names))
 
 
+def _packed(owner: np.ndarray, n: int, kind: np.dtype, columns: list[np.ndarray]) -> pa.Array:
+    """Rows of ``kind`` as bytes for each of ``n`` owners, which must come in order; the first column has hashes."""
+    rows = np.empty(len(owner), kind)
+    for name, column in zip(kind.names, columns, strict=True):
+        rows[name] = column.view(np.int64) if name == "hash" else column
+    offsets = (np.searchsorted(owner, np.arange(n + 1)) * kind.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
+
+
 def _read_borders(least_words: int):
-    """The marks of each document and the spans between them; none of documents that are too short."""
+    """The marks of each document and the spans between them, packed, and the hashes of both; none of documents that are too short."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, n = _Words(batch.column(2), least_words), batch.num_rows
-            hashes, places, low, many = words.marks()
-            begin = words.begin[words.text[places]]
-            marks = _lists(words.text[places], n, ["hash", "place", "low", "n"], [hashes, places - begin, low - begin, many])
-            hashes, first, stop = words.spans(places)
-            begin = words.begin[words.text[first]]
-            spans = _lists(words.text[first], n, ["hash", "first", "stop"], [hashes, first - begin, stop - begin])
-            rows = pa.RecordBatch.from_arrays([*batch.columns[:2], marks, spans], names=["doc_id", "version", "marks", "spans"])
+            mark_hashes, places, low, many = words.marks()
+            mark_of = words.text[places]
+            begin = words.begin[mark_of]
+            marks = _packed(mark_of, n, _MARK, [mark_hashes, places - begin, low - begin, many])
+            span_hashes, first, stop = words.spans(places)
+            span_of = words.text[first]
+            begin = words.begin[span_of]
+            spans = _packed(span_of, n, _SPAN, [span_hashes, first - begin, stop - begin])
+            owner = np.concatenate([mark_of, span_of])
+            order = np.argsort(owner, kind="stable")
+            hashes = pa.array(np.concatenate([mark_hashes, span_hashes])[order].view(np.int64))
+            offsets = pa.array(np.searchsorted(owner[order], np.arange(n + 1)).astype(np.int32))
+            columns = [*batch.columns[:2], marks, spans, pa.ListArray.from_arrays(offsets, hashes)]
+            rows = pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "marks", "spans", "hashes"])
             yield rows.filter(pa.array(words.end - words.begin >= least_words))
 
     return read
 
 
-def _kept(lists: pa.Array, keep: np.ndarray) -> pa.Array:
-    """Lists of structs without the elements that ``keep`` (one for each, laid end to end) leaves out."""
-    before = np.concatenate([[0], np.cumsum(keep)])
-    offsets = pa.array(before[lists.offsets.to_numpy() - lists.offsets[0].as_py()].astype(np.int32))
-    return pa.ListArray.from_arrays(offsets, lists.flatten().filter(pa.array(keep)))
-
-
 def _only_repeated(filters):
-    """Rows of borders without marks and spans whose hash the filter has not met twice."""
+    """Rows of borders, unpacked, without marks and spans whose hash the filter has not met twice."""
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Filters(filters.value)
         for batch in batches:
             columns = list(batch.columns[:2])
-            for lists in batch.columns[2:]:
-                hashes = lists.flatten().field("hash").to_numpy(zero_copy_only=False).view(np.uint64)
-                columns.append(_kept(lists, known.flags(hashes)[0]))
-            rows = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            for packed, kind in zip(batch.columns[2:4], (_MARK, _SPAN), strict=True):
+                sizes = pc.binary_length(packed).to_numpy(zero_copy_only=False) // kind.itemsize
+                rows = np.frombuffer(b"".join(packed.to_pylist()), kind)
+                keep = known.flags(rows["hash"].astype(np.int64).view(np.uint64))[0]
+                owner, rows = np.repeat(np.arange(len(packed)), sizes)[keep], rows[keep]
+                fields = [rows["hash"].astype(np.int64), *(rows[name] for name in kind.names[1:])]
+                columns.append(_lists(owner, len(packed), list(kind.names), fields))
+            rows = pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:4])
             yield rows.filter(pc.greater(pc.add(pc.list_value_length(columns[2]), pc.list_value_length(columns[3])), 0))
 
     return only
@@ -319,20 +337,20 @@ def repeated_runs(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFrame:
     """
     doc = ["doc_id", "version"]
     rows = _versioned(docs).filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    borders = stored(map_arrow(rows, _read_borders(least_words), _BORDERS), "line-borders")
+    borders = stored(map_arrow(rows, _read_borders(least_words), _PACKED), "line-borders")
     # Not deduplicated by document: rows of one id and text are the same document, whose spans stand once.
-    hashes = borders.select(*doc, F.explode(F.concat("marks.hash", "spans.hash")).alias("key"))
+    hashes = borders.select(F.explode("hashes").alias("key"))
     often = hashes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     filters = filters_of(stored(often.select("key", F.lit(True).alias("recent")), "line-often"))
     if filters is None:
         return rows.limit(0).select(*doc, F.lit(0).alias("first_word"), F.lit(0).alias("last_word"))
     shared = docs.sparkSession.sparkContext.broadcast(filters.marks)
-    repeated = stored(map_arrow(borders, _only_repeated(shared), _BORDERS), "line-repeated").dropDuplicates(doc)
+    repeated = stored(map_arrow(borders.drop("hashes"), _only_repeated(shared), _BORDERS), "line-repeated").dropDuplicates(doc)
 
     spans = repeated.select(*doc, F.explode("spans").alias("span")).select(*doc, "span.*")
     start = F.struct(*doc, F.col("first"))
     # First places are stored before they are joined: Spark then knows their size, and splits a hash that is everywhere.
-    known = spans.groupBy("hash").agg(F.min(start).alias("earliest"), F.max(start).alias("latest")).filter("earliest < latest")
+    known = spans.groupBy("hash").agg(F.min(start).alias("earliest"), F.count("*").alias("n")).filter("n > 1")
     gone = spans.join(stored(known.select("hash", "earliest"), "line-earliest"), "hash").filter(start > F.col("earliest"))
     gone = stored(gone.groupBy(*doc).agg(F.collect_list(F.struct("first", "stop")).alias("gone")), "line-gone")
 
@@ -345,8 +363,10 @@ def repeated_runs(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFrame:
     passages = stored(map_arrow(left, _read_passages(least_words), _PLACES), "line-passages")
 
     here = F.struct(*doc, "place")
-    first = passages.groupBy("hash").agg(F.min(here).alias("first"), F.max(here).alias("last")).filter("first < last")
-    later = passages.join(stored(first.select("hash", "first"), "line-first"), "hash").filter(here > F.col("first")).select(*doc, "place").distinct()
+    first = passages.groupBy("hash").agg(F.min(here).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = passages.join(stored(first.select("hash", "first"), "line-first"), "hash").filter(here > F.col("first")).select(*doc, "place")
+    # Dealt by document once, for the duplicates of a place and for the runs of it.
+    later = later.repartition(*doc).distinct()
     islands = later.withColumn("island", F.col("place") - F.row_number().over(Window.partitionBy(*doc).orderBy("place")))
     runs = islands.groupBy(*doc, "island").agg(F.min("place").alias("first_word"), F.max("place").alias("last_word"))
     ends = runs.select(*doc, "first_word", (F.col("last_word") + (least_words - 1)).alias("last_word"))
@@ -357,22 +377,26 @@ def repeated_runs(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFrame:
 def _without(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[int], int]:
     """``text`` without the words of ``runs``, the lines that went whole, and the number of words deleted."""
     lines = text.split("\n")
-    sizes = [len(line.split()) for line in lines]
+    split = [line.split() for line in lines]
+    sizes = [len(words) for words in split]
     n = sum(sizes)
     gone = np.zeros(n + 1, bool)
     for first, last in runs:
         gone[first : last + 1] = True
     before = np.concatenate([[0], np.cumsum(gone)]).tolist()  # words deleted before a word
+    stays = (~gone).tolist()
     kept, whole, at = [], [], 0
     for i, (line, size) in enumerate(zip(lines, sizes, strict=True)):
         deleted = before[at + size] - before[at]
-        if not size and 0 < at < n and gone[at - 1] and gone[at] or size and deleted == size:
+        if not size and 0 < at < n and not stays[at - 1] and not stays[at] or size and deleted == size:
             whole.append(i)
         elif not deleted:
             kept.append(line)
-        else:
+        elif " ".join(split[i]) == line.strip():
+            kept.append(" ".join(compress(split[i], stays[at : at + size])))
+        else:  # other white space stays inside what is kept
             words = [m.span() for m in _WORD.finditer(line)]
-            left = [j for j in range(size) if not gone[at + j]]
+            left = [j for j in range(size) if stays[at + j]]
             stretches: list[list[int]] = []
             for j in left:
                 if stretches and stretches[-1][1] == j - 1:
@@ -395,15 +419,12 @@ def _spell(lines: list[int]) -> str:
 
 
 def _delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text, runs) of texts that have runs, without these."""
     for batch in batches:
         out: list[list] = [[] for _ in range(5)]
-        for text, runs in zip(batch.column(1), batch.column(2), strict=True):
-            text, runs = text.as_py(), runs.as_py()
-            if runs:
-                kept, whole, words = _without(text, [(r["first_word"], r["last_word"]) for r in runs])
-            else:
-                kept, whole, words = text, [], 0
-            row = (kept, (text or "").count("\n") + 1, len(whole), _spell(whole), words)
+        for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            kept, whole, words = _without(text, [(r["first_word"], r["last_word"]) for r in runs])
+            row = (kept, text.count("\n") + 1, len(whole), _spell(whole), words)
             for column, value in zip(out, row, strict=True):
                 column.append(value)
         types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
@@ -423,6 +444,20 @@ def drop_repeated_lines(docs: DataFrame, least_words: int = RUN_WORDS) -> DataFr
         F.array_sort(F.collect_set(F.struct("first_word", "last_word"))).alias("runs")
     )
     own = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = own.withColumn("version", F.xxhash64("text")).join(_beside(runs, ["runs"], "runs"), doc, "left").select("id", "text", "runs")
+    own = own.withColumn("version", F.xxhash64("text"))
+    runs = _beside(runs, ["runs"], "runs").withColumnsRenamed({c: f"_{c}" for c in doc})
+    # Null-safe, though runs have no null ids: rows with and without runs then come from the same shuffle or broadcast.
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("version").eqNullSafe(F.col("_version"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, n_lines long, n_deleted long, deleted string, words_deleted long"
-    return map_arrow(rows, _delete, schema)
+    cut = map_arrow(own.join(runs, same).select("id", "text", "runs"), _delete, schema)
+    # Texts that stay whole need no words: only their lines are counted, by Spark.
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    whole = own.join(runs, same, "left").filter("runs IS NULL").select(
+        F.col("id").alias("doc_id"),
+        "text",
+        (F.coalesce(breaks, F.lit(0)) + 1).cast("long").alias("n_lines"),
+        F.lit(0).cast("long").alias("n_deleted"),
+        F.lit("").alias("deleted"),
+        F.lit(0).cast("long").alias("words_deleted"),
+    )
+    return cut.unionByName(whole)

@@ -9,7 +9,7 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 from conftest import settings
 
-from listenlake.llm import components, near_dedup, phrases
+from listenlake.llm import components, line_dedup, near_dedup, phrases
 
 UNCOALESCED = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
@@ -67,3 +67,33 @@ def test_codes_of_words_pass_through_spark_as_bytes():
     found = {lang: [numbers[i] if i >= 0 else None for i in at] for lang, at, numbers in phrases._by_language(iter([coded]))}
     a, b, c = (number[word] for word in "abc")
     assert found == {"x": [b, a, None, b, None, c, None], "y": [a, None]}
+
+
+def test_texts_without_repeated_lines_are_not_sent_to_python_again(spark, monkeypatch):
+    """Only texts that lose words are taken apart; the others' lines are counted by Spark, whether runs are broadcast or shuffled."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, passage), (2, f"one\n\n x  y {passage}  z\tz \nlast"), (3, "a\nb\n"), (4, None), (5, ""), (None, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = [
+        (None, passage, 1, 0, "", 0),
+        (1, passage, 1, 0, "", 0),
+        (2, "one\n\nx  y z\tz\nlast", 4, 0, "", 60),
+        (3, "a\nb\n", 3, 0, "", 0),
+        (4, None, 1, 0, "", 0),
+        (5, "", 1, 0, "", 0),
+    ]
+    for most in (200_000, -1):
+        monkeypatch.setattr(line_dedup, "BROADCAST_DOCS", most)
+        found = line_dedup.drop_repeated_lines(docs)
+        assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, found.collect()), key=lambda r: (r[0] is not None, r[0])) == expected
+
+
+def test_marks_and_spans_pass_through_spark_as_bytes():
+    """Elements of lists of structs were converted one by one, though most of them stand once."""
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([1, 2]), pa.array(["a b", " ".join(map(str, range(70)))])], names=["doc_id", "version", "text"])
+    (rows,) = line_dedup._read_borders(50)(iter([batch]))
+    assert rows["doc_id"].to_pylist() == [2] and pa.types.is_binary(rows.schema.field("marks").type)
+    marks, spans = (np.frombuffer(rows[c][0].as_py(), kind) for c, kind in (("marks", line_dedup._MARK), ("spans", line_dedup._SPAN)))
+    assert marks["n"].sum() == 21 and spans["first"].min() == 0 and spans["stop"].max() == 70
+    assert rows["hashes"][0].as_py() == [*marks["hash"], *spans["hash"]]
