@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from listenlake.plans.warehouse import Warehouse
 from listenlake.sources.tables import (
     NONE,
-    dates_note,
+    dates_found,
+    dates_seen,
     drop_old_versions,
     drop_torn_versions,
     fold_dates,
@@ -38,10 +39,11 @@ def apply_batch(batch: DataFrame, token: str, root: str, by_hour: bool = True, m
     number = version_of(spark, path, token)
     if number is None:
         drop_torn_versions(spark, path)
-        batch = batch.persist()  # read for its dates and to be stored; a lost block is read anew from the source
-        note = {"schema": batch.schema.jsonValue(), **dates_note(batch)}
-        number = write_version(batch.hint("rebalance", F.col("event_date")), path, ["event_date"], NONE, token, note)
-        batch.unpersist()
+        # Its dates are seen while it is stored: the source is read once, and no executor keeps it in memory.
+        seen = Observation()
+        rows = batch.observe(seen, *dates_seen()).hint("rebalance", F.col("event_date"))
+        schema = batch.schema.jsonValue()
+        number = write_version(rows, path, ["event_date"], NONE, token, lambda: {"schema": schema, **dates_found(seen.get)})
     mine = spark.read.schema(batch.schema).parquet(f"{path}/v={number}").select(*batch.columns)
     dates = mine.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
     if dates["first"] is None:
