@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import settings
 from listenlake.operators.lookup import attach_key
 from listenlake.operators.ordering import dense_keys, highest_key, in_order, number_within
-from listenlake.operators.runs import state_runs
+from listenlake.operators.runs import gathered_state_runs, state_runs
 from listenlake.operators.scd2 import append_members, as_first_version, merge_versions
 
 
@@ -52,6 +52,26 @@ def test_number_within_a_hot_group(spark, many_chunks):
     assert rows(number_within(frame, ["g"], ["t", "id"], "n")) == rows(expected)
 
 
+@pytest.mark.parametrize("large", [0, 100, 2000])
+def test_number_within_groups_of_both_kinds(spark, many_chunks, large):
+    random.seed(3)
+    data = [(random.choice([*["hot"] * 9, "a", "b", None]), random.randint(0, 400), i) for i in range(900)]
+    frame = spark.createDataFrame(data, "g string, t int, id int")
+    expected = frame.withColumn("n", (F.row_number().over(W.partitionBy("g").orderBy("t", "id")) - 1).cast("bigint"))
+    got = number_within(frame, ["g"], ["t", "id"], "n", large=large)
+    assert got.schema.simpleString() == expected.schema.simpleString()
+    assert rows(got) == rows(expected)
+
+
+def test_number_within_moves_no_row_that_a_join_has_dealt(spark):
+    data = spark.createDataFrame([(i % 7, i % 3, i) for i in range(100)], "g int, h int, id int")
+    names = spark.createDataFrame([(i, f"n{i}") for i in range(7)], "k int, name string")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        joined = data.join(names, data.g == names.k, "left")
+        plan = number_within(joined, ["g", "h"], ["id"], "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 2  # those of the join
+
+
 # --- runs -----------------------------------------------------------------------------
 
 
@@ -88,9 +108,22 @@ def test_runs_of_a_hot_key_cross_chunk_borders(spark, many_chunks, flip, hot_sha
     assert rows(got) == rows(windowed_runs(frame, ["u", "name"], ["t", "id"], ["level"]))
 
 
+def test_gathered_runs_are_the_same_runs(spark):
+    random.seed(6)
+    data = [
+        (random.choice([1, 2, None]), random.choice(["n", None]), random.choice([None, *range(99)]), i,
+         random.choice(["free", "paid", None]), random.randint(0, 9))
+        for i in range(600)
+    ]
+    frame = spark.createDataFrame(data, "u int, name string, t int, id int, level string, v int")
+    how = (["u", "name"], ["t", "id"], ["level"], {"total": ("sum", "v"), "least": ("min", "v")})
+    assert rows(gathered_state_runs(frame, *how)) == rows(state_runs(frame, *how))
+
+
 def test_runs_of_nothing(spark):
     frame = spark.createDataFrame([], "u int, t int, level string")
     assert state_runs(frame, ["u"], ["t"], ["level"]).count() == 0
+    assert gathered_state_runs(frame, ["u"], ["t"], ["level"]).count() == 0
 
 
 # --- lookup ---------------------------------------------------------------------------

@@ -1,9 +1,11 @@
+import random
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import settings
+from listenlake.operators import ordering, runs
 from listenlake.plans import calendars, checks, dimensions, facts, marts, users
 from listenlake.plans.main import main
 from listenlake.plans.warehouse import Warehouse
@@ -126,6 +128,40 @@ def test_a_user_under_two_names_gets_one_current_row(spark):
     assert [r["firstName"] for r in users.user_dimension(history).collect()] == ["New"]
 
 
+@pytest.mark.parametrize("large", [0, 4, 1000])
+def test_users_with_few_and_with_many_plays_get_the_same_history(spark, many_chunks, large):
+    random.seed(8)
+    lake = plays_of(
+        spark,
+        *[
+            play(START + random.randint(0, 60) * HOUR, user=random.choice([1, 1, 1, 1, 2, 3, 4, None]), item=i,
+                 level=random.choice(["free", "paid", None]), session=random.randint(1, 9), name=random.choice(["N", "M", None]))
+            for i in range(60)
+        ],
+    )
+    whole = users.user_history(lake, large=1000)
+    assert rows(users.user_history(lake, large=large)) == rows(whole)
+    border = date(2024, 1, 2)
+    before = users.user_history(lake.filter(F.col("event_date") < border), large=large)
+    after = lake.filter(F.col("event_date") >= border)
+    assert rows(users.user_history(after, before, border, large)) == rows(whole)
+
+
+def test_a_history_of_few_plays_a_user_stores_no_play(plays, monkeypatch):
+    kept = []
+
+    def stored(frame, label):
+        kept.append((label, frame.count()))
+        return frame
+
+    for module in (ordering, runs):
+        monkeypatch.setattr(module, "materialise", stored)
+    history = users.user_history(plays)
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert kept == [("large", 0)]
+    assert plan.count("Exchange") == 1  # by user
+
+
 def test_calendars(spark):
     days = calendars.day_calendar(calendars.date_range(spark, date(2021, 1, 1), date(2021, 12, 31)))
     assert days.count() == 365
